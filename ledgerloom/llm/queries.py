@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .byte_bpe import op8_byte_bpe
 from .simhash import op3_simhash
 
-QUERIES = {f.__name__: f for f in (op3_simhash,)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op8_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
