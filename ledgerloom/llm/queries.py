@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from .byte_bpe import op8_byte_bpe
+from .quality import op9_quality
 from .simhash import op3_simhash
 from .token_files import op7_token_files
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op7_token_files, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op7_token_files, op8_byte_bpe, op9_quality)}
 ORACLE_SQL: dict[str, str] = {}
