@@ -8,6 +8,7 @@ from .quality import op9_quality
 from .sharding import op6_kd_shards
 from .simhash import op3_simhash
 from .token_files import op7_token_files
+from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op6_kd_shards, op7_token_files, op8_byte_bpe, op9_quality, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op5_toxicity, op6_kd_shards, op7_token_files, op8_byte_bpe, op9_quality, op10_mixing)}
 ORACLE_SQL: dict[str, str] = {}
