@@ -27,19 +27,20 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Ids in a sequence; sequences in a batch.
 LENGTH, BATCH = 2048, 64
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 
 class ChunkEncoder:
     """Encodes whole texts with the tokenizers library, one blank-separated chunk at a time.
 
     The tokenizer drops white space and no pre-token holds any, so a text's ids are those of its chunks in
-    turn; a worker encodes each distinct chunk once while it is remembered. It also lower-cases, and a
-    letter followed by one final comma or full stop always ends a pre-token, so such chunks share their stem.
+    turn; a worker encodes each distinct chunk once while it is remembered. It also lower-cases, and marks
+    of punctuation that follow a letter form a pre-token of their own, so chunks that differ in such ways share their stem.
     """
 
     #: A private-use character between chunks that are encoded in one call; chunks that hold it go alone.
     MARK = "\ue000"
+    PUNCTUATION = "!#$%&*,.:;?|"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,7 +52,10 @@ class ChunkEncoder:
         self.chunks: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {}
         self.mark = np.array(self._direct(self.MARK), self.kind)
-        self.tail = {c: self._bytes(self._direct(c)) for c in ",."}
+        self.tails = {"": b""}
+        vocabulary = self.model.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _direct(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
@@ -60,7 +64,16 @@ class ChunkEncoder:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, stems: list[str]) -> None:
-        plain = [w for w in stems if self.MARK not in w]
+        """Remember the ids of stems. A stem of letters alone is one pre-token, which ends at the next word-final id."""
+        letters = [w for w in stems if w.isalpha() and max(w) < "\u0100"]
+        for lo in range(0, len(letters), 4096):
+            some = letters[lo : lo + 4096]
+            ids = np.array(self.model.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.nonzero(self.ends_word[ids])[0] + 1) * self.kind.itemsize).tolist()
+            raw = ids.tobytes()
+            if len(ends) == len(some):
+                self.stems.update((w, raw[i:j]) for w, i, j in zip(some, [0, *ends], ends))
+        plain = [w for w in stems if w not in self.stems and self.MARK not in w]
         for w in stems:
             if self.MARK in w:
                 self.stems[w] = self._bytes(self._direct(w))
@@ -84,16 +97,21 @@ class ChunkEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text; null is empty."""
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.chunks) > REMEMBERED or len(self.stems) > REMEMBERED:
-            self.chunks, self.stems = {"": b""}, {}
+        if len(self.chunks) > REMEMBERED or len(self.stems) > REMEMBERED or len(self.tails) > REMEMBERED:
+            self.chunks, self.stems, self.tails = {"": b""}, {}, {"": b""}
         chunks, stems = self.chunks, self.stems
         found = [list(map(chunks.get, words)) for words in split]
         absent = [[i for i, x in enumerate(ids) if x is None] for ids in found]
         stem_of = {}
         for w in {words[i] for words, at in zip(split, absent) for i in at}:
-            stem = w.lower() if w.isascii() else w
-            cut = len(stem) > 1 and stem[-1] in ",." and stem[-2].isalpha() and stem[-2].isascii()
-            stem_of[w] = (stem[:-1], self.tail[stem[-1]]) if cut else (stem, b"")
+            low = w.lower() if w.isascii() or max(w) < "\u0100" else w
+            stem = low.rstrip(self.PUNCTUATION)
+            if not (stem and stem[-1].isalpha() and stem[-1] < "\u0100"):
+                stem = low
+            tail = low[len(stem) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._bytes(self._direct(tail))
+            stem_of[w] = stem, self.tails[tail]
         if new := list({stem for stem, _ in stem_of.values() if stem not in stems}):
             self._learn(new)
         for w, (stem, tail) in stem_of.items():
