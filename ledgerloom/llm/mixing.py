@@ -107,8 +107,9 @@ def _draw(key: str) -> np.random.Generator:
     return np.random.default_rng(int.from_bytes(hashlib.blake2b(f"{SEED} {key}".encode(), digest_size=8).digest(), "little"))
 
 
-def balanced(rows: DataFrame, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
-    """``rows`` (g: group, h: a hash of the document, size, p, more) with p rounded to 0 or 1 by the cube method."""
+def balanced(rows: DataFrame, fan: int = FAN) -> DataFrame:
+    """``rows`` (g: group, chunks: of the group, h: a hash of the document, size, p, more), a scratch table, with p
+    rounded to 0 or 1 by the cube method."""
 
     def fly(last: bool):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -120,9 +121,8 @@ def balanced(rows: DataFrame, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
 
         return run
 
-    n = rows.groupBy("g").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    now = rows.join(n, "g").withColumn("at", F.pmod("h", "chunks")).withColumn("level", F.lit(0)).drop("chunks")
-    chunks = n.agg(F.max("chunks")).first()[0] or 1
+    now = rows.withColumn("at", F.pmod("h", "chunks")).withColumn("level", F.lit(0)).drop("chunks")
+    chunks = rows.agg(F.max("chunks")).first()[0] or 1
     done, level = None, 0
     while True:
         last = chunks <= 1
@@ -144,15 +144,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = written(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", size.alias("size")))
-    targets = written(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most))
-    t = targets.withColumnRenamed("source", "s")
+    sources = written(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.ceil(F.count("*") / chunk).alias("chunks")))
+    targets = source_targets(sources.drop("chunks"), weights, share, most).withColumnRenamed("source", "t")
+    t = targets.join(sources, F.col("t").eqNullSafe(F.col("source"))).select(F.col("t").alias("s"), targets["source_size"], "target", "chunks")
+    t = written(t)
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most))).otherwise(F.lit(0.0))
     rows = sized.join(t, sized["source"].eqNullSafe(t["s"])).drop("s").withColumn("rate", rate)
     rows = rows.withColumn("whole", F.floor("rate")).withColumn("p", F.col("rate") - F.col("whole"))
     g = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
     rows = rows.withColumn("g", g).withColumn("h", F.xxhash64("doc_id", "text_hash"))
     copies = (F.col("whole") + F.col("p")).cast("int")
-    out = balanced(rows, chunk).withColumn("copies", copies)
+    out = balanced(written(rows)).withColumn("copies", copies)
     return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
