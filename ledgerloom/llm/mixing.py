@@ -111,28 +111,26 @@ def balanced(rows: DataFrame, fan: int = FAN) -> DataFrame:
     """``rows`` (g: group, chunks: of the group, h: a hash of the document, size, p, more), a scratch table, with p
     rounded to 0 or 1 by the cube method."""
 
-    def fly(last: bool):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["h", "size", "p"], kind="stable").reset_index(drop=True)
-            size = pdf["size"].to_numpy(float)
-            draws = _draw(f"{pdf['g'].iloc[0]} {pdf['at'].iloc[0]} {pdf['level'].iloc[0]}").random(len(pdf))
-            p = flight(pdf["p"].to_numpy(float), size, draws)
-            return pdf.assign(p=landing(p, size, float((pdf["p"] * size).sum())) if last else p)
-
-        return run
-
-    now = rows.withColumn("at", F.pmod("h", "chunks")).withColumn("level", F.lit(0)).drop("chunks")
+    def fly(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h", "size", "p"], kind="stable").reset_index(drop=True)
+        size, p = pdf["size"].to_numpy(float), pdf["p"].to_numpy(float)
+        draws = _draw(f"{pdf['g'].iloc[0]} {pdf['at'].iloc[0]} {pdf['level'].iloc[0]}").random(len(pdf))
+        flown = flight(p, size, draws)
+        alone = pdf["chunks"].iloc[0] <= 1  # the whole rest of its group
+        return pdf.assign(p=landing(flown, size, float((p * size).sum())) if alone else flown)
+
+    now = rows.withColumn("at", F.pmod("h", "chunks")).withColumn("level", F.lit(0))
     chunks = rows.agg(F.max("chunks")).first()[0] or 1
     done, level = None, 0
     while True:
-        last = chunks <= 1
-        now = written(now.groupBy("g", "at").applyInPandas(fly(last), now.schema))
+        now = written(now.groupBy("g", "at").applyInPandas(fly, now.schema))
         fixed = now.where("p = 0 OR p = 1")
         done = fixed if done is None else done.unionByName(fixed)
-        if last:
-            return done.drop("at", "level")
+        if chunks <= 1:
+            return done.drop("chunks", "at", "level")
         level, chunks = level + 1, -(-chunks // fan)
-        now = now.where("p > 0 AND p < 1").withColumn("at", F.floor(F.col("at") / fan)).withColumn("level", F.lit(level))
+        now = now.where("p > 0 AND p < 1").withColumn("chunks", F.ceil(F.col("chunks") / fan))
+        now = now.withColumn("at", F.floor(F.col("at") / fan)).withColumn("level", F.lit(level))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, chunk: int = CHUNK) -> DataFrame:
