@@ -166,10 +166,11 @@ def encode_decode(docs: DataFrame, path: str, keep: list[str], text: str = "text
     return wanted.mapInArrow(run, f"{kinds}, ids array<int>, decoded binary")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of what ``encode_decode`` returned."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, ``more``, n_tokens, ids_sha256, decoded_sha256) of what ``encode_decode`` returned."""
     return encoded.select(
         "doc_id",
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -112,3 +112,16 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     placed = written(nodes.join(root, "node", "left").select("node", "least", "root"))
     floor = written(placed.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("component")))
     return placed.join(floor, "root", "left").select("node", F.coalesce("component", "least").alias("component"))
+
+
+def rows_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text ``keys`` (doc_id, text_hash, __n, more) names, one row for each key.
+
+    __n: how many rows of ``docs`` have the key. Only rows that share theirs are grouped to keep one of them.
+    Null keys match null. Returns the columns of ``docs`` and what else ``keys`` holds.
+    """
+    k = keys.withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash")
+    d = docs.withColumn("__text", F.xxhash64("text"))
+    found = d.join(k, d["doc_id"].eqNullSafe(k["__id"]) & (d["__text"] == k["__hash"])).drop("__id", "__hash")
+    once = found.where("__n = 1").unionByName(found.where("__n > 1").dropDuplicates(["doc_id", "__text"]))
+    return once.drop("__text", "__n")

@@ -74,16 +74,17 @@ def statistics(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source) plus the counts of ``statistics`` and base_failed."""
+    """(doc_id, lang, source, text_hash) plus the counts of ``statistics`` and base_failed."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = np.array([statistics(t) for t in b["text"]], np.int64).reshape(-1, 5)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": b["lang"], "source": b["source"]} | dict(zip(names, found.T)))
+            yield b.drop(columns="text").assign(**dict(zip(names, found.T)))
 
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", "lang", "source"))
-    counts = docs.select("doc_id", "lang", "source", "text").mapInPandas(run, kinds + "".join(f", {c} long" for c in names))
+    wanted = docs.select("doc_id", "lang", "source", F.xxhash64("text").alias("text_hash"), "text")
+    counts = wanted.mapInPandas(run, kinds + "".join(f", {c} long" for c in ("text_hash", *names)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return counts.withColumn("base_failed", failed)
 
@@ -186,7 +187,7 @@ def covariance_estimates(rows: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, least_rows: int = LEAST_ROWS, tail: float = TAIL) -> DataFrame:
-    """A row for each row of ``docs`` (doc_id, text, lang, source): the counts, base_failed, distance2, kept.
+    """A row for each row of ``docs`` (doc_id, text, lang, source): text_hash, the counts, base_failed, distance2, kept.
 
     A text of fewer than ten words, or with over a fifth of its words in repeated five-word windows, fails the
     base rules. Any other is rejected if its transformed statistics are beyond the chi-square limit from the
@@ -219,4 +220,4 @@ def quality_rules(docs: DataFrame, least_rows: int = LEAST_ROWS, tail: float = T
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("lang", "source")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("lang", "source", "text_hash")

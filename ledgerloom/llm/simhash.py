@@ -61,14 +61,14 @@ def _signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` (an id column ``doc_id`` and the text) -> (doc_id, fp): the fingerprint as a signed long."""
+    """``docs`` (doc_id and the text) -> (doc_id, text_hash, fp): the fingerprint as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": [_signed(fingerprint(t)) for t in b["text"]]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text_hash": b["text_hash"], "fp": [_signed(fingerprint(t)) for t in b["text"]]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col(text).alias("text")).mapInPandas(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).mapInPandas(run, f"doc_id {kind}, text_hash long, fp long")
 
 
 def _syndromes(x: np.ndarray) -> np.ndarray:
@@ -134,7 +134,7 @@ def links(distinct: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id, kept) for each row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, fingerprint, component_id, kept) for each row of ``docs`` (doc_id, text).
 
     Texts whose fingerprints differ in two bits or fewer are linked; a component is named by its smallest
     doc_id, and that row is kept. Null, empty and blank texts share fingerprint zero and are linked to each
@@ -146,6 +146,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     found = written(components(nodes, links(nodes.select(F.col("node").alias("fp")))).withColumnRenamed("node", "fp"))
     return prints.join(found, "fp").select(
         "doc_id",
+        "text_hash",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"),
@@ -153,4 +154,4 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_hash")

@@ -25,6 +25,8 @@ GRADES, FEATURES, SAMPLE = 4, 600, 10_000
 #: A feature's least number of toxic texts, and its least smoothed ratio of toxic to clean shares.
 LEAST_TEXTS, LEAST_RATIO = 3, 8.0
 RIDGE, ITERATIONS = 2e-5, 400
+#: A text is toxic from this P(grade > 0).
+LIMIT = 0.5
 LETTERS = re.compile(r"[^\W\d_]+").findall
 PREFIXES = range(3, 8)
 
@@ -156,26 +158,34 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(words, *fit_ordinal(x, grade, GRADES))
 
 
+def severity(model: Model):
+    """A function of a text column: struct of severity (the expected grade) and p_toxic."""
+
+    @F.pandas_udf("severity double, p_toxic double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        find = Features(model.words)
+        for b in batches:
+            yield pd.DataFrame([model.score(t, find) for t in b], columns=["severity", "p_toxic"], dtype=float)
+
+    return run
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, severity, p_toxic, toxic) for each row of ``docs`` (doc_id, text). Null and empty texts hold no feature
     and get the severity of a text without any. Repeated rows are scored alike."""
+    scored = docs.select("doc_id", severity(model)("text").alias("s"))
+    return scored.select("doc_id", "s.severity", "s.p_toxic", (F.col("s.p_toxic") >= LIMIT).alias("toxic"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = Features(model.words)
-        for b in batches:
-            found = [model.score(t, find) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "severity": [s for s, _ in found], "p_toxic": [p for _, p in found]})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, severity double, p_toxic double")
-    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+def model_for(docs: DataFrame, labels: DataFrame) -> Model:
+    """Trained on the rows of ``docs`` that ``labels`` (doc_id, toxic) covers. A doc_id that is labelled both ways is toxic."""
+    known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return train(docs.select("doc_id", "text").join(known, "doc_id"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``score`` of ``docs`` under a model trained on those that ``labels`` (doc_id, toxic) covers. A doc_id that is labelled
-    both ways counts as toxic."""
-    known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return score(docs, train(docs.select("doc_id", "text").join(known, "doc_id")))
+    """``score`` of ``docs`` under the model for ``docs`` and ``labels``."""
+    return score(docs, model_for(docs, labels))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
