@@ -1,7 +1,8 @@
 """Toxicity by a cumulative-link ordinal regression on sparse text features.
 
-The features are the beginnings of words (three to seven letters, or a whole shorter word) that set labelled toxic texts apart: counted
-over all labelled documents, at most ``FEATURES`` of them. Beginnings stand for a word and its inflected forms. Labels say only toxic or not; the grade of a toxic text is told by how often those words occur in
+The features are the beginnings of words (three to seven letters, or a whole shorter word) that set labelled toxic texts apart, at most
+``FEATURES`` of them. Beginnings stand for a word and its inflected forms. Features and weights are fitted on ``SAMPLE``
+labelled documents at most; every document is scored. Labels say only toxic or not; the grade of a toxic text is told by how often those words occur in
 it (thirds of the labelled toxic texts). One weight vector serves all thresholds: P(grade > k) = s(w.x - t_k).
 A text's severity is the expected grade; it is toxic if P(grade > 0) reaches one half.
 """
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 
-#: Grades 0 (clean) to 3; features at most; labelled documents that the weights are fitted on at most.
-GRADES, FEATURES, SAMPLE = 4, 600, 10_000
+#: Grades 0 (clean) to 3; features at most; labelled documents that the model is fitted on at most.
+GRADES, FEATURES, SAMPLE = 4, 600, 20_000
 #: A feature's least number of toxic texts, and its least smoothed ratio of toxic to clean shares.
 LEAST_TEXTS, LEAST_RATIO = 3, 8.0
 RIDGE, ITERATIONS = 2e-5, 400
@@ -93,12 +94,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, ridge: float = RIDGE, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(row: np.ndarray, col: np.ndarray, x: np.ndarray, k: int, grade: np.ndarray, grades: int, ridge: float = RIDGE, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of the proportional-odds model, by gradient steps with momentum (Adam).
 
-    Thresholds are kept in order as a first value and positive gaps.
+    The features are sparse: cell (row, col) holds x. Thresholds are kept in order as a first value and positive gaps.
     """
-    n, k = x.shape
+    n = len(grade)
     share = np.array([max(0.5, (grade > j).sum()) / (n + 1) for j in range(grades - 1)])
     start = np.log((1 - share) / share)
     start = np.maximum.accumulate(start + 0.01 * np.arange(grades - 1))
@@ -107,12 +108,12 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, ridge: float = RI
     for i in range(1, iterations + 1):
         w, first, gaps = theta[:k], theta[k], np.exp(theta[k + 1 :])
         t = np.concatenate([[-np.inf], first + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
-        s = x @ w
+        s = np.bincount(row, w[col] * x, n)
         up, low = _sigmoid(t[grade + 1] - s), _sigmoid(t[grade] - s)
         p = np.maximum(up - low, 1e-12)
         du, dl = up * (1 - up) / p, low * (1 - low) / p
         g_t = np.array([dl[grade == j].sum() - du[grade == j - 1].sum() for j in range(1, grades)])  # of the negative log-likelihood
-        grad = np.concatenate([x.T @ (du - dl) / n + 2 * ridge * w, [g_t.sum() / n], np.cumsum(g_t[::-1])[::-1][1:] * gaps / n])
+        grad = np.concatenate([np.bincount(col, (du - dl)[row] * x, k) / n + 2 * ridge * w, [g_t.sum() / n], np.cumsum(g_t[::-1])[::-1][1:] * gaps / n])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta -= 0.1 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-9)
     gaps = np.exp(theta[k + 1 :])
@@ -132,10 +133,9 @@ class Model:
         return float(beyond.sum()), float(beyond[0])
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on ``labelled`` (doc_id, text, toxic). Word counts cover all of it; the weights are fitted on the ``sample``
-    documents of least hash. Without a toxic label nothing is toxic."""
-    labelled = written(labelled.where("toxic IS NOT NULL").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)"))
+def train(labelled: DataFrame) -> Model:
+    """Fit on all of ``labelled`` (doc_id, text, toxic: 0 or 1), a scratch table of at most ``SAMPLE`` rows. Without a toxic
+    label nothing is toxic."""
     sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     words = features(_document_frequencies(labelled), sizes.get(1, 0), sizes.get(0, 0)) if sizes.get(1) else {}
     if not words:
@@ -145,17 +145,16 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         find = Features(words)
         for b in batches:
             found = [find(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "k": [list(f) for f, _ in found], "x": [list(f.values()) for f, _ in found], "hits": [d for _, d in found]})
+            yield pd.DataFrame({"toxic": b["toxic"], "k": [list(f) for f, _ in found], "x": [list(f.values()) for f, _ in found], "hits": [d for _, d in found]})
 
-    some = labelled.withColumn("h", F.xxhash64("doc_id", "text")).orderBy("h", "doc_id").limit(sample).select("doc_id", "text", "toxic")
-    rows = written(some).mapInPandas(run, "doc_id long, toxic int, k array<int>, x array<double>, hits long").collect()  # at most ``sample`` rows of few numbers
-    x = np.zeros((len(rows), len(words)), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["k"]] = r["x"]
+    kept = labelled.select("doc_id", "text", "toxic").orderBy(F.xxhash64("doc_id", "text"), "doc_id").select("text", "toxic")
+    rows = kept.mapInPandas(run, "toxic int, k array<int>, x array<double>, hits long").collect()  # at most ``SAMPLE`` rows of few numbers
     toxic, hits = np.array([r["toxic"] for r in rows]), np.array([r["hits"] for r in rows])
-    thirds = np.quantile(hits[toxic == 1], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
+    thirds = np.quantile(hits[toxic == 1], [1 / 3, 2 / 3])
     grade = np.where(toxic == 1, 1 + (hits > thirds[0]) + (hits > thirds[1]), 0)
-    return Model(words, *fit_ordinal(x, grade, GRADES))
+    row = np.repeat(np.arange(len(rows)), [len(r["k"]) for r in rows])
+    cells = [np.array([v for r in rows for v in r[c]], kind) for c, kind in (("k", np.int64), ("x", np.float64))]
+    return Model(words, *fit_ordinal(row, *cells, len(words), grade, GRADES))
 
 
 def severity(model: Model):
@@ -177,10 +176,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return scored.select("doc_id", "s.severity", "s.p_toxic", (F.col("s.p_toxic") >= LIMIT).alias("toxic"))
 
 
-def model_for(docs: DataFrame, labels: DataFrame) -> Model:
-    """Trained on the rows of ``docs`` that ``labels`` (doc_id, toxic) covers. A doc_id that is labelled both ways is toxic."""
-    known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return train(docs.select("doc_id", "text").join(known, "doc_id"))
+def model_for(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Trained on those rows of ``docs`` that ``labels`` (doc_id, toxic) covers: all, or the ``sample`` doc_ids of least hash.
+
+    A doc_id that is labelled both ways is toxic; labels other than 0 and 1 are left out. The texts are not shuffled:
+    the bounded sample of ids is broadcast to them.
+    """
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    present = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    some = written(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    # repeated doc_ids may add rows; they are of the same few ids
+    return train(written(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
