@@ -42,14 +42,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def dense_index(df: DataFrame, group: list[str], order: list[Column], name: str, parts: int | None = None) -> DataFrame:
+def dense_index(df: DataFrame, group: list[str], order: list[Column], name: str, part_name: str | None = None) -> DataFrame:
     """Number the rows of each group from 0 without gaps in the given order.
 
     The rows are range-partitioned by (group, order), so one group may span many tasks; a count of
     rows for each (partition, group) turns positions in a partition into positions in a group.
-    Rows that tie in ``order`` get any distinct numbers.
+    Rows that tie in ``order`` get any distinct numbers. ``part_name`` adds the number of the range partition.
     """
-    parts = parts or shuffle_partitions(df.sparkSession)
+    parts = shuffle_partitions(df.sparkSession)
     keys = [F.col(c).asc_nulls_first() for c in group]
     placed = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
     placed = written(placed.withColumn("__at", F.monotonically_increasing_id()))
@@ -65,7 +65,7 @@ def dense_index(df: DataFrame, group: list[str], order: list[Column], name: str,
     same = left["__part"] == spans["__part"]
     for i, c in enumerate(group):
         same = same & left[c].eqNullSafe(spans[f"__g{i}"])
-    return left.join(spans, same).select(*df.columns, (F.col("__at") + F.col("__base")).alias(name))
+    return left.join(spans, same).select(*df.columns, (F.col("__at") + F.col("__base")).alias(name), *([left["__part"].alias(part_name)] if part_name else []))
 
 
 def _forget(df: DataFrame) -> None:

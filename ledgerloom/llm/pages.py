@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dense_index, shuffle_partitions, table, written
+from .common import dense_index, table, written
 
 #: Pages of a host that are compared with their neighbours in one group; a longer rest joins the last group.
 GROUP = 8
@@ -238,45 +239,60 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
     URLs (over half of the lines shared) are not held against each other. Repeated rows give equal texts.
     """
 
-    rows = pages.withColumn("row", F.monotonically_increasing_id()).select("row", "page_id", "url", "html")
+
     host, path = _host_and_path(F.col("url"))
-    kind = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
+    wanted = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
+    cuts = _cuts(wanted.select("host", "path", "page_id"), group)
+    parts = len(cuts) + 1
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lo in range(0, len(b), 256):
                 some = b.iloc[lo : lo + 256]
                 found = [page_lines(x) for x in some["html"]]
-                yield some.drop(columns="html").assign(lines=[x for x, _ in found], zones=[z for _, z in found])
-
-    wanted = rows.withColumn("host", host).withColumn("path", path).select("row", "page_id", "url", "host", "path", "html")
-    parsed = written(wanted.mapInPandas(parse, f"row long, page_id {kind['page_id']}, url string, host string, path string, lines array<string>, zones array<byte>"))
-    slim = parsed.select("row", "host", "path", "page_id")
-    slots = dense_index(slim, ["host"], [F.col("path").asc(), F.col("page_id").asc_nulls_first(), F.col("row").asc()], "idx")
-    sizes = written(slim.groupBy("host").agg(F.count("*").alias("n")))
-    last = F.greatest(F.lit(0), F.floor(F.col("n") / group) - 1)
-    groups = slots.join(sizes, "host").select("row", "idx", F.least(F.floor(F.col("idx") / group), last).alias("grp"))
-    placed = parsed.join(written(groups), "row").select("host", "grp", "idx", "page_id", "url", "lines", "zones")
-    parts = shuffle_partitions(pages.sparkSession)
+                part = [bisect_right(cuts, _place(*k)) for k in zip(some["host"], some["path"], some["page_id"])]
+                yield some.drop(columns="html").assign(part=part, lines=[x for x, _ in found], zones=[z for _, z in found])
 
     def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
 
-        def texts() -> pd.DataFrame:
-            kept = _kept_text([(list(r[4]), list(r[5])) for r in held])
-            return pd.DataFrame({"page_id": [r[2] for r in held], "url": np.array([r[3] for r in held], object), "text": np.array(kept, object), "n_chars": [len(t) for t in kept]})
+        def texts(n: int) -> pd.DataFrame:
+            some, held[:n] = held[:n], []
+            kept = _kept_text([(list(r[3]), list(r[4])) for r in some])
+            return pd.DataFrame({"page_id": pd.Series([r[1] for r in some], dtype=b["page_id"].dtype), "url": np.array([r[2] for r in some], object), "text": np.array(kept, object), "n_chars": [len(t) for t in kept]})
 
         for b in batches:
-            for r in zip(b["host"], b["grp"], b["page_id"], b["url"], b["lines"], b["zones"]):
-                if held and held[-1][:2] != r[:2]:
-                    yield texts()
-                    held = []
+            for r in zip(b["host"], b["page_id"], b["url"], b["lines"], b["zones"]):
+                if held and held[-1][0] != r[0]:
+                    yield texts(len(held))
                 held.append(r)
+                if len(held) == 2 * group:
+                    yield texts(group)
         if held:
-            yield texts()
+            yield texts(len(held))
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    parsed = wanted.mapInPandas(parse, f"page_id {kind}, url string, host string, path string, part int, lines array<string>, zones array<byte>")
+    order = ["host", "path", F.col("page_id").asc_nulls_first()]
+    return parsed.repartition(parts, "part").sortWithinPartitions("part", *order).drop("part", "path").mapInPandas(difference, f"page_id {kind}, url string, text string, n_chars long")
+
+
+def _place(host: str, path: str, page_id) -> tuple:
+    """A key whose order is that of (host, path, page_id), null first."""
+    return host, path, not pd.isna(page_id), 0 if pd.isna(page_id) else page_id
 
-    sorted_ = placed.repartition(parts, "host", "grp").sortWithinPartitions("host", "grp", "idx")
-    return sorted_.mapInPandas(difference, f"page_id {kind['page_id']}, url string, text string, n_chars long")
+
+def _cuts(places: DataFrame, group: int) -> list[tuple]:
+    """The places at which the ordered pages are cut into partitions, at most one for each shuffle partition.
+
+    Cuts are beginnings of groups of ``group`` pages of a host, so the groups don't depend on where the cuts are. A
+    last group that isn't full belongs to the one before.
+    """
+    slots = dense_index(places, ["host"], [F.col("path").asc(), F.col("page_id").asc_nulls_first()], "idx", "range")
+    sizes = written(places.groupBy("host").agg(F.count("*").alias("n")))
+    starts = slots.join(sizes, "host").where((F.col("idx") % group == 0) & ((F.col("n") - F.col("idx") >= group) | (F.col("idx") == 0)))
+    firsts = starts.groupBy("range").agg(F.min(F.struct("host", "path", F.col("page_id").isNotNull().alias("known"), "page_id")).alias("k"))
+    return sorted(_place(r["host"], r["path"], r["page_id"]) for r in firsts.where("range > 0").select("k.*").collect())
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
