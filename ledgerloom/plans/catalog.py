@@ -1,10 +1,6 @@
 """Registered queries and the SQL that each must agree with."""
 
-from __future__ import annotations
+from . import expressions, release, tables  # noqa: F401
+from .base import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
