@@ -25,8 +25,8 @@ COSINE = 0.98
 TABLES, PASSES, BUCKET = 4, 24, 8
 #: Buckets above this size skip the sketches; larger groups of verified vectors are cut into blocks of so many rows.
 SIFTED, BLOCK = 256, 2048
-#: Sign bits in which candidates may differ: at cosine 0.98 a pair differs in 4 of 64 on average, and in more than 20 about once in 10^9.
-SKETCH_BITS = 20
+#: Sign bits in which candidates may differ: at cosine 0.98 a pair differs in 4 of 64 on average, and in more than 18 about once in 10^8.
+SKETCH_BITS = 18
 SEED = 42
 
 
@@ -58,49 +58,47 @@ class Filters:
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Numbers of all filters that each row of ``unit`` passes, ascending."""
-        out: list[list[np.ndarray]] = [[] for _ in unit]
+        rows, found = [], []
         for t, book in enumerate(self.codes):
             scores = [unit @ code for code in book]
-            tops = [s.max(axis=1) for s in scores]
-            for i in range(len(unit)):
-                sums, ids = np.zeros(1), np.zeros(1, np.int64)
-                rest = sum(top[i] for top in tops)
-                for s, top in zip(scores, tops):
-                    rest -= top[i]
-                    both = sums[:, None] + s[i]
-                    row, col = np.nonzero(both >= self.limit - rest - 1e-12)
-                    sums, ids = both[row, col], ids[row] * self.width + col
-                out[i].append(t * self.total + np.sort(ids))
-        return [np.concatenate(x) for x in out]
-
-
-def _segments(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of a stream that is sorted by ``keys``."""
-    held: list[pd.DataFrame] = []
+            rest = sum(s.max(axis=1) for s in scores)
+            row, sums, ids = np.arange(len(unit)), np.zeros(len(unit)), np.zeros(len(unit), np.int64)
+            for s in scores:
+                rest = rest - s.max(axis=1)
+                order = np.argsort(-s, axis=1)
+                best = np.take_along_axis(s, order, axis=1)
+                # a partial sum goes on only with the directions that still let it reach the limit
+                n = (best[row] >= (self.limit - rest[row] - sums - 1e-12)[:, None]).sum(axis=1)
+                old = np.repeat(np.arange(len(row)), n)
+                at = np.arange(len(old)) - np.repeat(np.cumsum(n) - n, n)
+                row = row[old]
+                sums, ids = sums[old] + best[row, at], ids[old] * self.width + order[row, at]
+            rows.append(row)
+            found.append(t * self.total + ids)
+        row, ids = np.concatenate(rows), np.concatenate(found)
+        by = np.lexsort((ids, row))
+        return np.split(ids[by], np.searchsorted(row[by], np.arange(1, len(unit))))
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches of a stream that is sorted by ``keys``, cut so that each holds whole groups, and where groups begin."""
+    tail = None
     for b in batches:
+        b = b if tail is None else pd.concat([tail, b], ignore_index=True)
         k = b[keys].to_numpy()
         cuts = np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1
-        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(b)]):
-            part = b.iloc[i:j]
-            if held and (held[-1][keys].iloc[-1] != part[keys].iloc[0]).any():
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            held.append(part)
-    if held:
-        yield pd.concat(held)
+        last = cuts[-1] if len(cuts) else 0
+        tail = b.iloc[last:]  # the last group may go on
+        if last:
+            yield b.iloc[:last], np.concatenate([[0], cuts])
+    if tail is not None and len(tail):
+        yield tail, np.array([0, len(tail)])
 
 
 def _sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of rows sorted by (label, filter): those whose sketch is near another one's in their bucket."""
-    tail = None
-    for b in batches:
-        if tail is not None:
-            b = pd.concat([tail, b], ignore_index=True)
-        last = (b["label"].to_numpy() == b["label"].iloc[-1]) & (b["filter"].to_numpy() == b["filter"].iloc[-1])
-        tail, b = b[last], b[~last]  # the last bucket may go on
+    for b, _ in _whole_groups(batches, ["label", "filter"]):
         yield _near(b)
-    if tail is not None:
-        yield _near(tail)
 
 
 def _near(b: pd.DataFrame) -> pd.DataFrame:
@@ -109,44 +107,69 @@ def _near(b: pd.DataFrame) -> pd.DataFrame:
     live, d = np.arange(len(b)), 1
     while len(live := live[live + d < len(b)]):
         live = live[(label[live] == label[live + d]) & (filter_[live] == filter_[live + d])]
-        close = live[np.bitwise_count(sketch[live] ^ sketch[live + d]) <= SKETCH_BITS]
+        close = live[np.bitwise_count((sketch[live] ^ sketch[live + d]).view(np.uint64)) <= SKETCH_BITS]
         keep[close] = keep[close + d] = True
         d += 1
     return b.loc[keep, ["label", "filter", "uid"]]
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (label, filter, low, high) -> (uid, links, to): links found here, and a spanning edge or null."""
-    for g in _segments(batches, ["label", "filter", "low", "high"]):
-        if len(g) < 2:
-            continue
-        x = np.array(g["unit"].tolist())
-        linked = x @ x.T >= COSINE
-        np.fill_diagonal(linked, False)
-        own = g["block"].to_numpy()
-        if g["low"].iloc[0] != g["high"].iloc[0]:
-            linked &= own[:, None] != own[None, :]
-        hit = np.nonzero(linked.any(axis=1))[0]
-        if not len(hit):
-            continue
-        linked = linked[np.ix_(hit, hit)]
-        g = g.iloc[hit]
-        here = g["filter"].iloc[0]
-        before = [f[: np.searchsorted(f, here)] for f in map(np.asarray, g["filters"])]
-        names, column = np.unique(np.concatenate(before), return_inverse=True)
-        if len(names):
-            passed = np.zeros((len(g), len(names)), np.float32)
-            passed[np.repeat(np.arange(len(g)), [len(f) for f in before]), column] = 1
-            linked &= passed @ passed.T == 0  # no earlier filter in common
-        uid, copies = g["uid"].to_numpy(), g["copies"].to_numpy()
-        root = np.arange(len(g))
-        while True:
-            low = np.minimum(root, np.where(linked, root[None, :], len(g)).min(axis=1))
-            if (low == root).all():
-                break
-            root = low
-        some = linked.any(axis=1)
-        yield pd.DataFrame({"uid": uid[some], "links": (linked[some] @ copies), "to": uid[root[some]]})
+    """Rows sorted by (label, filter, low, high) -> (uid, links, to): links found here, and a spanning edge."""
+    for b, cuts in _whole_groups(batches, ["label", "filter", "low", "high"]):
+        units = np.array(b["unit"].tolist())
+        filters = [np.asarray(f) for f in b["filters"]]
+        here, uid, copies = (b[c].to_numpy() for c in ("filter", "uid", "copies"))
+        own = np.where(b["low"].to_numpy() == b["high"].to_numpy(), -1, b["block"].to_numpy())
+        found = []
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if j - i > 1:
+                links, root = _links_of(units[i:j], filters[i:j], here[i], copies[i:j], own[i:j])
+                some = np.nonzero(links)[0]
+                found.append((uid[i:j][some], links[some], uid[i:j][root[some]]))
+        if found:
+            yield pd.DataFrame({c: np.concatenate([f[k] for f in found]) for k, c in enumerate(("uid", "links", "to"))})
+
+
+def _links_of(x: np.ndarray, filters: list[np.ndarray], here: int, copies: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each vector of a bucket to others whose first common filter is ``here``, and a root for each linked set.
+
+    ``own``: the block of each row where two blocks meet (only pairs across count), else -1. Most pairs of a dense group
+    have met in an earlier filter. Rows that have the most common earlier filter need not be compared with each
+    other, so only the others are, with all rows.
+    """
+    n = len(x)
+    before = [f[: np.searchsorted(f, here)] for f in filters]
+    names, column = np.unique(np.concatenate(before), return_inverse=True)
+    fresh, root = np.arange(n), np.arange(n)
+    rows = np.repeat(np.arange(n), [len(f) for f in before])
+    if len(names):
+        met = np.zeros(n, bool)
+        met[rows[column == np.bincount(column).argmax()]] = True
+        fresh = np.nonzero(~met)[0]
+    links = np.zeros(n, np.int64)
+    if not len(fresh):
+        return links, root
+    linked = x[fresh] @ x.T >= COSINE
+    linked[np.arange(len(fresh)), fresh] = False
+    if own[0] >= 0:
+        linked &= own[fresh, None] != own[None, :]
+    if not linked.any():
+        return links, root
+    if len(names):
+        passed = np.zeros((n, len(names)), np.float32)
+        passed[rows, column] = 1
+        linked &= passed[fresh] @ passed.T == 0  # no earlier filter in common
+    rest = np.ones(n, bool)
+    rest[fresh] = False
+    links[fresh] = linked @ copies
+    links[rest] = copies[fresh] @ linked[:, rest]
+    while True:
+        low = root.copy()
+        low[fresh] = np.minimum(low[fresh], np.where(linked, root[None, :], n).min(axis=1))
+        low = np.minimum(low, np.where(linked, low[fresh, None], n).min(axis=0))
+        if (low == root).all():
+            return links, root
+        root = low
 
 
 def near_embeddings(vectors: DataFrame, tables: int = TABLES, passes: float = PASSES) -> DataFrame:
@@ -175,8 +198,8 @@ def near_embeddings(vectors: DataFrame, tables: int = TABLES, passes: float = PA
         for b in batches:
             for dim, part in b.groupby(b["embedding"].map(len)):
                 f = made.setdefault(dim, Filters(dim, count, tables, passes))
-                for lo in range(0, len(part), 512):
-                    some = part.iloc[lo : lo + 512]
+                for lo in range(0, len(part), 256):
+                    some = part.iloc[lo : lo + 256]
                     x = np.array(some["embedding"].tolist(), np.float64)
                     x /= np.abs(x).max(axis=1, keepdims=True)
                     x /= np.linalg.norm(x, axis=1, keepdims=True)

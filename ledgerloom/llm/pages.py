@@ -239,7 +239,6 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
     URLs (over half of the lines shared) are not held against each other. Repeated rows give equal texts.
     """
 
-
     host, path = _host_and_path(F.col("url"))
     wanted = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
     cuts = _cuts(wanted.select("host", "path", "page_id"), group)
