@@ -23,8 +23,8 @@ from .common import dense_index, table, written
 
 #: Pages of a host that are compared with their neighbours in one group; a longer rest joins the last group.
 GROUP = 8
-#: Neighbours that share over this part of the lines outside any zone are copies of one page, not two pages of a template.
-COPY = 0.5
+#: Neighbours whose shared lines hold over this part of their text (chrome left out) are copies of one page, not two pages of a template.
+COPY = 0.8
 PLAIN, CONTENT, CHROME = 0, 1, 2
 
 # Fixed values of the markup language. -----------------------------------------------------------------------
@@ -210,9 +210,9 @@ def _kept_text(pages: list[tuple[list[str], list[int]]]) -> list[str]:
     shared: list[set[int]] = [set() for _ in pages]
     for k in range(len(pages) - 1):
         i, j = common_lines(coded[k], coded[k + 1])
-        outside = [sum(z != CHROME for z in zones) for _, zones in (pages[k], pages[k + 1])]
-        both = sum(pages[k][1][p] != CHROME for p in i)
-        if both > COPY * max(1, min(outside)):
+        size = [sum(len(t) for t, z in zip(*page) if z != CHROME) for page in (pages[k], pages[k + 1])]
+        both = sum(len(pages[k][0][p]) for p in i if pages[k][1][p] != CHROME)
+        if both > COPY * min(size):
             continue
         shared[k].update(i)
         shared[k + 1].update(j)
@@ -236,7 +236,7 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
     order. A page with an article or main element keeps that, without chrome inside it; any other keeps its
     lines that are neither chrome nor shared with a neighbour. Null or empty html, and html without text, gives an empty text.
     Pages without a URL count as one host; the only page of a host has no neighbour. Copies of a page under other
-    URLs (over half of the lines shared) are not held against each other. Repeated rows give equal texts.
+    URLs (over four fifths of the text shared) are not held against each other. Repeated rows give equal texts.
     """
 
     host, path = _host_and_path(F.col("url"))
