@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,11 +46,13 @@ def check_digits(base) -> Column:
     A character counts as its code less 48. A digit is 11 less the weighted sum modulo 11, and 0 where that is over 9.
     """
     base = F.upper(col(base))
-    values = [F.ascii(F.substring(base, i + 1, 1)) - 48 for i in range(12)]
-    weighted = lambda weights: reduce(add, [v * w for v, w in zip(values, weights)])
+    # an array is made once for each sum; twelve substrings would evaluate the base twelve times
+    values = F.transform(F.split(base, ""), lambda c: F.ascii(c) - 48)
+    times = lambda weights: F.zip_with(values, F.array(*map(F.lit, weights)), lambda v, w: v * w)
+    weighted = lambda weights: F.aggregate(times(weights), F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))
     digit = lambda total: (11 - total % 11) % 11 % 10
     first = digit(weighted(WEIGHTS_FIRST))
-    second = digit(weighted(WEIGHTS_SECOND) + first * WEIGHTS_SECOND[12])
+    second = digit(weighted(WEIGHTS_SECOND[:12]) + first * WEIGHTS_SECOND[12])
     return F.when(base.rlike(r"^[A-Z0-9]{12}\z"), F.concat(first.cast("string"), second.cast("string")))
 
 
