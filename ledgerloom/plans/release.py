@@ -123,9 +123,9 @@ def orphan_releases(spark, sf_dir):
     return manifest.orphan_releases(old, new)
 
 
-@query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)")
+@query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000)")
 def unknown_keys(spark, sf_dir):
-    known = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"))
+    known = table(spark, sf_dir, "customer").where("c_acctbal > 2000").select(F.col("c_custkey").alias("user_id"))
     return manifest.unknown_keys(table(spark, sf_dir, "events"), known, "user_id")
 
 

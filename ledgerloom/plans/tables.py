@@ -157,9 +157,9 @@ def owners_union(spark, sf_dir):
     return _owner_rows(spark, sf_dir)
 
 
-@query(f"SELECT owner, item, o_orderstatus FROM {_OWNERS_SQL} JOIN (SELECT * FROM orders WHERE o_orderkey % 3 = 0) ON item = o_orderkey")
+@query(f"SELECT owner, item, o_orderstatus FROM {_OWNERS_SQL} JOIN (SELECT * FROM orders WHERE o_totalprice >= 100000) ON item = o_orderkey")
 def owners_inner(spark, sf_dir):
-    known = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("item"), "o_orderstatus")
+    known = table(spark, sf_dir, "orders").where("o_totalprice >= 100000").select(F.col("o_orderkey").alias("item"), "o_orderstatus")
     return _owner_rows(spark, sf_dir).join(known, "item").select("owner", "item", "o_orderstatus")
 
 
@@ -253,14 +253,14 @@ def point_lookup(spark, sf_dir):
 
 _ASKED_SQL = f"""(SELECT CASE o_orderkey % 3 WHEN 0 THEN substring(k,1,2) || '.' || substring(k,3,3) || '.' || substring(k,6,3) || '/' || substring(k,9,4) || '-' || substring(k,13,2)
 WHEN 1 THEN '9' || substring(k, 2) ELSE substring(k, 3) END AS raw, CASE o_orderkey % 3 WHEN 2 THEN substring(k, 3) WHEN 1 THEN '9' || substring(k, 2) ELSE k END AS cnpj
-FROM (SELECT o_orderkey, key AS k FROM {ORDERS_SQL} WHERE o_orderkey % 5 = 0))"""
+FROM (SELECT o_orderkey, key AS k FROM {ORDERS_SQL}))"""
 
 
 def asked_keys(spark, sf_dir) -> DataFrame:
     """A user's list: masked keys, unknown keys, and text that is no key."""
     k, kind = F.col("key"), F.col("o_orderkey") % 3
     raw = F.when(kind == 0, X.mask_key(k)).when(kind == 1, F.concat(F.lit("9"), F.substring(k, 2, 13))).otherwise(F.substring(k, 3, 12))
-    return order_keys(spark, sf_dir).where("o_orderkey % 5 = 0").select(raw.alias("raw"))
+    return order_keys(spark, sf_dir).select(raw.alias("raw"))
 
 
 @query(f"SELECT raw, cnpj AS key, c_name, r_name FROM {_ASKED_SQL} LEFT JOIN (SELECT key, c_name, r_name FROM {FLAT_SQL}) ON cnpj = key")
