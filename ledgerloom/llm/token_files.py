@@ -97,8 +97,10 @@ class ChunkEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text; null is empty."""
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.chunks) > REMEMBERED or len(self.stems) > REMEMBERED or len(self.tails) > REMEMBERED:
-            self.chunks, self.stems, self.tails = {"": b""}, {}, {"": b""}
+        if len(self.chunks) > REMEMBERED:
+            self.chunks = {"": b""}
+        if len(self.stems) > REMEMBERED or len(self.tails) > REMEMBERED:
+            self.stems, self.tails = {}, {"": b""}
         chunks, stems = self.chunks, self.stems
         found = [list(map(chunks.get, words)) for words in split]
         absent = [[i for i, x in enumerate(ids) if x is None] for ids in found]
