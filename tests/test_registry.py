@@ -90,3 +90,25 @@ def test_shards_are_byte_exact(spark, tables, tmp_path):
     assert {r.fault for r in verify_shards(index.where("prefix = '12A'"), docs, counts=docs.groupBy("prefix").count().withColumnRenamed("count", "records")).collect()} == {"wrong_count"}
     with pytest.raises(Exception, match="wrong length"):
         shard_index(docs.selectExpr("prefix", "concat(key, '0') AS key", "value")).collect()
+
+
+def test_compressed_documents_and_their_artifacts(spark, tables, tmp_path):
+    import hashlib
+
+    from ledgerloom.operators.shards import file_artifacts, release_totals, shard_counts, upload_targets
+
+    docs = entity_documents(tables)
+    writers.write_documents(docs, str(tmp_path / "z"))
+    found = {r.path.rsplit("/", 1)[1]: (r.bytes, r.md5) for r in file_artifacts(spark, str(tmp_path / "z"), "*.gz").collect()}
+    want = {p.name: (p.stat().st_size, hashlib.md5(p.read_bytes()).hexdigest()) for p in (tmp_path / "z").glob("*.gz")}
+    assert found == want and found
+    assert readers.read_documents(spark, str(tmp_path / "z"), "cnpj string").count() == docs.count()
+    assert tuple(release_totals(shard_counts(shard_index(docs))).first()) == (2, 2)
+    assert [r.file for r in upload_targets(docs.select("prefix")).collect()] == ["12A.index", "12A.ndjson", "990.index", "990.ndjson"]
+
+
+def test_publish_flag(spark):
+    from ledgerloom.operators.changes import any_publish
+
+    rows = spark.createDataFrame([("a", False), ("b", True)], "module string, publish boolean")
+    assert any_publish(rows).first().publish and not any_publish(rows.limit(0)).first().publish
