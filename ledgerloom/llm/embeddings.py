@@ -2,7 +2,8 @@
 
 A filter is a tuple of directions, one for each block of a randomly rotated vector (a random product code); a vector passes
 it if the sum of the block products is at least a limit. Decoding a vector lists every filter that it passes, by
-extending partial sums only while the limit can still be reached. Vectors of a label that share a filter
+extending partial sums only while the limit can still be reached; a vector that passes few is given its best ones.
+Vectors of up to ``GRID`` numbers go to cells of a grid instead, which loses no link. Vectors of a label that share a filter
 are candidates: small buckets are sifted by sign sketches first, and what remains is verified by cosine in double
 precision. A pair is counted only in the first filter that both pass, so counts are exact and no list of pairs is kept.
 """
@@ -21,8 +22,12 @@ from pyspark.sql import functions as F
 from .common import components, shuffle_partitions, table, written
 
 COSINE = 0.98
-#: Rotations; filters that a vector passes in each on average; vectors of a label in a bucket that the number of filters aims at.
+#: Rotations; filters that a vector passes in each on average, at most; vectors of a label in a bucket that the number of filters aims at.
 TABLES, PASSES, BUCKET = 4, 24, 8
+#: Blocks of a vector, at every size; filters that a vector has in each rotation at least.
+SPLIT, LEAST = 2, 12
+#: Dimensions up to which the filters are cells of a grid, and the side of a cell; near vectors are ``REACH`` apart at most.
+GRID, CELL, REACH = 6, 0.4, math.sqrt(2 - 2 * COSINE) + 1e-9
 #: Buckets above this size skip the sketches; larger groups of verified vectors are cut into blocks of so many rows.
 SIFTED, BLOCK = 256, 2048
 #: Sign bits in which candidates may differ: at cosine 0.98 a pair differs in 4 of 64 on average, and in more than 18 about once in 10^8.
@@ -33,9 +38,10 @@ SEED = 42
 class Filters:
     """The filters for vectors of ``dim`` numbers; all of it follows from its parameters and the seed."""
 
-    def __init__(self, dim: int, count: int, tables: int = TABLES, passes: float = PASSES):
+    def __init__(self, dim: int, count: int, tables: int = TABLES, passes: float = PASSES, blocks: int | None = None, least: int = 0):
         rng = np.random.default_rng(SEED)
-        self.blocks = min(dim, 2 if count <= 1 << 16 else 4)
+        self.dim, self.least = dim, least
+        self.blocks = min(dim, blocks or (2 if count <= 1 << 16 else 4))
         self.width = max(4, math.ceil(count ** (1 / self.blocks)))
         edges = np.linspace(0, dim, self.blocks + 1).astype(int)
         self.cuts = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
@@ -57,15 +63,22 @@ class Filters:
         return np.packbits(unit @ self.planes > 0, axis=1).view(np.int64).ravel()
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """Numbers of all filters that each row of ``unit`` passes, ascending."""
+        """Numbers of all filters that each row of ``unit`` passes, and of its ``least`` best ones in each rotation, ascending."""
+        if self.dim <= GRID:
+            return self._cells(unit)
         rows, found = [], []
         for t, book in enumerate(self.codes):
             scores = [unit @ code for code in book]
-            rest = sum(s.max(axis=1) for s in scores)
+            full = rest = sum(s.max(axis=1) for s in scores)
             row, sums, ids = np.arange(len(unit)), np.zeros(len(unit)), np.zeros(len(unit), np.int64)
+            top, top_ids = np.zeros((len(unit), 1)), np.zeros((len(unit), 1), np.int64)
             for s in scores:
-                rest = rest - s.max(axis=1)
-                order = np.argsort(-s, axis=1)
+                most = s.max(axis=1)
+                rest = rest - most
+                # only directions that can reach the limit with the best ones of all other blocks are sorted
+                k = min(self.width, max(1, self.least, int((s >= (self.limit - full + most - 1e-12)[:, None]).sum(axis=1).max())))
+                order = np.argpartition(-s, k - 1, axis=1)[:, :k]
+                order = np.take_along_axis(order, np.argsort(-np.take_along_axis(s, order, axis=1), axis=1, kind="stable"), axis=1)
                 best = np.take_along_axis(s, order, axis=1)
                 # a partial sum goes on only with the directions that still let it reach the limit
                 n = (best[row] >= (self.limit - rest[row] - sums - 1e-12)[:, None]).sum(axis=1)
@@ -73,11 +86,31 @@ class Filters:
                 at = np.arange(len(old)) - np.repeat(np.cumsum(n) - n, n)
                 row = row[old]
                 sums, ids = sums[old] + best[row, at], ids[old] * self.width + order[row, at]
-            rows.append(row)
-            found.append(t * self.total + ids)
-        row, ids = np.concatenate(rows), np.concatenate(found)
-        by = np.lexsort((ids, row))
-        return np.split(ids[by], np.searchsorted(row[by], np.arange(1, len(unit))))
+                # the best sums continue the best partial sums with the best directions
+                wide = (top[:, :, None] + best[:, None, :self.least]).reshape(len(unit), -1)
+                wide_ids = (top_ids[:, :, None] * self.width + order[:, None, :self.least]).reshape(len(unit), -1)
+                pick = np.argsort(-wide, axis=1, kind="stable")[:, :self.least]
+                top, top_ids = np.take_along_axis(wide, pick, axis=1), np.take_along_axis(wide_ids, pick, axis=1)
+            few = np.bincount(row, minlength=len(unit)) < self.least
+            rows += [row[~few[row]], np.repeat(np.nonzero(few)[0], top.shape[1])]
+            found += [t * self.total + ids[~few[row]], t * self.total + top_ids[few].ravel()]
+        return _by_row(np.concatenate(rows), np.concatenate(found), len(unit))
+
+    def _cells(self, unit: np.ndarray) -> list[np.ndarray]:
+        """Numbers of all cells within half of ``REACH`` of each row in every dimension: near rows have one in common."""
+        low, high = (np.floor((unit + d) / CELL).astype(np.int64) + 3 for d in (-REACH / 2, REACH / 2))
+        row, ids = np.arange(len(unit)), np.zeros(len(unit), np.int64)
+        for i in range(self.dim):
+            both = high[row, i] > low[row, i]
+            more = ids[both] * 8 + high[row[both], i]
+            row, ids = np.concatenate([row, row[both]]), np.concatenate([ids * 8 + low[row, i], more])
+        return _by_row(row, ids, len(unit))
+
+
+def _by_row(row: np.ndarray, ids: np.ndarray, n: int) -> list[np.ndarray]:
+    """The ids of each of ``n`` rows, ascending."""
+    by = np.lexsort((ids, row))
+    return np.split(ids[by], np.searchsorted(row[by], np.arange(1, n)))
 
 
 def _whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
@@ -197,7 +230,7 @@ def near_embeddings(vectors: DataFrame, tables: int = TABLES, passes: float = PA
         made: dict[int, Filters] = {}
         for b in batches:
             for dim, part in b.groupby(b["embedding"].map(len)):
-                f = made.setdefault(dim, Filters(dim, count, tables, passes))
+                f = made.setdefault(dim, Filters(dim, count, tables, passes, SPLIT, LEAST))
                 for lo in range(0, len(part), 256):
                     some = part.iloc[lo : lo + 256]
                     x = np.array(some["embedding"].tolist(), np.float64)

@@ -81,6 +81,21 @@ def test_decoding_lists_every_filter():
         assert abs(len(set(want) ^ set(ids.tolist()))) <= 1 and ids.tolist() == sorted(ids)
 
 
+@pytest.mark.parametrize("dim, count", [(64, 65_537), (64, 1_000_000), (8, 1_000_000), (3, 1_000_000), (1, 1024)])
+def test_embeddings_recall_of_many_filters(spark, monkeypatch, dim, count):
+    rng = np.random.default_rng(dim)
+    x = rng.standard_normal((200, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((200, dim))
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-9)
+    y = 0.9801 * x + np.sqrt(1 - 0.9801**2) * side if dim > 1 else 2 * x
+    data = [(i, [float(np.float32(v)) for v in r], 1) for i, r in enumerate(np.vstack([x, y]))]
+    monkeypatch.setattr(embeddings, "BUCKET", len(data) * embeddings.PASSES / count)  # as many filters as a label of count / 3
+    out = embeddings.near_embeddings(spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == sorted(brute_links(data))
+
+
 # mixing -----------------------------------------------------------------------------------------------------
 def slow_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
