@@ -28,7 +28,7 @@ COPY = 0.8
 PLAIN, CONTENT, CHROME = 0, 1, 2
 
 # Fixed values of the markup language. -----------------------------------------------------------------------
-RAW = "script style noscript template textarea select iframe object svg canvas title math"
+RAW = "script style noscript template textarea select iframe object svg canvas title"
 BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -41,13 +41,16 @@ CHROME_WORDS = frozenset(
     "footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup "
     "promo promoted promotion related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
+#: In content a class or id is chrome only as a whole: chrome words, alone or with these, on an element that holds blocks.
+LAYOUT_WORDS = frozenset("area articles bar block box button buttons container content form icons inner items link links list panel posts section stories wrap wrapper".split())
+CONTAINERS = frozenset("div dl fieldset figure ol section table ul".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 ENDS_ALONE = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 PARENTS = frozenset("ul ol dl table tbody thead tfoot tr menu section div article main body".split())
 # ------------------------------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW.replace(" ", "|") + r")(?=[\s/>])(?>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<!(?>[^>]*)>|<\?(?>[^>]*)>"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?<=/)>|<(?P<raw>" + RAW.replace(" ", "|") + r")(?=[\s/>])(?>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<!(?>[^>]*)>|<\?(?>[^>]*)>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?>[^>]*)>",
     re.S | re.I,
 )
@@ -55,8 +58,16 @@ _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop
 _PARTS = re.compile(r"[a-z]+")
 
 
-def _zone(tag: str, attrs: str) -> int:
-    """What an element's start tag says about all that it holds."""
+def _names_chrome(tag: str, value: str, inside: bool) -> bool:
+    """Whether a class or id says chrome; ``inside`` content only a whole one of a container does."""
+    if not inside:
+        return not CHROME_WORDS.isdisjoint(_PARTS.findall(value))
+    names = [set(_PARTS.findall(x)) for x in value.split()] if tag in CONTAINERS else []
+    return any(x & CHROME_WORDS and x <= CHROME_WORDS | LAYOUT_WORDS for x in names)
+
+
+def _zone(tag: str, attrs: str, inside: bool = False) -> int:
+    """What an element's start tag says about all that it holds; ``inside``: it is in content."""
     if tag in CHROME_TAGS:
         return CHROME
     found = CONTENT if tag in CONTENT_TAGS else PLAIN
@@ -70,7 +81,7 @@ def _zone(tag: str, attrs: str) -> int:
             return CHROME
         if (name == "role" and value in ("main", "article")) or (name == "itemprop" and value == "articlebody"):
             found = CONTENT
-        elif name in ("class", "id") and found != CONTENT and not CHROME_WORDS.isdisjoint(_PARTS.findall(value)):
+        elif name in ("class", "id") and found != CONTENT and _names_chrome(tag, value, inside):
             return CHROME
     return found
 
@@ -127,7 +138,7 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
             close()
         if tag in VOID:
             continue
-        said = _zone(tag, m["attrs"] or "")
+        said = _zone(tag, m["attrs"] or "", zone == CONTENT)
         if said == CONTENT and zone == CHROME and tag in CONTENT_TAGS and open_[-1][0] != tag:
             while open_ and zone == CHROME:
                 close()  # an article doesn't begin in a menu: the menu's end tag was left out

@@ -294,6 +294,14 @@ def test_page_zones():
     assert pages._kept_text([pages.page_lines("<nav>menu<article><p>Text</article>")]) == ["Text"]
 
 
+def test_articles_lose_no_text_to_markup():
+    text = lambda page: pages._kept_text([pages.page_lines(page)])[0]
+    assert text('<p>One <svg class="i" title="a>b"/> two</p><p>Three</p><svg><text>no</text></svg>') == "One two Three"
+    assert text("<p>So <math><mi>x</mi> = <mn>2</mn></math> and <math/> on</p>") == "So x = 2 and on"
+    inside = '<p class="market-share">A</p><section class="related-work"><p>B</p></section><p class="notice">C</p><div class="social-science">D</div>'
+    assert text(f"<article>{inside}<div class='x share-bar'>no</div><section id=comments>no</section></article>") == "A B C D"
+
+
 def test_neighbours_remove_templates(spark):
     page = lambda i: f"<body><div>Our shop</div><p>Story {i} about {i * 7}.</p><p>It ends {i}.</p><div>Call us: {'1' * 9}</div><div>Terms</div></body>"
     rows = [(i, f"http://a.example/x/{i:03d}?q={i}", page(i)) for i in range(19)] + [(50, "https://A.example/x/001.html#top", page(1)), (60, None, None), (61, None, ""), (62, "http://alone.example/", page(3)), (None, "http://a.example/zz", "<p>broken <b"), (0, "http://a.example/x/000?q=0", page(0))]
