@@ -2,16 +2,18 @@
 
 A page becomes lines, one for each block of markup. The pages of a host are ordered by URL path, neighbours are aligned
 by the longest common subsequence of their lines, and lines that both have are deleted: templates repeat, articles
-don't. Two things markup states outright come before what neighbours suggest: lines of an article or main element
+don't. Copies of a page are one page there. Two things markup states outright come before what neighbours suggest: lines of an article or main element
 are content (an article may quote a line that another one has), and menus, headers, footers, asides, forms, scripts
 and blocks whose class, id or role says that they are notices, adverts or comments are not.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as htmllib
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,8 @@ from .common import dense_index, table, written
 
 #: Pages of a host that are compared with their neighbours in one group; a longer rest joins the last group.
 GROUP = 8
-#: Neighbours whose shared lines hold over this part of their text (chrome left out) are copies of one page, not two pages of a template.
+#: Neighbours whose shared lines hold over this part of the shorter text (chrome left out) may be near copies: only lines that most pages of
+#: the group have are deleted then.
 COPY = 0.8
 PLAIN, CONTENT, CHROME = 0, 1, 2
 
@@ -214,23 +217,40 @@ def _align(x: list[int], y: list[int]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _shared(coded: list[list[int]], sizes: list[list[int]]) -> list[set[int]]:
+    """Positions of the lines that each of some neighbouring pages shares with the nearest page on either side that isn't its copy.
+
+    A page without a line of its own beside another is its copy.
+    """
+    often = Counter(c for codes in coded for c in set(codes))
+    shared: list[set[int]] = [set() for _ in coded]
+    done = set()
+    for k in range(len(coded)):
+        for others in (range(k + 1, len(coded)), range(k - 1, -1, -1)):
+            for j in others:
+                if set(coded[k]) <= set(coded[j]) or set(coded[j]) <= set(coded[k]):
+                    continue
+                if (a := min(k, j), b := max(k, j)) not in done:
+                    done.add((a, b))
+                    p, q = common_lines(coded[a], coded[b])
+                    if sum(sizes[a][i] for i in p) > COPY * min(sum(sizes[a]), sum(sizes[b])):
+                        most = [2 * often[coded[a][i]] > len(coded) for i in p]
+                        p, q = [i for i, m in zip(p, most) if m], [i for i, m in zip(q, most) if m]
+                    shared[a].update(p)
+                    shared[b].update(q)
+                break
+    return shared
+
+
 def _kept_text(pages: list[tuple[list[str], list[int]]]) -> list[str]:
     """Texts of neighbouring pages of a host."""
     number: dict[str, int] = {}
-    coded = [[number.setdefault(t, len(number)) for t in lines] for lines, _ in pages]
-    shared: list[set[int]] = [set() for _ in pages]
-    for k in range(len(pages) - 1):
-        i, j = common_lines(coded[k], coded[k + 1])
-        size = [sum(len(t) for t, z in zip(*page) if z != CHROME) for page in (pages[k], pages[k + 1])]
-        both = sum(len(pages[k][0][p]) for p in i if pages[k][1][p] != CHROME)
-        if both > COPY * min(size):
-            continue
-        shared[k].update(i)
-        shared[k + 1].update(j)
+    own = [[(t, z) for t, z in zip(*page) if z != CHROME] for page in pages]
+    shared = _shared([[number.setdefault(t, len(number)) for t, _ in page] for page in own], [[len(t) for t, _ in page] for page in own])
     out = []
-    for (lines, zones), gone in zip(pages, shared):
-        main = CONTENT if CONTENT in zones else PLAIN
-        out.append(" ".join(t for p, (t, z) in enumerate(zip(lines, zones)) if z == main and (z == CONTENT or p not in gone)))
+    for page, gone in zip(own, shared):
+        main = CONTENT if CONTENT in [z for _, z in page] else PLAIN
+        out.append(" ".join(t for p, (t, z) in enumerate(page) if z == main and (z == CONTENT or p not in gone)))
     return out
 
 
@@ -246,45 +266,77 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page
     order. A page with an article or main element keeps that, without chrome inside it; any other keeps its
     lines that are neither chrome nor shared with a neighbour. Null or empty html, and html without text, gives an empty text.
-    Pages without a URL count as one host; the only page of a host has no neighbour. Copies of a page under other
-    URLs (over four fifths of the text shared) are not held against each other. Repeated rows give equal texts.
+    Pages without a URL count as one host; the only page of a host has no neighbour. Copies of a page (equal lines beside chrome) under
+    other URLs of a host are one page there, at the least URL; each gets its text. Repeated rows give equal texts.
+
+    Neighbours are found and aligned on codes of lines, so the text itself is shuffled once.
     """
 
     host, path = _host_and_path(F.col("url"))
     wanted = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
-    cuts = _cuts(wanted.select("host", "path", "page_id"), group)
-    parts = len(cuts) + 1
+    kind = pages.schema["page_id"].dataType.simpleString()
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        """Batches with the lines, zones, codes and digest of each page, chrome left out."""
         for b in batches:
             for lo in range(0, len(b), 256):
                 some = b.iloc[lo : lo + 256]
-                found = [page_lines(x) for x in some["html"]]
-                part = [bisect_right(cuts, _place(*k)) for k in zip(some["host"], some["path"], some["page_id"])]
-                yield some.drop(columns="html").assign(part=part, lines=[x for x, _ in found], zones=[z for _, z in found])
+                own = [[(t, z) for t, z in zip(*page_lines(x)) if z != CHROME] for x in some["html"]]
+                flat = np.array([t for page in own for t, _ in page], object)
+                codes = pd.util.hash_array(flat, categorize=False).view(np.int64) if len(flat) else np.zeros(0, np.int64)
+                codes = np.split(codes, np.cumsum([len(page) for page in own])[:-1])
+                zones = [np.array([z for _, z in page], np.int8) for page in own]
+                digests = [hashlib.blake2b(c.tobytes() + z.tobytes(), digest_size=16).hexdigest() for c, z in zip(codes, zones)]
+                yield some.drop(columns="html"), own, zones, codes, digests
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some, own, zones, codes, digests in lines_of(batches):
+            yield some.drop(columns="url").assign(digest=digests, codes=list(codes), sizes=[[len(t) for t, _ in page] for page in own], plain=[CONTENT not in z for z in zones])
+
+    fields = f"page_id {kind}, host string, path string, digest string, codes array<long>, sizes array<int>, plain boolean"
+    sketches = wanted.mapInPandas(sketch, fields)
+    least = F.min(F.struct("path", F.col("page_id").isNotNull().alias("known"), "page_id", "codes", "sizes", "plain")).alias("k")
+    unlike = written(sketches.groupBy("host", "digest").agg(least).select("host", "digest", "k.*"))
+    cuts = _cuts(unlike.select("host", "path", "page_id"), group)
+    parts = len(cuts) + 1
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(part=[bisect_right(cuts, _place(*k)) for k in zip(b["host"], b["path"], b["page_id"])])
 
     def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
 
-        def texts(n: int) -> pd.DataFrame:
+        def gone(n: int) -> pd.DataFrame:
             some, held[:n] = held[:n], []
-            kept = _kept_text([(list(r[3]), list(r[4])) for r in some])
-            return pd.DataFrame({"page_id": pd.Series([r[1] for r in some], dtype=b["page_id"].dtype), "url": np.array([r[2] for r in some], object), "text": np.array(kept, object), "n_chars": [len(t) for t in kept]})
+            shared = _shared([r[2].tolist() for r in some], [r[3].tolist() for r in some])
+            found = [(r[0], r[1], sorted(x)) for r, x in zip(some, shared) if r[4] and x]
+            return pd.DataFrame({c: pd.Series([f[i] for f in found], dtype=object) for i, c in enumerate(("host", "digest", "gone"))})
 
         for b in batches:
-            for r in zip(b["host"], b["page_id"], b["url"], b["lines"], b["zones"]):
+            for r in zip(b["host"], b["digest"], b["codes"], b["sizes"], b["plain"]):
                 if held and held[-1][0] != r[0]:
-                    yield texts(len(held))
+                    yield gone(len(held))
                 held.append(r)
                 if len(held) == 2 * group:
-                    yield texts(group)
+                    yield gone(group)
         if held:
-            yield texts(len(held))
+            yield gone(len(held))
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    parsed = wanted.mapInPandas(parse, f"page_id {kind}, url string, host string, path string, part int, lines array<string>, zones array<byte>")
-    order = ["host", "path", F.col("page_id").asc_nulls_first()]
-    return parsed.repartition(parts, "part").sortWithinPartitions("part", *order).drop("part", "path").mapInPandas(difference, f"page_id {kind}, url string, text string, n_chars long")
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some, own, zones, _, digests in lines_of(batches):
+            main = [CONTENT if CONTENT in z else PLAIN for z in zones]
+            lines = [[t for t, z in page if z == m] if m == PLAIN else [" ".join(t for t, z in page if z == m)] for page, m in zip(own, main)]
+            yield some[["page_id", "url", "host"]].assign(digest=digests, lines=lines)
+
+    placed = unlike.drop("known").mapInPandas(place, fields + ", part int")
+    order = ["host", "path", F.col("page_id").asc_nulls_first(), "digest"]
+    ordered = placed.repartition(parts, "part").sortWithinPartitions("part", *order).select("host", "digest", "codes", "sizes", "plain")
+    gone = written(ordered.mapInPandas(difference, "host string, digest string, gone array<int>"))
+    parsed = wanted.select("page_id", "url", "host", "html").mapInPandas(parse, f"page_id {kind}, url string, host string, digest string, lines array<string>")
+    left = F.filter("lines", lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
+    texts = parsed.join(gone, ["host", "digest"], "left").select("page_id", "url", F.array_join(left, " ").alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def _place(host: str, path: str, page_id) -> tuple:

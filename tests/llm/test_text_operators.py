@@ -316,6 +316,20 @@ def test_neighbours_remove_templates(spark):
     assert pages.main_text(df.limit(0)).count() == 0
 
 
+def test_copies_and_large_templates(spark):
+    big = "".join(f"<div>{'menu ' * 20}{k}</div>" for k in range(9))  # 0.8 and more of each page
+    page = lambda i: f"<body>{big}<p>Story {i} about {i * 7}.</p><div>Terms</div></body>"
+    rows = [(i, f"http://a.example/x/{i:03d}", page(i)) for i in range(12)]
+    rows += [(100 + i, f"http://b.example/y/{i:03d}", page(i // 20)) for i in range(60)]  # runs of copies longer than a group
+    rows += [(200 + i, f"http://c.example/{i}", f"<p>Long {'tale ' * 90}</p><p>Seen {i}</p>" if i < 2 else f"<p>Other {i}</p>") for i in range(6)]
+    out = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r.page_id: r.text for r in out}
+    assert len(out) == len(rows) and all(r.n_chars == len(r.text) for r in out)
+    assert all(got[i] == f"Story {i} about {i * 7}." for i in range(12))
+    assert all(got[100 + i] == f"Story {i // 20} about {i // 20 * 7}." for i in range(60))
+    assert all(got[200 + i].startswith("Long tale") for i in range(2))  # near copies keep their text
+
+
 def test_pages_query_keeps_articles(spark, sf_dir):
     import html
 
