@@ -26,13 +26,14 @@ SHARE, STEPS, LEAST_ROWS = 0.75, 6, 100
 TAIL = 1e-9
 #: The transformed statistics, and the least standard deviation of each: statistics that are constant in most of
 #: a group (no symbols, no repeats) would else make any other value infinitely far. A mean word length is known
-#: only so well from a short text, and a repeated title is no fault.
+#: only so well from a short text, and a repeated title is no fault. Each floor is small enough for its statistic to
+#: reach the limit of ``TAIL`` alone, even where the base rules bound it.
 VECTOR = {
     "z_words": ("ln(n_words)", 0.3),
     "z_length": ("ln(word_chars / n_words)", 0.12),
     "z_symbols": ("ln(1 + 100 * n_symbols / n_words)", 0.4),
-    "z_lines": ("ln(1 + 100 * n_dup_lines / n_words)", 1.0),
-    "z_repeats": ("ln(1 + 100 * n_repeat_words / n_words)", 1.0),
+    "z_lines": ("ln(1 + 100 * n_dup_lines / n_words)", 0.4),
+    "z_repeats": ("ln(1 + 100 * n_repeat_words / n_words)", 0.4),
 }
 COLUMNS = list(VECTOR)
 P = len(COLUMNS)

@@ -191,6 +191,21 @@ def test_quality_rules(spark, docs):
     assert all(got[i] for i, *_ in good) and not any(got[i] for i, *_ in bad)
 
 
+@pytest.mark.parametrize("size", [1, 2, 4])
+def test_duplicate_lines_are_outliers(spark, size):
+    rng = np.random.default_rng(8)
+    good = [(i, " ".join(rng.choice(WORDS, int(n))), "en", "s") for i, n in enumerate(rng.integers(100, 900, 300))]
+    pool = [" ".join(WORDS[k * size : (k + 1) * size]) for k in range(60)]
+    bad = [(1000 + i, "\n".join(rng.choice(pool, 800 // size + 60)), "en", "s") for i in range(5)]
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(good + bad, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[1000 + i].base_failed or got[1000 + i].kept for i in range(5)) and all(got[i].kept for i, *_ in good)
+
+
+def test_each_statistic_reaches_the_limit():
+    most = {"z_lines": 100, "z_repeats": quality.REPEAT_PERCENT}
+    assert all((np.log1p(n) / quality.VECTOR[z][1]) ** 2 > quality.chi2_quantile(1 - quality.TAIL, quality.P) for z, n in most.items())
+
+
 def test_mcd_is_not_pulled_by_outliers(spark):
     from ledgerloom.llm.common import written
 
