@@ -177,7 +177,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def model_for(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Trained on those rows of ``docs`` that ``labels`` (doc_id, toxic) covers: all, or the ``sample`` doc_ids of least hash.
+    """Trained on those rows of ``docs`` that ``labels`` (doc_id, toxic) covers: all, or the ``sample`` doc_ids of least hash, one row for each
+    (its text of least hash).
 
     A doc_id that is labelled both ways is toxic; labels other than 0 and 1 are left out. The texts are not shuffled:
     the bounded sample of ids is broadcast to them.
@@ -185,8 +186,32 @@ def model_for(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     present = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     some = written(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # repeated doc_ids may add rows; they are of the same few ids
-    return train(written(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")))
+    return train(written(_one_text(docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(some), "doc_id"))))
+
+
+def _one_text(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text, h: its hash, toxic), the text of least hash for each doc_id; a task drops the others before the shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least: dict = {}
+        held = 0
+        for b in batches:
+            for r in zip(b["doc_id"], b["text"], b["h"], b["toxic"]):
+                old = least.get(r[0])
+                if old is None or r[2] < old[2]:
+                    held += len(r[1] or "") - (len(old[1] or "") if old else 0)
+                    least[r[0]] = r
+            if held > 1 << 24:  # bounds a task's memory
+                yield frame(least)
+                least, held = {}, 0
+        yield frame(least)
+
+    def frame(least: dict) -> pd.DataFrame:
+        return pd.DataFrame({c: pd.Series([r[i] for r in least.values()], dtype=object) for i, c in enumerate(("doc_id", "text", "h", "toxic"))})
+
+    kept = rows.select("doc_id", "text", "h", "toxic").mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, h long, toxic int")
+    one = kept.groupBy("doc_id").agg(F.min(F.struct("h", "text", "toxic")).alias("k"))
+    return one.select("doc_id", "k.text", "k.toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

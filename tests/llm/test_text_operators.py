@@ -242,6 +242,17 @@ def test_toxicity_edges(spark, docs):
     assert none.where("toxic").count() == 0 and toxicity.toxicity(empty(docs), labels).count() == 0
 
 
+def test_toxicity_sample_bounds_rows(spark, monkeypatch):
+    rows = [(1, f"same id {i % 3}") for i in range(300)] + [(i, f"text {i}") for i in range(2, 30)] + [(30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 9)) for i in range(1, 31)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda labelled: labelled.collect())
+    got = toxicity.model_for(docs, labels)
+    assert sorted((r.doc_id, r.toxic) for r in got) == [(i, int(i < 9)) for i in range(1, 31)]
+    assert set(got) == set(toxicity.model_for(docs.repartition(5), labels))
+    assert len(toxicity.model_for(docs, labels, 10)) == 10
+
+
 def test_ordinal_regression_recovers_order():
     rng = np.random.default_rng(0)
     x = rng.normal(size=3000)
