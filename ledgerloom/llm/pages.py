@@ -1,10 +1,13 @@
 """Main text of web pages by differencing each page against its nearest neighbours.
 
-A page becomes lines, one for each block of markup. The pages of a host are ordered by URL path, neighbours are aligned
-by the longest common subsequence of their lines, and lines that both have are deleted: templates repeat, articles
-don't. Copies of a page are one page there. Two things markup states outright come before what neighbours suggest: lines of an article or main element
-are content (an article may quote a line that another one has), and menus, headers, footers, asides, forms, scripts
-and blocks whose class, id or role says that they are notices, adverts or comments are not.
+A page becomes lines, one for each block of markup. The pages of a host are ordered by URL path, each is aligned with its
+nearest neighbours by the longest common subsequence of their lines, and shared lines are deleted: templates repeat, articles
+don't. Copies of a page are one page there. The alignments also tell which boxes (containers of a host, by tag and class) are
+template: where neighbours share a box at all, they share it whole, while articles share a quotation at most. So a box
+of changing text, such as an advert, goes where the alignments show its like to be template.
+
+What markup states outright holds: scripts, menus, headers, footers, asides, forms and hidden elements are no
+article, and the lines of an article or main element are its text. Class names are only evidence: they count as a few alignments.
 """
 
 from __future__ import annotations
@@ -12,44 +15,48 @@ from __future__ import annotations
 import hashlib
 import html as htmllib
 import re
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dense_index, table, written
+from .common import dense_index, shuffle_partitions, table, written
 
-#: Pages of a host that are compared with their neighbours in one group; a longer rest joins the last group.
-GROUP = 8
-#: Neighbours whose shared lines hold over this part of the shorter text (chrome left out) may be near copies: only lines that most pages of
-#: the group have are deleted then.
-COPY = 0.8
-PLAIN, CONTENT, CHROME = 0, 1, 2
+#: Pages of a host that are aligned in one group, and those around them that are searched for a neighbour that is no copy.
+SPAN, NEAR = 64, 8
+#: Shared stretches that what markup says of a box counts for, and that what all hosts show of it counts for on one host.
+PRIOR, SHARED = 8, 32
+#: How the lines of a box are marked, and the share of its like that is template as far as markup tells: a class that names chrome; a page
+#: with an article elsewhere; any other page.
+NAMED, BESIDE, PLAIN = "named", "beside", "plain"
+BELIEF = {NAMED: 0.9, BESIDE: 0.6, PLAIN: 0.4}
+#: Zones of lines: nothing said, in an article, named by a class, no article.
+FREE, CONTENT, CLASS, CHROME = 0, 1, 2, 3
 
 # Fixed values of the markup language. -----------------------------------------------------------------------
-RAW = "script style noscript template textarea select iframe object svg canvas title"
+RAW = "script style template textarea select iframe svg title"
 BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
+    "head header hr html legend li main menu nav noscript ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+BOXES = frozenset("center details div dl fieldset figure noscript ol section table ul".split())
 CHROME_TAGS = frozenset("aside button dialog footer form header menu nav".split())
+UNCLOSED = frozenset("button form menu nav".split())
 CHROME_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
+CONTENT_TAGS = frozenset(("article", "main"))
+ENDS_ALONE = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
+# Words of class names: what chrome is called, and words that go with these.
 CHROME_WORDS = frozenset(
     "ad ads adslot advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup "
     "promo promoted promotion related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
-#: In content a class or id is chrome only as a whole: chrome words, alone or with these, on an element that holds blocks.
 LAYOUT_WORDS = frozenset("area articles bar block box button buttons container content form icons inner items link links list panel posts section stories wrap wrapper".split())
-CONTAINERS = frozenset("div dl fieldset figure ol section table ul".split())
-CONTENT_TAGS = frozenset(("article", "main"))
-ENDS_ALONE = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
-PARENTS = frozenset("ul ol dl table tbody thead tfoot tr menu section div article main body".split())
 # ------------------------------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(
@@ -61,106 +68,137 @@ _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop
 _PARTS = re.compile(r"[a-z]+")
 
 
-def _names_chrome(tag: str, value: str, inside: bool) -> bool:
-    """Whether a class or id says chrome; ``inside`` content only a whole one of a container does."""
-    if not inside:
-        return not CHROME_WORDS.isdisjoint(_PARTS.findall(value))
-    names = [set(_PARTS.findall(x)) for x in value.split()] if tag in CONTAINERS else []
-    return any(x & CHROME_WORDS and x <= CHROME_WORDS | LAYOUT_WORDS for x in names)
+def _attributes(attrs: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'").lower() for k, v in reversed(_NAMED.findall(attrs))} if attrs else {}
 
 
-def _zone(tag: str, attrs: str, inside: bool = False) -> int:
-    """What an element's start tag says about all that it holds; ``inside``: it is in content."""
-    if tag in CHROME_TAGS:
+def _zone(tag: str, said: dict[str, str], zone: int) -> int:
+    """The zone of what an element holds; ``zone``: that around it."""
+    if zone == CHROME or tag in ("html", "body"):
+        return zone
+    if tag in CHROME_TAGS and not (tag == "header" and zone == CONTENT):
         return CHROME
-    found = CONTENT if tag in CONTENT_TAGS else PLAIN
-    if not attrs or tag in ("html", "body"):
-        return found
-    for name, value in _NAMED.findall(attrs):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-            return CHROME
-        if name == "role" and value in CHROME_ROLES:
-            return CHROME
-        if (name == "role" and value in ("main", "article")) or (name == "itemprop" and value == "articlebody"):
-            found = CONTENT
-        elif name in ("class", "id") and found != CONTENT and _names_chrome(tag, value, inside):
-            return CHROME
-    return found
-
-
-def page_lines(page: str | None) -> tuple[list[str], list[int]]:
-    """The lines of a page in order, and the zone of each. Null has none."""
-    lines: list[str] = []
-    zones: list[int] = []
-    parts: list[str] = []
-    zone, open_ = PLAIN, []  # elements that set a zone: (tag, depth of same-named elements inside, zone outside)
-
-    def flush() -> None:
-        if parts:
-            raw = "".join(parts)
-            text = " ".join((htmllib.unescape(raw) if "&" in raw else raw).split())
-            if text:
-                lines.append(text)
-                zones.append(zone)
-            parts.clear()
-
-    def close() -> None:
-        nonlocal zone
-        flush()
-        zone = open_.pop()[2]
-
-    at = 0
-    for m in _TOKEN.finditer(page or ""):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        tag = m["tag"] or m["tag2"]
-        if not tag:
-            continue
-        tag = tag.lower()
-        block = tag in BLOCKS
-        if block:
-            flush()
-        if m["end"] or m["end2"]:
-            if open_ and open_[-1][0] in ENDS_ALONE and tag != open_[-1][0] and tag in PARENTS and open_[-1][3] == 0:
-                close()  # its own end tag was left out
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    if open_[k][1]:
-                        open_[k][1] -= 1
-                    else:
-                        while len(open_) > k:
-                            close()
-                    break
-            else:
-                if open_ and tag in PARENTS:
-                    open_[-1][3] = max(0, open_[-1][3] - 1)
-            continue
-        if open_ and tag in ENDS_ALONE.get(open_[-1][0], ()) and open_[-1][3] == 0:
-            close()
-        if tag in VOID:
-            continue
-        said = _zone(tag, m["attrs"] or "", zone == CONTENT)
-        if said == CONTENT and zone == CHROME and tag in CONTENT_TAGS and open_[-1][0] != tag:
-            while open_ and zone == CHROME:
-                close()  # an article doesn't begin in a menu: the menu's end tag was left out
-        if said != PLAIN and not (zone == CHROME or said == zone):
+    if "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "") or said.get("role") in CHROME_ROLES:
+        return CHROME
+    if zone == CLASS or tag == "noscript":
+        return CLASS
+    if tag in CONTENT_TAGS or said.get("role") in CONTENT_TAGS or said.get("itemprop") == "articlebody":
+        return CONTENT
+    # a name counts as a whole, inside an article only on an element that holds blocks
+    if zone != CONTENT or tag in BOXES:
+        for name in f"{said.get('class', '')} {said.get('id', '')}".split():
+            parts = set(_PARTS.findall(name))
+            if parts & CHROME_WORDS and parts <= CHROME_WORDS | LAYOUT_WORDS:
+                return CLASS
+    return zone
+
+
+class Page:
+    """The lines of a page that markup doesn't rule out: text, whether in an article, and the innermost box.
+
+    boxes: (box around it, name, zone) of each; a name is the tag with its class and id, numbers left out.
+    """
+
+    def __init__(self, page: str | None):
+        self.lines: list[str] = []
+        self.zones: list[int] = []
+        self.box_of: list[int] = []
+        self.boxes: list[tuple[int, str, int]] = []
+        self._read(page or "")
+
+    def _read(self, page: str) -> None:
+        parts: list[str] = []
+        zone, box = FREE, -1
+        stack: list[tuple[str, int, int]] = []  # open block elements: tag, zone and box around them
+        count: Counter[str] = Counter()
+
+        def flush() -> None:
+            if parts:
+                raw = "".join(parts)
+                parts.clear()
+                text = " ".join((htmllib.unescape(raw) if "&" in raw else raw).split())
+                if text and zone != CHROME:
+                    self.lines.append(text)
+                    self.zones.append(zone)
+                    self.box_of.append(box)
+
+        def close(n: int) -> None:
+            nonlocal zone, box
+            while len(stack) > n:
+                tag, zone, box = stack.pop()
+                count[tag] -= 1
+
+        at = 0
+        for m in _TOKEN.finditer(page):
+            if m.start() > at:
+                parts.append(page[at : m.start()])
+            at = m.end()
+            tag = (m["tag"] or m["tag2"] or "").lower()
+            if tag not in BLOCKS:
+                continue
             flush()
-            open_.append([tag, 0, zone, 0])
-            zone = said
-        elif open_:
-            for entry in reversed(open_):
-                if entry[0] == tag:
-                    entry[1] += 1
-                    break
+            if m["end"] or m["end2"]:
+                if count[tag]:
+                    close(max(k for k in range(len(stack)) if stack[k][0] == tag) if stack[-1][0] != tag else len(stack) - 1)
+                continue
+            while stack and stack[-1][0] == "p":
+                close(len(stack) - 1)
+            alike, edge = ENDS_ALONE.get(tag, ((), ()))
+            if any(count[x] for x in alike):
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] in alike:
+                        close(k)
+                        break
+                    if stack[k][0] in edge:
+                        break
+            if tag in VOID:
+                continue
+            if tag in CONTENT_TAGS and zone == CHROME and stack[-1][0] in UNCLOSED:
+                close(len(stack) - 1)  # an article doesn't begin in a menu: the menu's end tag was left out
+            said = _attributes(m["attrs"] or "")
+            stack.append((tag, zone, box))
+            count[tag] += 1
+            inner = _zone(tag, said, zone)
+            if inner != CHROME and (tag in BOXES or inner != zone):
+                name = ".".join([tag, *re.sub(r"[0-9]+", "", f"{said.get('class', '')} {said.get('id', '')}").split()])
+                self.boxes.append((box, name, inner))
+                box = len(self.boxes) - 1
+            zone = inner
+        if at < len(page):
+            parts.append(page[at:])
+        flush()
+
+    def regions(self) -> list[str | None]:
+        """For each line the name of the box that is judged as a whole, or None for the text of an article.
+
+        It is the outermost box that a class name marks; else the outermost one that holds no more than half of the page's text. A line
+        in neither is in no box (name ''). A name begins with how the box is marked.
+        """
+        holds = Counter()
+        for t, b in zip(self.lines, self.box_of):
+            while b >= 0:
+                holds[b] += len(t)
+                b = self.boxes[b][0]
+        half = sum(map(len, self.lines)) / 2
+        other = BESIDE if CONTENT in self.zones else PLAIN
+        chosen: dict[tuple[int, int], str | None] = {}
+        for key in set(zip(self.box_of, self.zones)):
+            b, z = key
+            chain = []
+            while b >= 0:
+                chain.append(b)
+                b = self.boxes[b][0]
+            chain = chain[::-1]
+            if z == CONTENT:
+                chosen[key] = None
+                continue
+            names = [self.boxes[b][1] for b in chain]
+            if z == CLASS:
+                kind, k = NAMED, next(i for i, b in enumerate(chain) if self.boxes[b][2] == CLASS)
             else:
-                if tag in PARENTS:
-                    open_[-1][3] += 1
-    if page and at < len(page):
-        parts.append(page[at:])
-    flush()
-    return lines, zones
+                kind, k = other, next((i for i, b in enumerate(chain) if holds[b] <= half), None)
+            chosen[key] = f"{kind}:" if k is None else f"{kind}:" + ">".join(names[max(0, k - 1) : k + 1])
+        return [chosen[key] for key in zip(self.box_of, self.zones)]
 
 
 def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
@@ -217,40 +255,28 @@ def _align(x: list[int], y: list[int]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _shared(coded: list[list[int]], sizes: list[list[int]]) -> list[set[int]]:
-    """Positions of the lines that each of some neighbouring pages shares with the nearest page on either side that isn't its copy.
+def witnesses(coded: list[list[int]], own: list[bool], near: int = NEAR) -> list[list[set[int]]]:
+    """For each page of ``own``, and in the order of their distance: positions of the lines that it shares with each of two neighbours.
 
-    A page without a line of its own beside another is its copy.
+    The neighbours are the nearest pages on either side (at the end of a host: the two nearest on one side), at most ``near`` away,
+    that aren't its copy. A page without a line of its own beside another is its copy.
     """
-    often = Counter(c for codes in coded for c in set(codes))
-    shared: list[set[int]] = [set() for _ in coded]
-    done = set()
+    sets = [set(x) for x in coded]
+    shared: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+    out: list[list[set[int]]] = []
     for k in range(len(coded)):
-        for others in (range(k + 1, len(coded)), range(k - 1, -1, -1)):
-            for j in others:
-                if set(coded[k]) <= set(coded[j]) or set(coded[j]) <= set(coded[k]):
-                    continue
-                if (a := min(k, j), b := max(k, j)) not in done:
-                    done.add((a, b))
-                    p, q = common_lines(coded[a], coded[b])
-                    if sum(sizes[a][i] for i in p) > COPY * min(sum(sizes[a]), sum(sizes[b])):
-                        most = [2 * often[coded[a][i]] > len(coded) for i in p]
-                        p, q = [i for i, m in zip(p, most) if m], [i for i, m in zip(q, most) if m]
-                    shared[a].update(p)
-                    shared[b].update(q)
-                break
-    return shared
-
-
-def _kept_text(pages: list[tuple[list[str], list[int]]]) -> list[str]:
-    """Texts of neighbouring pages of a host."""
-    number: dict[str, int] = {}
-    own = [[(t, z) for t, z in zip(*page) if z != CHROME] for page in pages]
-    shared = _shared([[number.setdefault(t, len(number)) for t, _ in page] for page in own], [[len(t) for t, _ in page] for page in own])
-    out = []
-    for page, gone in zip(own, shared):
-        main = CONTENT if CONTENT in [z for _, z in page] else PLAIN
-        out.append(" ".join(t for p, (t, z) in enumerate(page) if z == main and (z == CONTENT or p not in gone)))
+        found: list[set[int]] = []
+        if own[k]:
+            side = [[j for j in js if not (sets[k] <= sets[j] or sets[j] <= sets[k])][:2] for js in (range(k + 1, min(len(coded), k + near + 1)), range(k - 1, max(-1, k - near - 1), -1))]
+            pick = [s[0] for s in side if s]
+            if len(pick) == 1:
+                pick = max(side, key=len)
+            for j in pick:
+                a, b = min(k, j), max(k, j)
+                if (a, b) not in shared:
+                    shared[a, b] = common_lines(coded[a], coded[b])
+                found.append(set(shared[a, b][k > j]))
+        out.append(found)
     return out
 
 
@@ -260,14 +286,60 @@ def _host_and_path(url: F.Column) -> tuple[F.Column, F.Column]:
     return F.lower(F.regexp_extract(rest, "^([^/]*)", 1)), path
 
 
-def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
+def _compared(pages: list[tuple]) -> tuple[list, list]:
+    """``pages``: (codes, sizes, region of each line, regions, whether own) of a stretch of a host, in order of URL path.
+
+    Gives for each own page its boxes (region, its lines, those of them that both neighbours share), and the evidence that it gives on
+    its boxes (region, digest of what a neighbour shares of it, share of its text).
+    """
+    cells, evidence = [], []
+    for (codes, sizes, where, names, own), found in zip(pages, witnesses([p[0] for p in pages], [p[4] for p in pages])):
+        boxes: dict[int, list[int]] = {}
+        for i, r in enumerate(where):
+            if r >= 0:
+                boxes.setdefault(r, []).append(i)
+        gone = set.intersection(*found) if found else set()
+        cells.append([(names[r], lines, [i for i in lines if i in gone]) for r, lines in boxes.items()] if own else [])
+        seen = []
+        for same in found:
+            for r, lines in boxes.items():
+                if hit := [i for i in lines if i in same]:
+                    digest = xxhash.xxh64_intdigest(np.array([codes[i] for i in hit], np.int64).tobytes()) >> 1
+                    seen.append((names[r], digest, sum(sizes[i] for i in hit) / sum(sizes[i] for i in lines)))
+        evidence.append(seen)
+    return cells, evidence
+
+
+def _template(evidence: DataFrame, cells: DataFrame) -> DataFrame:
+    """``cells`` (host, region, more) plus whether the region is template.
+
+    A box counts by the share of its text that a neighbour has too, averaged over what was shared: the same text on more
+    pages counts more, but only with the logarithm, so that a group of copies doesn't outweigh all. The estimate for a host begins from that for all,
+    and that for all from what markup says (``SHARED`` and ``PRIOR``); boxes without a
+    class or id have nothing in common between hosts. Lines in no box are judged one by one.
+    """
+    seen = written(evidence.groupBy("host", "region", "digest").agg(F.avg("share").alias("share"), (1 + F.log2(F.count("*").cast("double"))).alias("w")))
+    here = seen.groupBy("host", "region").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("share")).alias("s"))
+    everywhere = here.groupBy("region").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
+    belief = F.coalesce(*[F.when(F.col("region").startswith(f"{k}:"), F.lit(v)) for k, v in BELIEF.items()])
+    known = cells.join(everywhere, "region", "left").join(here, ["host", "region"], "left")
+    told = lambda c: F.when(F.col("region").contains("."), F.coalesce(c, F.lit(0.0))).otherwise(F.lit(0.0))
+    wide = (told("all_s") + PRIOR * belief) / (told("all_n") + PRIOR)
+    weight = F.when(F.col("region").contains("."), SHARED).otherwise(PRIOR)
+    close = (F.coalesce("s", F.lit(0.0)) + weight * wide) / (F.coalesce("n", F.lit(0.0)) + weight)
+    in_box = ~F.col("region").endswith(":")
+    return known.withColumn("template", F.when(in_box, close >= 0.5).otherwise(belief >= 0.5)).drop("all_n", "all_s", "n", "s")
+
+
+def main_text(pages: DataFrame, align: bool = True, span: int = SPAN) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages`` (page_id, url, html).
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page
-    order. A page with an article or main element keeps that, without chrome inside it; any other keeps its
-    lines that are neither chrome nor shared with a neighbour. Null or empty html, and html without text, gives an empty text.
-    Pages without a URL count as one host; the only page of a host has no neighbour. Copies of a page (equal lines beside chrome) under
-    other URLs of a host are one page there, at the least URL; each gets its text. Repeated rows give equal texts.
+    order. The lines of an article or main element are kept, but for boxes in it that are template. Of any other lines those go that are
+    in template boxes, and those that both neighbours share. Null or empty html, and html without text, gives an empty text.
+    Pages without a URL count as one host; the only page of a host has no neighbour, and only what is known from other hosts tells its
+    boxes. Copies of a page (equal lines in equal boxes) under other URLs of a host are one page there, at the least URL; each gets its text. Repeated rows
+    give equal texts. ``align``: False leaves the differencing out, for comparison.
 
     Neighbours are found and aligned on codes of lines, so the text itself is shuffled once.
     """
@@ -276,86 +348,74 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
     wanted = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
     kind = pages.schema["page_id"].dataType.simpleString()
 
-    def lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        """Batches with the lines, zones, codes and digest of each page, chrome left out."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        """Batches with the lines, codes, regions and digest of each page."""
         for b in batches:
             for lo in range(0, len(b), 256):
                 some = b.iloc[lo : lo + 256]
-                own = [[(t, z) for t, z in zip(*page_lines(x)) if z != CHROME] for x in some["html"]]
-                flat = np.array([t for page in own for t, _ in page], object)
+                found = [Page(x) for x in some["html"]]
+                flat = np.array([t for p in found for t in p.lines], object)
                 codes = pd.util.hash_array(flat, categorize=False).view(np.int64) if len(flat) else np.zeros(0, np.int64)
-                codes = np.split(codes, np.cumsum([len(page) for page in own])[:-1])
-                zones = [np.array([z for _, z in page], np.int8) for page in own]
-                digests = [hashlib.blake2b(c.tobytes() + z.tobytes(), digest_size=16).hexdigest() for c, z in zip(codes, zones)]
-                yield some.drop(columns="html"), own, zones, codes, digests
+                codes = np.split(codes, np.cumsum([len(p.lines) for p in found])[:-1])
+                regions = [p.regions() for p in found]
+                digests = [hashlib.blake2b(c.tobytes() + repr(r).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for c, r in zip(codes, regions)]
+                yield some.drop(columns="html"), [p.lines for p in found], codes, regions, digests
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for some, own, zones, codes, digests in lines_of(batches):
-            yield some.drop(columns="url").assign(digest=digests, codes=list(codes), sizes=[[len(t) for t, _ in page] for page in own], plain=[CONTENT not in z for z in zones])
-
-    fields = f"page_id {kind}, host string, path string, digest string, codes array<long>, sizes array<int>, plain boolean"
-    sketches = wanted.mapInPandas(sketch, fields)
-    least = F.min(F.struct("path", F.col("page_id").isNotNull().alias("known"), "page_id", "codes", "sizes", "plain")).alias("k")
-    unlike = written(sketches.groupBy("host", "digest").agg(least).select("host", "digest", "k.*"))
-    cuts = _cuts(unlike.select("host", "path", "page_id"), group)
-    parts = len(cuts) + 1
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(part=[bisect_right(cuts, _place(*k)) for k in zip(b["host"], b["path"], b["page_id"])])
+        for some, lines, codes, regions, digests in read(batches):
+            names = [list(dict.fromkeys(x for x in r if x is not None)) for r in regions]
+            where = [[-1 if x is None else n.index(x) for x in r] for r, n in zip(regions, names)]
+            yield some.drop(columns="url").assign(digest=digests, codes=list(codes), sizes=[[len(t) for t in page] for page in lines], place=where, regions=names)
+
+    fields = f"page_id {kind}, host string, path string, digest string, codes array<long>, sizes array<int>, place array<int>, regions array<string>"
+    least = F.min(F.struct("path", F.col("page_id").isNotNull().alias("known"), "page_id", "codes", "sizes", "place", "regions")).alias("k")
+    unlike = wanted.mapInPandas(sketch, fields).groupBy("host", "digest").agg(least).select("host", "digest", "k.*")
+    order = [F.col("path").asc(), F.col("page_id").asc_nulls_first(), F.col("digest").asc()]
+    listed = dense_index(unlike, ["host"], order, "idx")
+    # a stretch of pages, and those near it on either side
+    at, stretch = F.col("idx") % span, F.floor(F.col("idx") / span)
+    beside = F.array_compact(F.array(stretch, F.when((at < NEAR) & (stretch > 0), stretch - 1), F.when(at >= span - NEAR, stretch + 1)))
+    dealt = listed.select("host", "digest", "codes", "sizes", "place", "regions", "idx", F.explode(beside).alias("stretch"))
+    dealt = dealt.withColumn("own", F.floor(F.col("idx") / span) == F.col("stretch"))
 
     def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
+        last = None
 
-        def gone(n: int) -> pd.DataFrame:
-            some, held[:n] = held[:n], []
-            shared = _shared([r[2].tolist() for r in some], [r[3].tolist() for r in some])
-            found = [(r[0], r[1], sorted(x)) for r, x in zip(some, shared) if r[4] and x]
-            return pd.DataFrame({c: pd.Series([f[i] for f in found], dtype=object) for i, c in enumerate(("host", "digest", "gone"))})
+        def done() -> pd.DataFrame:
+            cells, evidence = _compared([(r[1].tolist(), r[2].tolist(), r[3].tolist(), r[4].tolist(), r[5]) for r in held])
+            rows = [(last[0], r[0], c, e) for r, c, e in zip(held, cells, evidence) if r[5] and c]
+            return pd.DataFrame({n: pd.Series([r[i] for r in rows], dtype=object) for i, n in enumerate(("host", "digest", "cells", "evidence"))})
 
         for b in batches:
-            for r in zip(b["host"], b["digest"], b["codes"], b["sizes"], b["plain"]):
-                if held and held[-1][0] != r[0]:
-                    yield gone(len(held))
-                held.append(r)
-                if len(held) == 2 * group:
-                    yield gone(group)
+            for r in zip(b["host"], b["stretch"], b["digest"], b["codes"], b["sizes"], b["place"], b["regions"], b["own"]):
+                if held and last != r[:2]:
+                    yield done()
+                    held = []
+                last = r[:2]
+                held.append(r[2:])
         if held:
-            yield gone(len(held))
+            yield done()
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for some, own, zones, _, digests in lines_of(batches):
-            main = [CONTENT if CONTENT in z else PLAIN for z in zones]
-            lines = [[t for t, z in page if z == m] if m == PLAIN else [" ".join(t for t, z in page if z == m)] for page, m in zip(own, main)]
+        for some, lines, _, _, digests in read(batches):
             yield some[["page_id", "url", "host"]].assign(digest=digests, lines=lines)
 
-    placed = unlike.drop("known").mapInPandas(place, fields + ", part int")
-    order = ["host", "path", F.col("page_id").asc_nulls_first(), "digest"]
-    ordered = placed.repartition(parts, "part").sortWithinPartitions("part", *order).select("host", "digest", "codes", "sizes", "plain")
-    gone = written(ordered.mapInPandas(difference, "host string, digest string, gone array<int>"))
+    near = dealt.repartition(shuffle_partitions(pages.sparkSession), "host", "stretch").sortWithinPartitions("host", "stretch", "idx")
+    shape = "host string, digest string, cells array<struct<region:string,lines:array<int>,both:array<int>>>, evidence array<struct<region:string,digest:long,share:double>>"
+    compared = written(near.mapInPandas(difference, shape))
+    cells = compared.select("host", F.col("digest").alias("page"), F.inline("cells"))
+    evidence = compared.select("host", F.inline("evidence"))
+    if not align:
+        cells, evidence = cells.withColumn("both", F.array().cast("array<int>")), evidence.limit(0)
+    judged = _template(evidence, cells)
+    gone = judged.groupBy("host", F.col("page").alias("digest")).agg(F.flatten(F.collect_list(F.when(F.col("template"), F.col("lines")).otherwise(F.col("both")))).alias("gone"))
+    gone = written(gone.where(F.size("gone") > 0))
     parsed = wanted.select("page_id", "url", "host", "html").mapInPandas(parse, f"page_id {kind}, url string, host string, digest string, lines array<string>")
     left = F.filter("lines", lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
     texts = parsed.join(gone, ["host", "digest"], "left").select("page_id", "url", F.array_join(left, " ").alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
-def _place(host: str, path: str, page_id) -> tuple:
-    """A key whose order is that of (host, path, page_id), null first."""
-    return host, path, not pd.isna(page_id), 0 if pd.isna(page_id) else page_id
-
-
-def _cuts(places: DataFrame, group: int) -> list[tuple]:
-    """The places at which the ordered pages are cut into partitions, at most one for each shuffle partition.
-
-    Cuts are beginnings of groups of ``group`` pages of a host, so the groups don't depend on where the cuts are. A
-    last group that isn't full belongs to the one before.
-    """
-    slots = dense_index(places, ["host"], [F.col("path").asc(), F.col("page_id").asc_nulls_first()], "idx", "range")
-    sizes = written(places.groupBy("host").agg(F.count("*").alias("n")))
-    starts = slots.join(sizes, "host").where((F.col("idx") % group == 0) & ((F.col("n") - F.col("idx") >= group) | (F.col("idx") == 0)))
-    firsts = starts.groupBy("range").agg(F.min(F.struct("host", "path", F.col("page_id").isNotNull().alias("known"), "page_id")).alias("k"))
-    return sorted(_place(r["host"], r["path"], r["page_id"]) for r in firsts.where("range > 0").select("k.*").collect())
-
-
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))

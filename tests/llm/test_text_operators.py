@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import byte_bpe, licenses, pages, quality, simhash, token_files, toxicity
@@ -313,19 +314,71 @@ PAGE = """<html><head><title>T</title><script>var a='</p>'</script></head><body>
 <section id="comments"><p>Nice!</p></section></main><aside>Side</aside><footer>F</footer></body></html>"""
 
 
+def alone(html):
+    """Text of a page of which only its own markup is known."""
+    page = pages.Page(html)
+    return " ".join(t for t, r in zip(page.lines, page.regions()) if r is None or pages.BELIEF[r.partition(":")[0]] < 0.5)
+
+
 def test_page_zones():
-    assert pages._kept_text([pages.page_lines(PAGE)]) == ["Head & tail One bold <x> para. Two lines"]
-    lines, zones = pages.page_lines('<div class=menu><ul><li>a<li>b</ul></div><p class="notice">N<p>Real<ul><li class=ad>x<li>y</ul><p>end')
-    assert [t for t, z in zip(lines, zones) if z == pages.PLAIN] == ["Real", "y", "end"]
-    assert pages._kept_text([pages.page_lines("<nav>menu<article><p>Text</article>")]) == ["Text"]
+    assert alone(PAGE) == "Head & tail One bold <x> para. Two lines"
+    assert alone('<div class=menu><ul><li>a<li>b</ul></div><p class="notice">N<p>Real<ul><li class=ad>x<li>y</ul><p>end') == "Real y end"
+    assert alone("<nav>menu<article><p>Text</article>") == "Text"
+    assert alone("<article><header><h1>Head</h1></header><p>Text<footer>by</footer></article>") == "Head Text"
+    assert alone("<main><p>Text<section id=comments><article>Hi</article></section></main>") == "Text"
+    assert alone("<table><tr><td>a<td>b<tr><td><ul><li>c<li>d</ul></table></div></b><p>e") == "a b c d e"
 
 
 def test_articles_lose_no_text_to_markup():
-    text = lambda page: pages._kept_text([pages.page_lines(page)])[0]
-    assert text('<p>One <svg class="i" title="a>b"/> two</p><p>Three</p><svg><text>no</text></svg>') == "One two Three"
-    assert text("<p>So <math><mi>x</mi> = <mn>2</mn></math> and <math/> on</p>") == "So x = 2 and on"
-    inside = '<p class="market-share">A</p><section class="related-work"><p>B</p></section><p class="notice">C</p><div class="social-science">D</div>'
-    assert text(f"<article>{inside}<div class='x share-bar'>no</div><section id=comments>no</section></article>") == "A B C D"
+    assert alone('<p>One <svg class="i" title="a>b"/> two</p><p>Three</p><svg><text>no</text></svg>') == "One two Three"
+    assert alone("<p>So <math><mi>x</mi> = <mn>2</mn></math> and <math/> on <object>or so</object></p>") == "So x = 2 and on or so"
+    inside = '<p class="market-share">A</p><section class="related-work"><p>B</p></section><p class="notice">C</p><div class="social-science">D</div><p class="social-history">E'
+    assert alone(f"<article>{inside}<div class='x share-bar'>no</div><section id=comments>no</section></article>") == "A B C D E"
+
+
+def test_differencing_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    site, n = [], 70
+    for i in range(n):  # lines in one order, so that the common subsequence is the intersection
+        standing = [k for k in range(12) if rng.random() < 0.7]
+        site.append([f"line {k}" for k in standing[:6]] + [f"own {i} {k}" for k in range(int(rng.integers(0, 4)))] + [f"line {k}" for k in standing[6:]])
+    site[20] = site[19]
+    site[33] = [f"line {k}" for k in range(12)]
+    rows = [(i, f"http://a.example/{i:03d}", "".join(f"<p>{x}" for x in lines)) for i, lines in enumerate(site)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), span=8).collect()}
+    unlike = [i for i in range(n) if site[i] not in site[:i]]
+    for at, i in enumerate(unlike):
+        copy = lambda j: set(site[i]) <= set(site[j]) or set(site[j]) <= set(site[i])
+        right = [j for j in unlike[at + 1 : at + 9] if not copy(j)]
+        left = [j for j in unlike[max(0, at - 8) : at][::-1] if not copy(j)]
+        two = [left[0], right[0]] if left and right else (left + right)[:2]
+        want = [x for x in site[i] if not two or not all(x in site[j] for j in two)]
+        assert got[i] == " ".join(want), i
+    assert got[20] == got[19]
+
+
+def test_differencing_alone_finds_articles(spark):
+    """The given pages with the names of their elements and classes blanked: only the alignments can tell."""
+    import html
+
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    blank = F.col("html")
+    for old, new in (("<nav>", "<div class=ka>"), ("</nav>", "</div>"), ('<div class="ad">', "<div class=kb>"), ("<article>", "<div class=kc>"), ("</article>", "</div>"), ("<footer>", "<div class=kd>"), ("</footer>", "</div>")):
+        blank = F.replace(blank, F.lit(old), F.lit(new))
+    want = {}
+    for r in given.collect():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        want[r.page_id] = " ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", body))).split())
+    right = lambda align: sum(r.text == want[r.page_id] for r in pages.main_text(given.withColumn("html", blank), align).collect())
+    assert right(True) > 0.95 * len(want) and right(False) == 0
+
+
+def test_boxes_of_changing_text(spark):
+    """An advert whose text changes goes, because its like are template elsewhere; a very long page is compared too."""
+    page = lambda i: f"<body><div class=x>Buy {i // 2}</div><div class=y><p>{'Long ' * (50000 if i == 3 else 50)} story {i}.</p><p>End {i}</p></div><div class=x2>{'Tel ' * 3}</div></body>"
+    rows = [(i, f"http://h{i // 40}.example/{i:03d}", page(i)) for i in range(120)]
+    out = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(out) == 120 and all(r.text == " ".join(f"{'Long ' * (50000 if r.page_id == 3 else 50)} story {r.page_id}. End {r.page_id}".split()) for r in out)
 
 
 def test_neighbours_remove_templates(spark):
