@@ -3,7 +3,9 @@
 A filter is a tuple of directions, one for each block of a randomly rotated vector (a random product code); a vector passes
 it if the sum of the block products is at least a limit. Decoding a vector lists every filter that it passes, by
 extending partial sums only while the limit can still be reached; a vector that passes few is given its best ones.
-Vectors of up to ``GRID`` numbers go to cells of a grid instead, which loses no link. Vectors of a label that share a filter
+Vectors of up to ``GRID`` numbers go to cells of a grid instead, which loses no link. Filters are chosen for directions that lie evenly
+around, which those of real vectors don't: so the mean of a label's directions is taken off before (candidates are verified as they are). Vectors near
+that mean would lose their neighbours so; they, and those a link away from them, are decoded as they are. Vectors of a label that share a filter
 are candidates: small buckets are sifted by sign sketches first, and what remains is verified by cosine in double
 precision. A pair is counted only in the first filter that both pass, so counts are exact and no list of pairs is kept.
 """
@@ -16,6 +18,8 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +32,15 @@ TABLES, PASSES, BUCKET = 4, 24, 8
 SPLIT, LEAST = 2, 12
 #: Dimensions up to which the filters are cells of a grid, and the side of a cell; near vectors are ``REACH`` apart at most.
 GRID, CELL, REACH = 6, 0.4, math.sqrt(2 - 2 * COSINE) + 1e-9
+#: Vectors at least ``FAR`` from the mean of their label are decoded without it, those less than ``CORE`` from it as they are. Linked vectors are at
+#: most ``REACH`` apart, so both are decoded in one way or in the other.
+FAR = 0.25
+CORE = FAR + REACH
+OFFSET = 1 << 60
 #: Buckets above this size skip the sketches; larger groups of verified vectors are cut into blocks of so many rows.
 SIFTED, BLOCK = 256, 2048
+#: Numbers in a block of the search for earlier common filters.
+CELLS = 1 << 24
 #: Sign bits in which candidates may differ: at cosine 0.98 a pair differs in 4 of 64 on average, and in more than 18 about once in 10^8.
 SKETCH_BITS = 18
 SEED = 42
@@ -64,8 +75,6 @@ class Filters:
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Numbers of all filters that each row of ``unit`` passes, and of its ``least`` best ones in each rotation, ascending."""
-        if self.dim <= GRID:
-            return self._cells(unit)
         rows, found = [], []
         for t, book in enumerate(self.codes):
             scores = [unit @ code for code in book]
@@ -96,6 +105,20 @@ class Filters:
             found += [t * self.total + ids[~few[row]], t * self.total + top_ids[few].ravel()]
         return _by_row(np.concatenate(rows), np.concatenate(found), len(unit))
 
+    def both(self, unit: np.ndarray, mean: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Filters of each row of ``unit``, and its sketches: without ``mean`` (numbers below ``OFFSET``) and as it is (from there on)."""
+        if self.dim <= GRID:
+            return [c + OFFSET for c in self._cells(unit)], np.stack([self.sketches(unit)] * 2, axis=1)
+        away = unit - mean
+        r = np.linalg.norm(away, axis=1)
+        out = [np.zeros(0, np.int64)] * len(unit)
+        for x, which, offset in ((away / np.maximum(r, 1e-12)[:, None], r >= FAR, 0), (unit, r < CORE, OFFSET)):
+            at = np.nonzero(which)[0]
+            if len(at):
+                for i, ids in zip(at.tolist(), self.decode(x[at])):
+                    out[i] = np.concatenate([out[i], ids + offset])
+        return out, np.stack([self.sketches(away), self.sketches(unit)], axis=1)
+
     def _cells(self, unit: np.ndarray) -> list[np.ndarray]:
         """Numbers of all cells within half of ``REACH`` of each row in every dimension: near rows have one in common."""
         low, high = (np.floor((unit + d) / CELL).astype(np.int64) + 3 for d in (-REACH / 2, REACH / 2))
@@ -188,10 +211,7 @@ def _links_of(x: np.ndarray, filters: list[np.ndarray], here: int, copies: np.nd
         linked &= own[fresh, None] != own[None, :]
     if not linked.any():
         return links, root
-    if len(names):
-        passed = np.zeros((n, len(names)), np.float32)
-        passed[rows, column] = 1
-        linked &= passed[fresh] @ passed.T == 0  # no earlier filter in common
+    _unmeet(linked, fresh, rows, column)
     rest = np.ones(n, bool)
     rest[fresh] = False
     links[fresh] = linked @ copies
@@ -205,6 +225,38 @@ def _links_of(x: np.ndarray, filters: list[np.ndarray], here: int, copies: np.nd
         root = low
 
 
+def _unmeet(linked: np.ndarray, fresh: np.ndarray, rows: np.ndarray, column: np.ndarray) -> None:
+    """Clear ``linked`` (rows ``fresh`` by all rows) where both rows have an earlier filter in common; cell (rows, column): a row has one.
+
+    A few rows are compared at once, on the filters that they and some other row have, so a block holds at most ``CELLS`` numbers or one row's.
+    """
+    n = linked.shape[1]
+    often = np.bincount(column)[column] > 1
+    rows, column = rows[often], column[often]
+    first = np.searchsorted(rows, np.arange(n + 1))
+    lo = 0
+    while lo < len(fresh):
+        hi = lo + 1
+        size = lambda k: int((first[fresh[lo:k] + 1] - first[fresh[lo:k]]).sum())
+        while hi < len(fresh) and size(hi + 1) * n <= CELLS:
+            hi += 1
+        some = np.unique(np.concatenate([column[first[r] : first[r + 1]] for r in fresh[lo:hi]]))
+        if len(some):
+            here = np.isin(column, some)
+            passed = np.zeros((n, len(some)), np.float32)
+            passed[rows[here], np.searchsorted(some, column[here])] = 1
+            linked[lo:hi] &= passed[fresh[lo:hi]] @ passed.T == 0
+        lo = hi
+
+
+def _means(units: DataFrame) -> DataFrame:
+    """(label, dim, mean): the mean direction of each label's vectors of a length, added up in tasks before the shuffle."""
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    scaled = units.select("label", F.size("embedding").alias("dim"), e.alias("e")).withColumn("e", F.transform("e", lambda x: x / F.array_max(F.transform("e", F.abs))))
+    unit = F.transform("e", lambda x: x / F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, y: a + y * y)))
+    return scaled.select("label", "dim", array_to_vector(unit).alias("v")).groupBy("label", "dim").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("mean"))
+
+
 def near_embeddings(vectors: DataFrame, tables: int = TABLES, passes: float = PASSES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label).
 
@@ -236,13 +288,17 @@ def near_embeddings(vectors: DataFrame, tables: int = TABLES, passes: float = PA
                     x = np.array(some["embedding"].tolist(), np.float64)
                     x /= np.abs(x).max(axis=1, keepdims=True)
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    yield pd.DataFrame({"uid": some["uid"], "label": some["label"], "copies": some["copies"], "unit": list(x), "sketch": f.sketches(x), "filters": f.decode(x)})
+                    filters, sketches = f.both(x, np.array(some["mean"].tolist()))
+                    yield pd.DataFrame({"uid": some["uid"], "label": some["label"], "copies": some["copies"], "unit": list(x), "sketches": list(sketches), "filters": filters})
 
     kind = vectors.schema["label"].dataType.simpleString()
-    passed = written(units.select("uid", "label", "copies", "embedding").mapInPandas(pass_, f"uid long, label {kind}, copies long, unit array<double>, sketch long, filters array<long>"))
+    means = written(_means(units)).withColumnRenamed("label", "of")
+    placed = units.join(means, (F.col("label") == F.col("of")) & (F.size("embedding") == F.col("dim"))).select("uid", "label", "copies", "embedding", "mean")
+    passed = written(placed.mapInPandas(pass_, f"uid long, label {kind}, copies long, unit array<double>, sketches array<long>, filters array<long>"))
     parts = shuffle_partitions(vectors.sparkSession)
     # vectors of different lengths never meet
-    entries = written(passed.select("uid", F.xxhash64("label", F.size("unit")).alias("label"), "sketch", F.explode("filters").alias("filter")))
+    entries = passed.select("uid", F.xxhash64("label", F.size("unit")).alias("label"), "sketches", F.explode("filters").alias("filter"))
+    entries = written(entries.select("uid", "label", "filter", F.when(F.col("filter") < OFFSET, F.col("sketches")[0]).otherwise(F.col("sketches")[1]).alias("sketch")))
     sizes = written(entries.groupBy("label", "filter").agg(F.count("*").alias("n")).where("n > 1"))
     crowded = written(entries.join(sizes, ["label", "filter"]))
     small = crowded.where(F.col("n") <= SIFTED).repartition(parts, "label", "filter").sortWithinPartitions("label", "filter")

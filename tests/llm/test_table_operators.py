@@ -96,6 +96,33 @@ def test_embeddings_recall_of_many_filters(spark, monkeypatch, dim, count):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == sorted(brute_links(data))
 
 
+@pytest.mark.parametrize("cosine", [0.0, 0.2, 0.5, 0.7])
+def test_vectors_with_a_common_direction(cosine):
+    """Vectors of a mean cosine: no link is lost, and candidates stay few."""
+    rng = np.random.default_rng(13)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    m, n, k = unit(rng.standard_normal((1, 64))), 4000, 400
+    y = rng.standard_normal((n, 64))
+    x = unit(np.sqrt(cosine) * m + np.sqrt(1 - cosine) * unit(y - (y @ m.T) * m))
+    side = rng.standard_normal((k, 64))
+    near = 0.9801 * x[:k] + np.sqrt(1 - 0.9801**2) * unit(side - (side * x[:k]).sum(axis=1, keepdims=True) * x[:k])
+    every = np.vstack([x, near])
+    f = embeddings.Filters(64, 3 * len(every), embeddings.TABLES, embeddings.PASSES, embeddings.SPLIT, embeddings.LEAST)
+    ids, sketches = f.both(every, np.tile(every.mean(axis=0), (len(every), 1)))
+    assert all(np.intersect1d(ids[i], ids[n + i]).size for i in range(k))
+    times = np.unique(np.concatenate(ids), return_counts=True)[1]
+    assert (times * (times - 1) / 2).sum() < 0.2 * n * n / 2 and times.max() < 60
+
+
+def test_a_dense_group_beside_its_mean(spark):
+    rng = np.random.default_rng(14)
+    centre = rng.standard_normal(64)
+    rows = [centre + 0.1 * rng.standard_normal(64) for _ in range(160)] + [centre + 0.5 * rng.standard_normal(64) for _ in range(80)] + [rng.standard_normal(64) for _ in range(20)]
+    data = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(rows)]
+    out = embeddings.near_embeddings(spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == sorted(brute_links(data))
+
+
 # mixing -----------------------------------------------------------------------------------------------------
 def slow_targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
