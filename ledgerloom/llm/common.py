@@ -21,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only where the setting is absent (tests, one machine) a local folder is made and set.
+    Only where the setting is absent and the master is local (tests, one machine) a local folder is made and set; on a cluster other
+    machines would miss what is written there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}"
@@ -35,7 +38,9 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     executor costs no more than the stage at hand, and later joins see plain scans."""
     path = scratch_dir(df.sparkSession)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -68,13 +73,13 @@ def dense_index(df: DataFrame, group: list[str], order: list[Column], name: str,
     return left.join(spans, same).select(*df.columns, (F.col("__at") + F.col("__base")).alias(name), *([left["__part"].alias(part_name)] if part_name else []))
 
 
-def _forget(df: DataFrame) -> None:
-    """Delete a scratch table that no later plan reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def forget(df: DataFrame) -> None:
+    """Delete a scratch table (what ``written`` returned) that no later plan reads."""
+    path = getattr(df, "scratch_path", None)
+    if path:
+        context = df.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -100,8 +105,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         first = written(live.join(move, "a").select(F.col("to").alias("x"), "b"))
         second = first.join(move.withColumnRenamed("a", "b"), "b").where("x <> to")
         after = written(second.select(F.least("x", "to").alias("a"), F.greatest("x", "to").alias("b")).distinct())
-        _forget(live)
-        _forget(first)
+        forget(live)
+        forget(first)
         live, turn = after, turn + 1
     if not moves:
         return nodes.select("node", F.col("least").alias("component"))

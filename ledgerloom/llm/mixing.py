@@ -23,6 +23,8 @@ from .common import WORD, table, written
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Documents in a chunk of the first flight, and chunks whose rest flies together on the next level.
 CHUNK, FAN = 2000, 500
+#: Equal rows that are numbered together.
+RUN = 1 << 16
 SEED = 42
 _CLOSE = 1e-9
 
@@ -138,7 +140,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
     size: words of the whole text (null: 0). copies: 0, 1 or 2; taken = copies * size. Null is a source of its own,
     last. A source whose texts hold no word has target 0 and copies 0. Repeated rows are separate units of the
-    sample. The draws depend on doc_id, text and chunk alone, so reruns agree. An empty table gives no rows.
+    sample, dealt to the chunks in turn. The draws depend on doc_id, text and chunk alone, so reruns agree. An empty table gives no rows.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = written(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", size.alias("size")))
@@ -150,7 +152,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     rows = sized.join(t, sized["source"].eqNullSafe(t["s"])).drop("s").withColumn("rate", rate)
     rows = rows.withColumn("whole", F.floor("rate")).withColumn("p", F.col("rate") - F.col("whole"))
     g = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
-    rows = rows.withColumn("g", g).withColumn("h", F.xxhash64("doc_id", "text_hash"))
+    # equal rows are counted and numbered, so that they are dealt to chunks in turn; two steps keep the lists of numbers short
+    equal = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    runs = equal.withColumn("run", F.explode(F.expr(f"sequence(0L, (n - 1) div {RUN})")))
+    rows = runs.withColumn("k", F.explode(F.expr(f"sequence(run * {RUN}, least((run + 1) * {RUN}, n) - 1)"))).drop("n", "run")
+    rows = rows.withColumn("g", g).withColumn("h", F.xxhash64("doc_id", "text_hash").bitwiseXOR(F.col("k"))).drop("k")
     copies = (F.col("whole") + F.col("p")).cast("int")
     out = balanced(written(rows)).withColumn("copies", copies)
     return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))

@@ -3,7 +3,7 @@
 A node of the tree is split at the weighted median (for an odd number of shards: the matching quantile) of its widest
 dimension. The split is exact: a histogram pass over all rows finds the bin that holds it, further passes
 refine that bin to one value, and rows with that very value are split on a hash of the document in
-the same way. What reaches the driver is one row a node and pass.
+the same way. All nodes of a level share a pass. What reaches the driver is one row a node and pass.
 """
 
 from __future__ import annotations
@@ -11,24 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import dense_index, table, written
+from .common import dense_index, forget, table, written
 
 SHARDS = 16
-BINS = 1024
-
-
-def _lead(text: str) -> Column:
-    """The first seven bytes of a string as a number in the strings' order."""
-    return F.coalesce(F.conv(F.rpad(F.substring(F.hex(F.col(text).cast("binary")), 1, 14), 14, "0"), 16, 10).cast("long"), F.lit(-1))
-
-
-#: Metadata dimensions, in the order that decides between equally wide ones.
-DIMENSIONS = {
-    "k_id": lambda: F.shiftright(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), 1),  # so that differences fit in a long
-    "k_lang": lambda: _lead("lang"),
-    "k_source": lambda: _lead("source"),
-    "k_chars": lambda: F.shiftright(F.coalesce(F.col("n_chars").cast("long"), F.lit(-1)), 1),
-}
+#: Bins of a histogram, and bits of the hash by which rows of one value are split.
+BINS, TIE_BITS = 4096, 24
+#: Metadata dimensions, in the order that decides between equally wide ones: numbers as they are, names as the ranks of their values.
+NUMBERS = {"k_id": "doc_id", "k_chars": "n_chars"}
+NAMES = {"k_lang": "lang", "k_source": "source"}
+DIMENSIONS = ["k_id", "k_lang", "k_source", "k_chars"]
+
+
+def with_ranks(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``rows`` with a column for each of ``names`` (new column: text column): the number of smaller values that occur, null being
+    the smallest. The text columns are dropped."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("v")) for k, c in names.items()])).alias("p")
+    values = rows.select(pairs).select("p.k", "p.v").distinct()
+    ranks = written(dense_index(values, ["k"], [F.col("v").asc_nulls_first()], "rank"))
+    for k, c in names.items():
+        here = ranks.where(F.col("k") == k).select(F.col("v").alias("__value"), F.col("rank").alias(k))
+        rows = rows.join(here, F.col(c).eqNullSafe(F.col("__value"))).drop("__value", c)
+    return rows
 
 
 def _of_node(values: dict[int, int]) -> Column:
@@ -68,7 +71,8 @@ def _search(rows: DataFrame, spans: dict[int, tuple[int, int, int]]) -> dict[int
 def kd_shards(rows: DataFrame, dimensions: list[str], ties: list[str], shards: int = SHARDS) -> DataFrame:
     """``rows`` (long columns ``dimensions`` and ``ties``, size) plus ``shard`` from 0 to ``shards`` - 1.
 
-    Rows that are equal in the splitting dimension are split by the columns ``ties`` in turn.
+    Rows that are equal in the splitting dimension are split by the columns ``ties`` in turn. A dimension's width in a node is its range
+    there over its range in all rows.
     """
     ranges = [f(F.col(d)).alias(f"{p}_{d}") for d in dimensions for p, f in (("low", F.min), ("high", F.max))]
     now = written(rows.withColumn("node", F.lit(1)))
@@ -108,7 +112,8 @@ def kd_shards(rows: DataFrame, dimensions: list[str], ties: list[str], shards: i
             if not more:
                 break
         node = F.when(F.col("node").isin(list(width)), 2 * F.col("node") + F.when(left, 0).otherwise(1)).otherwise(F.col("node"))
-        now = written(now.withColumn("node", node))
+        before, now = now, written(now.withColumn("node", node))
+        forget(before)
         width = {m: x for n, (at0, k) in width.items() for m, x in ((2 * n, (at0, k // 2)), (2 * n + 1, (at0 + k // 2, k - k // 2)))}
     return now.withColumn("shard", _of_node(leaves).cast("int")).drop("node")
 
@@ -122,10 +127,12 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     crc = F.coalesce(F.crc32("text"), F.lit(0)).cast("long")
-    dims = [f().alias(name) for name, f in DIMENSIONS.items()]
-    slim = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *dims)
-    slim = slim.withColumn("tie_hash", F.shiftright(F.xxhash64("doc_id", "text_crc32"), 1)).withColumn("tie_row", F.monotonically_increasing_id())
-    placed = kd_shards(slim, list(DIMENSIONS), ["tie_hash", "tie_row"], shards).select("doc_id", "size", "text_crc32", "shard", "tie_hash")
+    # halved, so that differences fit in a long
+    numbers = [F.shiftright(F.coalesce(F.col(c).cast("long"), F.lit(-1)), 1).alias(k) for k, c in NUMBERS.items()]
+    slim = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *numbers, *[F.col(c).cast("string").alias(f"name_{k}") for k, c in NAMES.items()])
+    slim = slim.withColumn("tie_hash", F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32"), 64 - TIE_BITS)).withColumn("tie_row", F.monotonically_increasing_id())
+    ranked = with_ranks(written(slim), {k: f"name_{k}" for k in NAMES})
+    placed = kd_shards(ranked, DIMENSIONS, ["tie_hash", "tie_row"], shards).select("doc_id", "size", "text_crc32", "shard", "tie_hash")
     slotted = dense_index(placed, ["shard"], [F.col("doc_id").asc_nulls_first(), F.col("tie_hash").asc()], "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

@@ -182,6 +182,83 @@ def test_mix(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def slow_flight(p, x, u):
+    """The flight with the constraints' null space from a singular value decomposition."""
+    p, held = [float(v) for v in p], []
+    for i in range(len(p)):
+        if not 1e-9 <= p[i] <= 1 - 1e-9:
+            p[i] = round(p[i])
+            continue
+        held.append(i)
+        if len(held) == 3:
+            rows = np.array([[1.0, 1.0, 1.0], [x[k] for k in held]])
+            space = np.linalg.svd(rows)[2][np.linalg.matrix_rank(rows) :]
+            if len(space) == 2:  # equal sizes: any direction that keeps the count
+                d = np.array([1.0, -1.0, 0.0])
+            else:
+                d = space[0] * np.sign(x[held[2]] - x[held[1]] or 1.0) * np.sign(space[0][0] or 1.0)
+                if x[held[2]] == x[held[1]]:
+                    d = space[0] * np.sign(x[held[0]] - x[held[2]]) * np.sign(space[0][1])
+            ups = [(1 - p[k]) / v if v > 0 else p[k] / -v for k, v in zip(held, d) if abs(v) > 1e-12]
+            downs = [p[k] / v if v > 0 else (1 - p[k]) / -v for k, v in zip(held, d) if abs(v) > 1e-12]
+            step = min(ups) if u[i] * (min(ups) + min(downs)) < min(downs) else -min(downs)
+            for k, v in zip(held, d):
+                p[k] += step * v
+                if not 1e-9 <= p[k] <= 1 - 1e-9:
+                    p[k] = round(p[k])
+            held = [k for k in held if 0 < p[k] < 1]
+    return np.array(p)
+
+
+def test_flight_against_null_space():
+    rng = np.random.default_rng(21)
+    for n in (3, 4, 7, 40):
+        for _ in range(20):
+            p, x, u = rng.random(n), rng.integers(0, 9, n).astype(float), rng.random(n)
+            assert np.abs(mixing.flight(p, x, u) - slow_flight(p, x, u)).max() < 1e-6
+
+
+def test_mix_against_brute_force(spark):
+    """The same draws by a plain loop over the rows of each source and chunk."""
+    rng = np.random.default_rng(22)
+    rows = [(int(i), " ".join(["w"] * int(n)), ["a", "b", "c"][i % 3]) for i, n in enumerate(rng.integers(0, 40, 500))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    h = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64("doc_id", F.xxhash64("text")).alias("h")).collect()}
+    size = {i: len(t.split()) for i, t, _ in rows}
+    totals = {s: sum(size[i] for i, _, z in rows if z == s) for s in "abc"}
+    target = slow_targets(totals)
+    want = {}
+    for s in "abc":
+        mine = [i for i, _, z in rows if z == s]
+        rate = min(target[s] / totals[s], 2.0)
+        whole = int(np.floor(rate))
+        p, chunks, level = {i: rate - whole for i in mine}, -(-len(mine) // 50), 0
+        at = {i: h[i] % chunks for i in mine}
+        while True:
+            for c in sorted(set(at.values())):
+                group = sorted((i for i in at if at[i] == c), key=lambda i: (h[i], size[i], p[i]))
+                x = np.array([float(size[i]) for i in group])
+                before = np.array([p[i] for i in group])
+                after = slow_flight(before, x, mixing._draw(f"={s} {c} {level}").random(len(group)))
+                if chunks <= 1:
+                    after = mixing.landing(after, x, float((before * x).sum()))
+                p.update(zip(group, after))
+            if chunks <= 1:
+                break
+            level, chunks = level + 1, -(-chunks // mixing.FAN)
+            at = {i: c // mixing.FAN for i, c in at.items() if 0 < p[i] < 1}
+        want.update({i: whole + round(p[i]) for i in mine})
+    assert {r.doc_id: r.copies for r in mixing.mix(df, chunk=50).collect()} == want
+
+
+def test_repeated_rows_are_spread_over_chunks(spark, monkeypatch):
+    seen = []
+    rows = [(7, "same words here", "s")] * 3000 + [(i, f"text {i}", "s") for i in range(1000)]
+    monkeypatch.setattr(mixing, "balanced", lambda r: (seen.append(r.withColumn("at", F.pmod("h", "chunks")).groupBy("at").count().agg(F.max("count")).first()[0]), r)[1])
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), chunk=500)
+    assert got.count() == 4000 and seen[0] < 700
+
+
 # shards -----------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize("shards", [16, 5])
 def test_shards(spark, shards):
@@ -202,6 +279,47 @@ def test_shards(spark, shards):
     assert len(one) == 1 and one[0].slot == 0
 
 
+def slow_shards(rows, shards):
+    """rows: (dimension values, size, tie) of each; the tree by plain recursion."""
+    spread = [max(1, max(r[0][d] for r in rows) - min(r[0][d] for r in rows)) for d in range(4)]
+    out = {}
+
+    def split(ids, first, n):
+        if n == 1 or not ids:
+            out.update((i, first) for i in ids)
+            return
+        width = [(max(rows[i][0][d] for i in ids) - min(rows[i][0][d] for i in ids)) / spread[d] for d in range(4)]
+        d = width.index(max(width))
+        total, goal = sum(rows[i][1] for i in ids), -(-sum(rows[i][1] for i in ids) * (n // 2) // n)
+        ids = sorted(ids, key=lambda i: (rows[i][0][d], rows[i][2]))
+        upto, k = 0, 0
+        while upto + rows[ids[k]][1] < goal:
+            upto += rows[ids[k]][1]
+            k += 1
+        if upto + rows[ids[k]][1] - goal <= goal - upto:
+            k += 1
+        split(ids[:k], first, n // 2)
+        split(ids[k:], first + n // 2, n - n // 2)
+
+    split(list(range(len(rows))), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [16, 7])
+def test_shards_against_brute_force(spark, shards):
+    rng = np.random.default_rng(23)
+    langs, sources = [None, "en", "de", "fr"], ["commoncrawl-2023", "commoncrawl-2024", None]
+    rows = [(int(i) * 3, "é" * int(n), langs[int(rng.integers(0, 4)) % 4], sources[int(rng.integers(0, 3))], int(n)) for i, n in enumerate(rng.integers(0, 300, 1500))]
+    rows += [(9000, "long " * 60000, "en", "commoncrawl-2024", 300000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    tie = {r.doc_id: r.t for r in df.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id", F.crc32("text").cast("long")), 64 - sharding.TIE_BITS).alias("t")).collect()}
+    rank = lambda c: {v: k for k, v in enumerate(sorted({r[c] for r in rows}, key=lambda v: (v is not None, v or "")))}
+    lang, source = rank(2), rank(3)
+    plain = [((r[0] >> 1, lang[r[2]], source[r[3]], r[4] >> 1), len(r[1].encode()) + 1, tie[r[0]]) for r in rows]
+    want = {rows[i][0]: at for i, at in slow_shards(plain, shards).items()}
+    assert {r.doc_id: r.shard for r in sharding.shard_documents(df, shards).collect()} == want
+
+
 def test_shards_run_no_python(spark, sf_dir):
     df = sharding.op6_kd_shards(spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
