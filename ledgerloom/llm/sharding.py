@@ -68,10 +68,10 @@ def _search(rows: DataFrame, spans: dict[int, tuple[int, int, int]]) -> dict[int
     return found
 
 
-def kd_shards(rows: DataFrame, dimensions: list[str], ties: list[str], shards: int = SHARDS) -> DataFrame:
+def kd_shards(rows: DataFrame, dimensions: list[str], ties: dict[str, tuple[int, int] | None], shards: int = SHARDS) -> DataFrame:
     """``rows`` (long columns ``dimensions`` and ``ties``, size) plus ``shard`` from 0 to ``shards`` - 1.
 
-    Rows that are equal in the splitting dimension are split by the columns ``ties`` in turn. A dimension's width in a node is its range
+    Rows that are equal in the splitting dimension are split by the columns ``ties`` in turn (each with its least and greatest value, or None). A dimension's width in a node is its range
     there over its range in all rows.
     """
     ranges = [f(F.col(d)).alias(f"{p}_{d}") for d in dimensions for p, f in (("low", F.min), ("high", F.max))]
@@ -96,8 +96,9 @@ def kd_shards(rows: DataFrame, dimensions: list[str], ties: list[str], shards: i
         for i, v in enumerate([chosen, *map(F.col, ties)]):
             if i:
                 part = part.where(F.col("node").isin(list(spans)) & equal)
-                ends = part.groupBy("node").agg(F.min(v).alias("low"), F.max(v).alias("high")).collect()  # a row a node
-                spans = {r["node"]: (r["low"], r["high"], spans[r["node"]][2]) for r in ends}
+                span = list(ties.values())[i - 1]
+                ends = {n: span for n in spans} if span else {r["node"]: (r["low"], r["high"]) for r in part.groupBy("node").agg(F.min(v).alias("low"), F.max(v).alias("high")).collect()}  # a row a node
+                spans = {n: (*ends[n], spans[n][2]) for n in spans}
             found = _search(part.select("node", v.alias("v"), "size"), spans)
             cut = {n: x[0] for n, x in found.items()}
             more = {n: (0, 0, spans[n][2] - x[1]) for n, x in found.items() if x[3] > 1 and i < len(ties)}
@@ -132,7 +133,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     slim = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *numbers, *[F.col(c).cast("string").alias(f"name_{k}") for k, c in NAMES.items()])
     slim = slim.withColumn("tie_hash", F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32"), 64 - TIE_BITS)).withColumn("tie_row", F.monotonically_increasing_id())
     ranked = with_ranks(written(slim), {k: f"name_{k}" for k in NAMES})
-    placed = kd_shards(ranked, DIMENSIONS, ["tie_hash", "tie_row"], shards).select("doc_id", "size", "text_crc32", "shard", "tie_hash")
+    placed = kd_shards(ranked, DIMENSIONS, {"tie_hash": (0, (1 << TIE_BITS) - 1), "tie_row": None}, shards).select("doc_id", "size", "text_crc32", "shard", "tie_hash")
     slotted = dense_index(placed, ["shard"], [F.col("doc_id").asc_nulls_first(), F.col("tie_hash").asc()], "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

@@ -283,6 +283,32 @@ def test_licenses(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_copyright_lines_and_headers(spark):
+    mit = licenses.KNOWN[0][1]
+    lines = ["Copyright Jane Doe", "Copyright, 2020 X\nAll rights reserved.\nCopyright (c) Y", "(c) 2019 Z\n(C) Copyright W", "Portions copyright <who>", "© Q. All rights reserved."]
+    later = licenses.NOTICES[9][1].replace("and/or", "and/or\n   ")
+    rows = [*(f"{x}\n\n{mit}" for x in lines), mit.replace("copies or substantial", "copies or\nsubstantial"), "A\n\n" + later + "\n\nB", "# SPDX-License-Identifier: MPL-2.0", "x", "copyright notice", *("license " * 300_000, None)]
+    got = [(r.license_id, r.notices) for r in licenses.license_scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert [x for x, _ in got[:6]] == ["MIT"] * 6 and got[6] == (None, licenses.NOTICES[9][0]) and got[7] == ("MPL-2.0", "MPL-2.0") and got[8:] == [(None, "")] * 4
+    from oracle import compare
+
+    import duckdb
+
+    view = duckdb.connect()
+    view.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    view.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, t in enumerate(rows) if not t or len(t) < 100_000])
+    compare(licenses.license_scan(spark.createDataFrame([(i, t) for i, t in enumerate(rows) if not t or len(t) < 100_000], "doc_id long, text string")), view, ORACLE_SQL["op4_licenses"])
+
+
+def test_digests_of_long_licenses(spark):
+    import os
+
+    if not os.path.isdir("/usr/share/common-licenses"):
+        pytest.skip("no licence texts on this machine")
+    found = {r.known_digest for r in licenses.digest_files(spark, "file:///usr/share/common-licenses").collect()}
+    assert len(set(d for _, d in licenses.DIGESTS)) == len(licenses.DIGESTS) and {d for _, d in licenses.DIGESTS} <= found
+
+
 def test_licenses_agree_with_sql(spark, sf_dir):
     from oracle import compare, views
 
