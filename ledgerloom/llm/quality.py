@@ -1,8 +1,9 @@
 """Quality rules: base limits, then minimum-covariance-determinant outliers per language and source.
 
-The concentration steps of the estimate run over all rows: one grouped pass a step gives, for each group and
-each narrow band of distance, the count and the moments; the bands that hold the nearest share of the rows are
-added up, and their mean and covariance are the next estimate. No group is gathered in a task.
+The estimate begins from three robust starts for each group. The concentration steps run over all rows: one grouped pass a step gives, for each
+group, start and narrow band of distance, the count and the moments; the bands that hold the nearest share of the rows are
+added up, and their mean and covariance are the next estimate. The start of least determinant goes on, and the estimate of least determinant
+stays. No group is gathered in a task.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from .common import SPACE_BYTES, table, written
 
 WINDOW, MIN_WORDS, REPEAT_PERCENT = 5, 10, 20
 SYMBOLS = b"#*$%&|<>"
-#: Share of a group's rows that the estimate is taken from; concentration steps; rows a group needs for its own estimate.
-SHARE, STEPS, LEAST_ROWS = 0.75, 6, 100
+#: Share of a group's rows that the estimate is taken from; concentration steps of all starts, and of the best one after them; rows a group needs
+#: for its own estimate.
+SHARE, FIRST_STEPS, STEPS, LEAST_ROWS = 0.75, 2, 4, 100
+STARTS = ("median deviations", "hyperbolic tangents", "spatial signs")
 #: A row is an outlier if its squared distance is beyond this upper tail of the chi-square distribution.
 TAIL = 1e-9
 #: The transformed statistics, and the least standard deviation of each: statistics that are constant in most of
@@ -123,41 +126,47 @@ def _distance(centre: str = "centre", root: str = "root") -> Column:
     return total
 
 
+def _roots(covariances: np.ndarray) -> tuple[list[list[float]], list[float]]:
+    """Rows of triangular roots of the precision matrices, and logarithms of the determinants."""
+    if not len(covariances):
+        return [], []
+    low = np.linalg.cholesky(np.linalg.inv(covariances))
+    return low.transpose(0, 2, 1).reshape(-1, P * P).tolist(), np.linalg.slogdet(covariances)[1].tolist()
+
+
 def _estimates(moments: DataFrame, scale: float) -> DataFrame:
-    """One row a group (g, n, s: sums, c: sums of products) -> (g, centre, root): mean and precision root."""
+    """One row a group and start (g, start, n, s: sums, c: sums of products) -> (g, start, centre, root, logdet): mean, and precision root and
+    determinant of the regularised covariance."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        floor = np.diag([least**2 for _, least in VECTOR.values()])
         for b in batches:
-            rows = []
-            for n, s, c in zip(b["n"], b["s"], b["c"]):
-                mean = np.array(s) / n
-                cov = np.array(c).reshape(P, P) / n - np.outer(mean, mean)
-                low = np.linalg.cholesky(np.linalg.inv(scale * (cov + cov.T) / 2 + floor))
-                rows.append((mean.tolist(), low.T.ravel().tolist()))
-            yield pd.DataFrame({"g": b["g"], "centre": [r[0] for r in rows], "root": [r[1] for r in rows]})
+            n = b["n"].to_numpy(float)
+            mean = np.array(b["s"].tolist()).reshape(-1, P) / n[:, None]
+            cov = np.array(b["c"].tolist()).reshape(-1, P, P) / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
+            root, logdet = _roots(scale * (cov + cov.transpose(0, 2, 1)) / 2 + FLOOR)
+            yield pd.DataFrame({"g": b["g"], "start": b["start"], "centre": mean.tolist(), "root": root, "logdet": logdet})
+
+    return written(moments.mapInPandas(run, PARAMETERS))
+
 
-    return written(moments.mapInPandas(run, "g string, centre array<double>, root array<double>"))
+FLOOR = np.diag([least**2 for _, least in VECTOR.values()])
+PARAMETERS = "g string, start int, centre array<double>, root array<double>, logdet double"
 
 
 def _moments(rows: DataFrame, *by: str) -> DataFrame:
     sums = [F.sum(c) for c in COLUMNS]
     products = [F.sum(F.col(a) * F.col(b)) for a in COLUMNS for b in COLUMNS]
-    return rows.groupBy("g", *by).agg(F.count("*").alias("n"), F.array(*sums).alias("s"), F.array(*products).alias("c"))
+    return rows.groupBy("g", "start", *by).agg(F.count("*").alias("n"), F.array(*sums).alias("s"), F.array(*products).alias("c"))
 
 
 def _added(rows: DataFrame) -> DataFrame:
     add = lambda c, k: F.array(*[F.sum(F.col(c)[i]) for i in range(k)]).alias(c)
-    return rows.groupBy("g").agg(F.sum("n").alias("n"), add("s", P), add("c", P * P))
+    return rows.groupBy("g", "start").agg(F.sum("n").alias("n"), add("s", P), add("c", P * P))
 
 
-def covariance_estimates(rows: DataFrame) -> DataFrame:
-    """MCD estimate (g, centre, root) of each group of ``rows`` (g and the vector), a scratch table.
-
-    The start is the median and the scaled median deviation of each statistic (bands of 1/64); then ``STEPS``
-    concentration steps on the nearest ``SHARE`` of the rows, and one step that takes all rows within the
-    97.5 % ellipsoid. The floors in ``VECTOR`` are added to the covariance, so it is never singular.
-    """
+def _starts(rows: DataFrame) -> DataFrame:
+    """The starts (g, start, centre, root, logdet) of each group: its medians with, in turn, the scaled median deviations alone, and these with the
+    correlations of the hyperbolic tangents and of the spatial signs of the scaled rows. Medians are taken over bands of 1/64."""
     band = lambda c: F.floor(c * 64)
 
     def middle(long: DataFrame) -> DataFrame:
@@ -169,31 +178,76 @@ def covariance_estimates(rows: DataFrame) -> DataFrame:
 
     long = rows.select("g", F.posexplode(F.array(*COLUMNS)).alias("k", "v"))
     mid = written(middle(long))
-    off = written(middle(long.join(mid, ["g", "k"]).select("g", "k", F.abs(F.col("v") - F.col("mid")).alias("v"))).withColumnRenamed("mid", "off"))
-    start = mid.join(off, ["g", "k"]).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("k", "mid", "off"))).alias("m"))
-    floors = F.array(*[F.lit(least) for _, least in VECTOR.values()])
-    root = F.flatten(F.transform("m", lambda x, i: F.transform(F.sequence(F.lit(0), F.lit(P - 1)), lambda j: F.when(j == i, 1 / F.sqrt(F.pow(1.4826 * x["off"], F.lit(2)) + F.pow(F.get(floors, i), F.lit(2)))).otherwise(F.lit(0.0)))))
-    params = written(start.select("g", F.transform("m", lambda x: x["mid"]).alias("centre"), root.alias("root")))
+    off = middle(long.join(mid, ["g", "k"]).select("g", "k", F.abs(F.col("v") - F.col("mid")).alias("v"))).withColumnRenamed("mid", "off")
+    least = F.get(F.array(*[F.lit(x) for _, x in VECTOR.values()]), F.col("k"))
+    width = F.sqrt(F.pow(1.4826 * F.col("off"), F.lit(2)) + F.pow(least, F.lit(2))).alias("width")
+    scaled = mid.join(off, ["g", "k"]).select("g", F.struct("k", "mid", width).alias("m")).groupBy("g").agg(F.array_sort(F.collect_list("m")).alias("m"))
+    scaled = written(scaled.select("g", F.transform("m", lambda x: x["mid"]).alias("centre"), F.transform("m", lambda x: x["width"]).alias("width")))
+    z = F.array(*[(F.col(c) - F.col("centre")[i]) / F.col("width")[i] for i, c in enumerate(COLUMNS)])
+    seen = rows.join(scaled, "g").select("g", z.alias("z")).withColumn("r", F.sqrt(F.aggregate("z", F.lit(1e-12), lambda a, x: a + x * x)))
+    tangents, signs = [F.tanh(F.col("z")[i]) for i in range(P)], [F.col("z")[i] / F.col("r") for i in range(P)]
+    products = lambda v: F.array(*[F.sum(a * b) for a in v for b in v])
+    sums = written(seen.groupBy("g").agg(products(tangents).alias("t"), products(signs).alias("u")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            wide = np.array(b["width"].tolist()).reshape(-1, P)
+            for k, name in enumerate((None, "t", "u")):
+                c = np.tile(np.eye(P), (len(b), 1, 1)) if name is None else np.array(b[name].tolist()).reshape(-1, P, P)
+                d = np.sqrt(np.maximum(c[:, range(P), range(P)], 1e-12))
+                like = 0.99 * c / (d[:, :, None] * d[:, None, :]) + 0.01 * np.eye(P)  # correlations
+                root, logdet = _roots(like * wide[:, :, None] * wide[:, None, :])
+                yield pd.DataFrame({"g": b["g"], "start": k, "centre": b["centre"], "root": root, "logdet": logdet})
+
+    return written(scaled.join(sums, "g").mapInPandas(run, PARAMETERS))
+
+
+def _least(*params: DataFrame) -> DataFrame:
+    """The estimate of least determinant of each group."""
+    every = params[0]
+    for p in params[1:]:
+        every = every.unionByName(p)
+    return written(every.groupBy("g").agg(F.min(F.struct("logdet", "start", "centre", "root")).alias("k")).select("g", "k.start", "k.centre", "k.root", "k.logdet"))
+
+
+def concentrated(rows: DataFrame) -> DataFrame:
+    """(g, start, centre, root, logdet) of the nearest ``SHARE`` of each group of ``rows`` (g and the vector): the least determinant found."""
     near = chi2_quantile(SHARE, P)
     scale = SHARE / chi2_cdf(near, P + 2)
-    for _ in range(STEPS):
+
+    def step(params: DataFrame) -> DataFrame:
         placed = rows.join(params, "g").withColumn("at", F.floor(32 * F.ln(_distance() + 1e-9)))
-        bands = _moments(placed, "at")
-        w = Window.partitionBy("g")
-        ranked = bands.withColumn("before", F.sum("n").over(w.orderBy("at")) - F.col("n")).withColumn("all", F.sum("n").over(w))
-        params = _estimates(_added(ranked.where(F.col("before") < SHARE * F.col("all"))), scale)
+        w = Window.partitionBy("g", "start")
+        ranked = _moments(placed, "at").withColumn("before", F.sum("n").over(w.orderBy("at")) - F.col("n")).withColumn("all", F.sum("n").over(w))
+        return _estimates(_added(ranked.where(F.col("before") < SHARE * F.col("all"))), scale)
+
+    params = _starts(rows)
+    for _ in range(FIRST_STEPS):
+        params = step(params)
+    found = [_least(params)]
+    for _ in range(STEPS):
+        found.append(step(found[-1]))
+    return _least(*found)
+
+
+def covariance_estimates(rows: DataFrame) -> DataFrame:
+    """MCD estimate (g, centre, root) of each group of ``rows`` (g and the vector), a scratch table.
+
+    ``concentrated``, then one step that takes all rows within the 97.5 % ellipsoid. The floors in ``VECTOR`` are added to every covariance
+    (minimum regularised covariance determinant), so it is never singular.
+    """
     wide = chi2_quantile(0.975, P)
-    inside = _moments(rows.join(params, "g").where(_distance() <= wide))
-    return _estimates(inside, 0.975 / chi2_cdf(wide, P + 2))
+    inside = _moments(rows.join(concentrated(rows), "g").where(_distance() <= wide))
+    return _estimates(inside, 0.975 / chi2_cdf(wide, P + 2)).select("g", "centre", "root")
 
 
 def quality_rules(docs: DataFrame, least_rows: int = LEAST_ROWS, tail: float = TAIL) -> DataFrame:
-    """A row for each row of ``docs`` (doc_id, text, lang, source): text_hash, the counts, base_failed, distance2, kept.
+    """A row for each row of ``docs`` (doc_id, text, lang, source): text_hash, the counts, base_failed, level, distance2, kept.
 
     A text of fewer than ten words, or with over a fifth of its words in repeated five-word windows, fails the
     base rules. Any other is rejected if its transformed statistics are beyond the chi-square limit from the
     estimate of its language and source (of its language, or of all, where those have too few rows; null is a
-    language or source of its own). Without enough rows for any estimate (an empty or tiny table) only the base
+    language or source of its own); ``level`` says which: pair, language, all, or none. Without enough rows for any estimate (an empty or tiny table) only the base
     rules apply. Repeated rows get equal verdicts.
     """
     stats = written(document_statistics(docs))
@@ -211,13 +265,15 @@ def quality_rules(docs: DataFrame, least_rows: int = LEAST_ROWS, tail: float = T
     used = pairs.select(F.col("use").alias("g")).distinct()
     levels = rows.select(F.explode(F.array("pair", "lang_key", everything)).alias("g"), *COLUMNS).join(used, "g")
     params = covariance_estimates(written(levels))
-    verdicts = pairs.join(params, F.col("use") == F.col("g")).select("pair", "centre", "root")
+    verdicts = pairs.join(params, F.col("use") == F.col("g")).select("pair", "use", "centre", "root")
     limit = chi2_quantile(1 - tail, P)
     enough = F.lit(alive.limit(least_rows).count() >= least_rows)
     known = stats.withColumn("pair", F.when(~F.col("base_failed"), pair)).select("*", *[F.when(~F.col("base_failed"), c).alias(z) for z, c in zip(COLUMNS, vector)])
     measured = known.join(verdicts, "pair", "left").withColumn("distance2", _distance())
+    use = F.col("use")
+    level = F.when(~enough | use.isNull(), "none").when(use == "all", "all").when(use.startswith("lang "), "language").otherwise("pair")
     outlier = enough & F.coalesce(F.col("distance2") > limit, F.lit(False))
-    return measured.withColumn("kept", ~F.col("base_failed") & ~outlier).select(*stats.columns, "distance2", "kept")
+    return measured.withColumn("kept", ~F.col("base_failed") & ~outlier).withColumn("level", level).select(*stats.columns, "level", "distance2", "kept")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
