@@ -2,8 +2,8 @@
 
 The features are the beginnings of words (three to seven letters, or a whole shorter word) that set labelled toxic texts apart, at most
 ``FEATURES`` of them. Beginnings stand for a word and its inflected forms. Features and weights are fitted on ``SAMPLE``
-labelled documents at most; every document is scored. Labels say only toxic or not; the grade of a toxic text is told by how often those words occur in
-it (thirds of the labelled toxic texts). One weight vector serves all thresholds: P(grade > k) = s(w.x - t_k).
+labelled documents at most; every document is scored. Labels say only toxic or not; the grade of a toxic text is the third in which its odds lie
+under a model of toxic or not that was fitted without it, on the other folds of the labelled documents. One weight vector serves all thresholds: P(grade > k) = s(w.x - t_k).
 A text's severity is the expected grade; it is toxic if P(grade > 0) reaches one half.
 """
 
@@ -23,6 +23,8 @@ from .common import table, written
 
 #: Grades 0 (clean) to 3; features at most; labelled documents that the model is fitted on at most.
 GRADES, FEATURES, SAMPLE = 4, 600, 20_000
+#: Folds of the labelled documents for the grades.
+FOLDS = 3
 #: A feature's least number of toxic texts, and its least smoothed ratio of toxic to clean shares.
 LEAST_TEXTS, LEAST_RATIO = 3, 8.0
 RIDGE, ITERATIONS = 2e-5, 400
@@ -37,25 +39,26 @@ def beginnings(word: str) -> set[str]:
 
 
 def _document_frequencies(labelled: DataFrame) -> DataFrame:
-    """(word, toxic texts, clean texts) over ``labelled`` (text, toxic), counted in a task before the shuffle."""
+    """(word, fold, toxic texts, clean texts) over ``labelled`` (text, toxic, fold), counted in a task before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[str, list[int]] = {}
+        found: dict[tuple[str, int], list[int]] = {}
 
         def frame() -> pd.DataFrame:
-            return pd.DataFrame({"word": np.array(list(found), object), "bad": [x[1] for x in found.values()], "good": [x[0] for x in found.values()]})
+            return pd.DataFrame({"word": np.array([w for w, _ in found], object), "fold": [f for _, f in found], "bad": [x[1] for x in found.values()], "good": [x[0] for x in found.values()]})
 
         for b in batches:
-            for text, toxic in zip(b["text"], b["toxic"]):
+            for text, toxic, fold in zip(b["text"], b["toxic"], b["fold"]):
                 words = {w[: PREFIXES[-1]] for w in LETTERS((text or "").lower())}
                 for w in set().union(*map(beginnings, words)):
-                    found.setdefault(w, [0, 0])[toxic] += 1
+                    found.setdefault((w, fold), [0, 0])[toxic] += 1
                 if len(found) > 300_000:  # bounds a task's memory
                     yield frame()
                     found.clear()
         yield frame()
 
-    return labelled.select("text", "toxic").mapInPandas(run, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    found = labelled.select("text", "toxic", "fold").mapInPandas(run, "word string, fold int, bad long, good long")
+    return found.groupBy("word", "fold").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def features(counts: DataFrame, bad: int, good: int, most: int = FEATURES) -> dict[str, int]:
@@ -73,21 +76,18 @@ class Features:
     def __init__(self, words: dict[str, int]):
         self.words, self.known = words, {}
 
-    def __call__(self, text: str | None) -> tuple[dict[int, float], int]:
-        """Feature -> 1 + log(occurrences), and the number of occurrences of words that have a feature."""
+    def __call__(self, text: str | None) -> dict[int, float]:
+        """Feature -> 1 + log(occurrences)."""
         hits: dict[int, int] = {}
-        total = 0
         if len(self.known) > 300_000:
             self.known.clear()
         for w, n in Counter(LETTERS((text or "").lower())).items():
             ids = self.known.get(w)
             if ids is None:
                 ids = self.known[w] = tuple(sorted(self.words[x] for x in beginnings(w) if x in self.words))
-            if ids:
-                total += n
-                for k in ids:
-                    hits[k] = hits.get(k, 0) + n
-        return {k: 1 + math.log(n) for k, n in hits.items()}, total
+            for k in ids:
+                hits[k] = hits.get(k, 0) + n
+        return {k: 1 + math.log(n) for k, n in hits.items()}
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -128,7 +128,7 @@ class Model:
 
     def score(self, text: str | None, find: Features) -> tuple[float, float]:
         """(expected severity, P(grade > 0))"""
-        found, _ = find(text)
+        found = find(text)
         beyond = _sigmoid(sum(self.weights[k] * x for k, x in found.items()) - self.thresholds)
         return float(beyond.sum()), float(beyond[0])
 
@@ -136,25 +136,56 @@ class Model:
 def train(labelled: DataFrame) -> Model:
     """Fit on all of ``labelled`` (doc_id, text, toxic: 0 or 1), a scratch table of at most ``SAMPLE`` rows. Without a toxic
     label nothing is toxic."""
-    sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    words = features(_document_frequencies(labelled), sizes.get(1, 0), sizes.get(0, 0)) if sizes.get(1) else {}
+    labelled = labelled.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
+    sizes = {(r["fold"], r["toxic"]): r["n"] for r in labelled.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
+    size = lambda toxic, out=None: sum(n for (f, t), n in sizes.items() if t == toxic and f != out)
+    if not size(1):
+        return Model({}, np.zeros(0), np.array([40.0] * (GRADES - 1)))
+    counts = written(_document_frequencies(labelled))
+    added = lambda rows: rows.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    words = features(added(counts), size(1), size(0))
     if not words:
         return Model({}, np.zeros(0), np.array([40.0] * (GRADES - 1)))
+    # the words of a fold's model are chosen without that fold too
+    others = [features(added(counts.where(F.col("fold") != f)), size(1, f), size(0, f)) for f in range(FOLDS)]
+    every = {w: i for i, w in enumerate(sorted({*words}.union(*others)))}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = Features(words)
+        find = Features(every)
         for b in batches:
             found = [find(t) for t in b["text"]]
-            yield pd.DataFrame({"toxic": b["toxic"], "k": [list(f) for f, _ in found], "x": [list(f.values()) for f, _ in found], "hits": [d for _, d in found]})
+            yield pd.DataFrame({"toxic": b["toxic"], "fold": b["fold"], "k": [list(f) for f in found], "x": [list(f.values()) for f in found]})
 
-    kept = labelled.select("doc_id", "text", "toxic").orderBy(F.xxhash64("doc_id", "text"), "doc_id").select("text", "toxic")
-    rows = kept.mapInPandas(run, "toxic int, k array<int>, x array<double>, hits long").collect()  # at most ``SAMPLE`` rows of few numbers
-    toxic, hits = np.array([r["toxic"] for r in rows]), np.array([r["hits"] for r in rows])
-    thirds = np.quantile(hits[toxic == 1], [1 / 3, 2 / 3])
-    grade = np.where(toxic == 1, 1 + (hits > thirds[0]) + (hits > thirds[1]), 0)
+    kept = labelled.select("doc_id", "text", "toxic", "fold").orderBy(F.xxhash64("doc_id", "text"), "doc_id").select("text", "toxic", "fold")
+    rows = kept.mapInPandas(run, "toxic int, fold int, k array<int>, x array<double>").collect()  # at most ``SAMPLE`` rows of few numbers
+    toxic, fold = np.array([r["toxic"] for r in rows]), np.array([r["fold"] for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r["k"]) for r in rows])
-    cells = [np.array([v for r in rows for v in r[c]], kind) for c, kind in (("k", np.int64), ("x", np.float64))]
-    return Model(words, *fit_ordinal(row, *cells, len(words), grade, GRADES))
+    col, x = (np.array([v for r in rows for v in r[c]], kind) for c, kind in (("k", np.int64), ("x", np.float64)))
+
+    def fit(mine: dict[str, int], those: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weights by number in ``every``, and thresholds, of the model for the words ``mine`` on the rows ``those``."""
+        number = np.full(len(every), -1)
+        number[[every[w] for w in mine]] = list(mine.values())
+        use = those[row] & (number[col] >= 0)
+        at = np.cumsum(those) - 1
+        w, t = fit_ordinal(at[row[use]], number[col[use]], x[use], len(mine), grade[those], grades)
+        wide = np.zeros(len(every))
+        wide[[every[v] for v in mine]] = w[list(mine.values())]
+        return wide, t
+
+    odds = np.zeros(len(rows))
+    for f, mine in enumerate(others):
+        if (fold != f).any():
+            w, t = fit(mine, fold != f, toxic, 2)
+            odds = np.where(fold == f, np.bincount(row, w[col] * x, len(rows)) - t[0], odds)
+    w, t = fit(words, np.ones(len(rows), bool), grades_of(toxic, odds), GRADES)
+    return Model(words, w[[every[v] for v in words]], t)
+
+
+def grades_of(toxic: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """0 for a clean text, else 1 to 3: the third of the toxic texts in which the odds lie."""
+    thirds = np.quantile(odds[toxic == 1], [1 / 3, 2 / 3])
+    return np.where(toxic == 1, 1 + (odds > thirds[0]) + (odds > thirds[1]), 0)
 
 
 def severity(model: Model):

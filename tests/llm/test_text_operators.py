@@ -218,6 +218,53 @@ def test_mcd_is_not_pulled_by_outliers(spark):
     assert np.abs(np.array(centre) - clean.mean(axis=0)).max() < 0.2
 
 
+def test_mcd_against_all_subsets(spark):
+    """Small groups: the determinant found is among the least hundredth of those of all subsets of the nearest share, and the least of
+    all where there are plain outliers."""
+    from itertools import combinations
+
+    from ledgerloom.llm.common import written
+
+    rng = np.random.default_rng(31)
+    groups = {}
+    for g in range(8):
+        x = rng.normal(0, 1, (16, 5)) @ np.diag([2, 1, 1, 1, 1]) + g
+        x[: g % 5] += rng.normal(9, 2, (g % 5, 5))
+        groups[f"g{g}"] = x
+    groups["ties"] = np.repeat(rng.normal(0, 1, (4, 5)), 4, axis=0)
+    df = written(spark.createDataFrame([(g, *map(float, r)) for g, x in groups.items() for r in x], "g string, " + ", ".join(f"{c} double" for c in quality.COLUMNS)))
+    got = {r.g: r for r in quality.concentrated(df).collect()}
+    scale = quality.SHARE / quality.chi2_cdf(quality.chi2_quantile(quality.SHARE, 5), 7)
+    subsets = np.array(list(combinations(range(16), 12)))
+    for g, x in groups.items():
+        some = x[subsets]
+        some = some - some.mean(axis=1, keepdims=True)
+        every = np.sort(np.linalg.slogdet(scale * some.transpose(0, 2, 1) @ some / 12 + quality.FLOOR)[1])
+        # 4 outliers leave one subset; the four equal rows of "ties" lie at one distance, and are taken whole
+        assert got[g].logdet <= every[len(every) // 100] + 1e-9 or g == "ties", (g, got[g].logdet, every[:3])
+        assert g != "g4" or abs(got[g].logdet - every[0]) < 1e-9
+    assert {r.start for r in got.values()} <= {0, 1, 2}
+
+
+def test_verdict_against_brute_force(spark):
+    """The verdict of each row from its distance to the estimate, worked out again; levels by number of rows."""
+    rng = np.random.default_rng(32)
+    rows = [(i, " ".join(rng.choice(WORDS, int(n))) + ("#" * 90 if i % 60 == 0 else ""), "en" if i % 5 else "de", ["s", "t", None][i % 3]) for i, n in enumerate(rng.integers(20, 400, 420))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = quality.quality_rules(df).collect()
+    limit = quality.chi2_quantile(1 - quality.TAIL, quality.P)
+    size = {}
+    for _, _, lang, source in rows:
+        size[lang, source] = size.get((lang, source), 0) + 1
+    for r in out:
+        many = size[r.lang, r.source] - sum(o.base_failed for o in out if (o.lang, o.source) == (r.lang, r.source)) >= quality.LEAST_ROWS
+        if not r.base_failed:
+            assert r.level == ("pair" if many else "all") and r.kept == (r.distance2 <= limit)
+    assert {r.doc_id for r in out if not r.kept and not r.base_failed} == {i for i in range(420) if i % 60 == 0}
+    again = {r.doc_id: r.distance2 for r in quality.quality_rules(df.repartition(7)).collect()}
+    assert all(r.base_failed or abs(again[r.doc_id] - r.distance2) < 1e-6 * max(1, r.distance2) for r in out)
+
+
 def test_chi_square():
     assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-3 and abs(quality.chi2_cdf(6.6257, 5) - 0.75) < 1e-4
 
@@ -236,6 +283,19 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([r.severity for r in out if r.label == 1]) > 10 * np.mean([r.severity for r in out if r.label == 0])
 
 
+def test_grades_are_ordered_on_held_out_rows(spark):
+    """Severity on rows that the model hasn't seen rises with the odds that another model, fitted on yet other rows, gives them."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    one, two = (toxicity.model_for(docs, labels.where(f"doc_id % 5 IN {folds}")) for folds in ("(0, 1)", "(2, 3)"))
+    held = docs.join(labels.where("doc_id % 5 = 4 AND toxic = 1").select("doc_id"), "doc_id").collect()
+    find = [toxicity.Features(m.words) for m in (one, two)]
+    a, b = (np.array([m.score(r.text, f)[0] for r in held]) for m, f in zip((one, two), find))
+    rank = lambda v: np.argsort(np.argsort(v))
+    assert len(held) > 30 and np.corrcoef(rank(a), rank(b))[0, 1] > 0.5
+    assert toxicity.grades_of(np.array([0, 1, 1, 1, 1, 1, 1]), np.array([9.0, 1, 2, 3, 4, 5, 6])).tolist() == [0, 1, 1, 2, 2, 3, 3]
+
+
 def test_toxicity_edges(spark, docs):
     labels = spark.createDataFrame([(8, 1), (8, 0), (9, 0), (None, 1), (999, 1), (12, None), (11, 3)], "doc_id long, toxic int")
     assert toxicity.toxicity(docs, labels).count() == docs.count()
