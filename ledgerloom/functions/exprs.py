@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,12 +61,12 @@ def check_digits(base) -> Column:
 def key_reason(c, level: str = "check_digits") -> Column:
     """Why a key is not valid, or ``ok``: empty, bad_character, bad_length, bad_pattern, repeated, bad_digits.
 
-    level: ``pattern`` stops after the pattern, ``format`` also refuses repeated characters, ``check_digits`` also
+    level: ``pattern`` ignores blanks around the key and stops after the pattern, ``format`` also refuses repeated characters, ``check_digits`` also
     compares the last two digits.
     """
     if level not in ("pattern", "format", "check_digits"):
         raise ValueError(level)
-    c = col(c)
+    c = F.trim(col(c)) if level == "pattern" else col(c)
     raw = normalize_key(c)
     out = F.when(raw == "", "empty").when(c.rlike("[^A-Za-z0-9./-]"), "bad_character").when(F.length(raw) != KEY_LENGTH, "bad_length").when(~raw.rlike(r"^[A-Z0-9]{12}[0-9]{2}\z"), "bad_pattern")
     if level != "pattern":
@@ -125,7 +127,7 @@ def typed_date(c) -> Column:
 def split_list(c, separator: str = ",") -> Column:
     """Items of a list in text; null and '' give an empty list."""
     c = col(c)
-    return F.when(c.isNotNull() & (c != ""), F.split(c, separator)).otherwise(F.array().cast("array<string>"))
+    return F.when(c.isNotNull() & (c != ""), F.split(c, re.escape(separator))).otherwise(F.array().cast("array<string>"))
 
 
 def compact(*structs: Column) -> Column:
@@ -159,18 +161,23 @@ def source_fingerprint(given, *seed) -> Column:
     return F.when(given.rlike(r"^(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})\z"), F.lower(given)).otherwise(F.sha2(F.concat_ws("|", *map(or_empty, seed)), 256))
 
 
-def inject_key(payload, key, name: str = "cnpj") -> Column:
-    """A JSON object with the property ``name`` appended; a JSON string that holds an object is unwrapped first.
+def inject_key(payload, key, name: str = "cnpj", strict: bool = False) -> Column:
+    """A JSON object with the property ``name`` set to the key: appended, and taken from where the payload had it before. A JSON string that
+    holds an object is unwrapped first.
 
-    Null where the payload is no object.
+    Null stays null. A payload that is no object gives null, or an error where ``strict``.
     """
     text = F.trim(col(payload))
     text = F.when(text.startswith('"'), F.trim(F.get_json_object(text, "$"))).otherwise(text)
+    is_object = text.startswith("{") & text.endswith("}") & F.try_parse_json(text).isNotNull()
+    # only a payload that has the property is taken apart; any other keeps its text
+    rest = F.to_json(F.map_filter(F.from_json(text, "map<string,variant>"), lambda k, _: k != name), {"ignoreNullFields": "false"})
+    text = F.when(F.array_contains(F.json_object_keys(text), name), rest).otherwise(text)
     body = F.trim(F.substring(text, F.lit(2), F.length(text) - 2))
     tail = F.concat(F.lit(f'"{name}":'), F.to_json(F.array(col(key))))
     tail = F.regexp_replace(tail, r":\[(.*)\]$", ":$1")
-    is_object = text.startswith("{") & text.endswith("}") & F.try_parse_json(text).isNotNull()
-    return F.when(is_object, F.concat(F.lit("{"), body, F.when(body != "", ",").otherwise(""), tail, F.lit("}")))
+    out = F.when(is_object, F.concat(F.lit("{"), body, F.when(body != "", ",").otherwise(""), tail, F.lit("}")))
+    return out.when(col(payload).isNotNull(), F.raise_error(F.concat(F.lit("no JSON object: "), F.substring(col(payload), 1, 100)))) if strict else out
 
 
 def month(c) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,3 +110,25 @@ class CarriersModule:
 
     def build(self, spark: SparkSession, context: Context) -> DataFrame:
         return carriers_module(context.inputs["carriers"], context.updated_at, context.prefix_length)
+
+
+MODULES = (WorksModule, CarriersModule)
+
+
+def enabled_modules(settings: dict[str, dict], known=MODULES) -> dict[str, Module]:
+    """The modules that a configuration enables, by key. ``settings``: key -> {enabled, refresh_hours}; a module that isn't named is on.
+
+    Unknown keys, and two modules of one key or JSON property, are errors.
+    """
+    every = {m.descriptor.key: m for m in known}
+    if len(every) < len(known) or len({m.descriptor.json_property for m in known}) < len(known):
+        raise ValueError("two modules share a key or a property")
+    if unknown := sorted(set(settings) - set(every)):
+        raise ValueError(f"unknown modules: {', '.join(unknown)}")
+    out = {}
+    for key, module in every.items():
+        mine = settings.get(key, {})
+        if mine.get("enabled", True):
+            out[key] = module()
+            out[key].descriptor = replace(module.descriptor, refresh_hours=mine.get("refresh_hours", module.descriptor.refresh_hours))
+    return out

@@ -44,21 +44,87 @@ ENTITY_RULES = (
     Rule("uf", longest=2),
     Rule("municipio", longest=100),
     Rule("email", longest=115),
-    Rule("telefones[].ddd"),
-    Rule("telefones[].numero"),
+    Rule("telefones[].ddd", longest=4),
+    Rule("telefones[].numero", longest=15),
+    Rule("telefones[].is_fax"),
     Rule("capital_social", longest=25),
     Rule("porte_empresa", longest=50),
     Rule("opcao_simples", longest=1),
     Rule("data_opcao_simples", pattern=DATE, longest=10),
     Rule("opcao_mei", longest=1),
     Rule("data_opcao_mei", pattern=DATE, longest=10),
-    Rule("QSA[].nome_socio"),
-    Rule("QSA[].cnpj_cpf_socio"),
-    Rule("QSA[].qualificacao_socio"),
-    Rule("QSA[].data_entrada_sociedade", pattern=DATE),
-    Rule("QSA[].identificador_socio"),
-    Rule("QSA[].faixa_etaria"),
+    Rule("QSA[].nome_socio", longest=200),
+    Rule("QSA[].cnpj_cpf_socio", longest=20),
+    Rule("QSA[].qualificacao_socio", longest=100),
+    Rule("QSA[].data_entrada_sociedade", pattern=DATE, longest=10),
+    Rule("QSA[].identificador_socio", longest=30),
+    Rule("QSA[].faixa_etaria", longest=30),
 )
+_WORK = dict(
+    cno=20, nome=200, nome_empresarial=200, data_inicio=30, data_inicio_responsabilidade=30, data_registro=30, data_situacao=30, cep=8, uf=2, codigo_municipio=10,
+    municipio=100, tipo_logradouro=20, logradouro=200, numero=20, bairro=100, complemento=200, unidade_medida=10, area_total=25, cno_vinculado=20, codigo_pais=5,
+    pais=100, codigo_localizacao=10,
+)
+_CARRIER = dict(numero_rntrc=20, nome=200, categoria=20, situacao=30, data_primeiro_cadastro=30, data_situacao=30, cep=10, municipio=100, uf=2)
+WORKS_RULES = (
+    Rule("updated_at", longest=40),
+    *(Rule(f"obras[].{name}", longest=n) for name, n in _WORK.items()),
+    *(Rule(f"obras[].{code}.{part}", longest=n) for code in ("situacao", "qualificacao_responsavel") for part, n in (("codigo", 10), ("descricao", 200))),
+)
+CARRIER_RULES = (Rule("updated_at", longest=40), *(Rule(name, longest=n) for name, n in _CARRIER.items()), Rule("equiparado"))
+
+
+def json_schema(rules: tuple[Rule, ...]) -> str:
+    """The schema of JSON text that holds the paths of ``rules``: truth values for ``is_fax`` and ``equiparado``, else text."""
+    tree: dict = {}
+    for rule in rules:
+        at = tree
+        for part in rule.path.split("."):
+            at = at.setdefault(part, {})
+
+    def kind(name: str, inner: dict) -> str:
+        one = ", ".join(f"{k.removesuffix('[]')}: {kind(k, v)}" for k, v in inner.items())
+        one = f"struct<{one}>" if inner else "boolean" if name in ("is_fax", "equiparado") else "string"
+        return f"array<{one}>" if name.endswith("[]") else one
+
+    return ", ".join(f"{k.removesuffix('[]')} {kind(k, v)}" for k, v in tree.items())
+
+
+def _within(place: str):
+    return lambda name: F.concat(F.lit(place), name)
+
+
+def unknown_properties(value: Column | str, rules: tuple[Rule, ...]) -> Column:
+    """Properties of a JSON document, and of the objects in its arrays, that no rule names; null for text that is no object."""
+    text = F.col(value) if isinstance(value, str) else value
+    known: dict[str, set[str]] = {"": set()}
+    for rule in rules:
+        outer, is_list, inner = rule.path.partition("[]")
+        known[""].add(outer.partition(".")[0])
+        if is_list and inner:
+            known.setdefault(outer, set()).add(inner[1:].partition(".")[0])
+    found = [F.array_except(F.json_object_keys(text), F.array(*map(F.lit, sorted(known[""]))))]
+    for outer, names in sorted(known.items()):
+        if outer:
+            items = F.coalesce(F.from_json(F.get_json_object(text, f"$.{outer}"), "array<string>"), F.array())
+            keys = F.array_distinct(F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), F.array()))))
+            strange = F.array_except(keys, F.array(*map(F.lit, sorted(names))))
+            found.append(F.transform(strange, _within(f"{outer}[].")))
+    return F.concat(*found)
+
+
+def json_report(df: DataFrame, value: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """(rule, n): how many JSON documents break each rule, hold a property that no rule names (``name:unknown``), or are no object (``:no_object``)."""
+    parsed = df.select(F.col(value).alias("__text"), F.from_json(value, json_schema(rules)).alias("__doc"))
+    strange = unknown_properties("__text", rules)
+    broken = F.when(strange.isNull(), F.array(F.lit(":no_object"))).otherwise(F.concat(violations(parsed, rules, "__doc"), F.transform(strange, lambda x: F.concat(x, F.lit(":unknown")))))
+    return parsed.select(F.explode(broken).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+def _inside(x: Column, path: str) -> Column:
+    for part in path.split(".")[1:]:
+        x = x[part]
+    return x
 
 
 def _broken(rule: Rule) -> dict[str, "callable"]:
@@ -83,7 +149,7 @@ def violations(df: DataFrame, rules: tuple[Rule, ...], root: str | None = None)
         outer, is_list, inner = rule.path.partition("[]")
         for kind, broken in _broken(rule).items():
             if is_list:
-                hit = F.exists(F.coalesce(F.col(start + outer), F.array()), lambda x: F.coalesce(broken(x[inner[1:]] if inner else x), F.lit(False)))
+                hit = F.exists(F.coalesce(F.col(start + outer), F.array()), lambda x: F.coalesce(broken(_inside(x, inner)), F.lit(False)))
             else:
                 hit = F.coalesce(broken(F.col(start + outer)), F.lit(False))
             tests.append(F.when(hit, f"{rule.path}:{kind}"))

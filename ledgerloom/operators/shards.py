@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import KEY_LENGTH
 from .relational import running_offsets
 
+#: A text of Spark holds 2 GiB at most.
+SHARD_BYTES = 1 << 30
+
 
 def shard_index(df: DataFrame, prefix: str = "prefix", key: str = "key", value: str = "value", key_length: int = KEY_LENGTH) -> DataFrame:
     """``running_offsets`` of the lines that ``write_shards`` writes. Raises for a key of another length."""
@@ -27,7 +30,11 @@ def release_totals(counts: DataFrame) -> DataFrame:
 
 
 def shard_artifact_summary(df: DataFrame, prefix: str = "prefix", key: str = "key", value: str = "value") -> DataFrame:
-    """Bytes and MD5 of each shard's text. A shard must fit in a task, as its file does."""
+    """Bytes and MD5 of each shard's text. A shard is one piece of text in a task, so one of over ``SHARD_BYTES`` is an error, raised before
+    any is put together; longer prefixes make smaller shards."""
+    sizes = df.groupBy(F.col(prefix).alias("__prefix")).agg(F.sum(F.octet_length(value) + 1).alias("__bytes"))
+    fits = F.when(F.col("__bytes") <= SHARD_BYTES, True).otherwise(F.raise_error(F.concat(F.lit("shard too large, use a longer prefix: "), F.col("__prefix"))))
+    df = df.join(sizes.where(fits), F.col(prefix).eqNullSafe(F.col("__prefix")))
     lines = df.groupBy(prefix).agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v")))).alias("r"))
     text = F.concat(F.array_join(F.transform("r", lambda x: x["v"]), "\n"), F.lit("\n"))
     return lines.select(prefix, F.octet_length(text).cast("long").alias("bytes"), F.md5(text).alias("md5"))

@@ -167,8 +167,9 @@ WHEN {_digits_sql("substring(raw, 1, 12)")} <> substring(raw, 13, 2) THEN 'bad_d
 FROM (SELECT o_orderkey, {_REASON_SQL} AS reason FROM {_RAW_SQL})"""
 )
 def validate_key(spark, sf_dir):
-    levels = {"by_digits": "check_digits", "by_format": "format", "by_pattern": "pattern"}
-    return _raw_keys(spark, sf_dir).select("o_orderkey", X.key_reason("raw").alias("reason"), *[X.is_valid_key("raw", v).alias(k) for k, v in levels.items()])
+    # one reason tells all levels: a level passes over the faults that only a stricter one looks for
+    later = {"by_digits": [], "by_format": ["bad_digits"], "by_pattern": ["bad_digits", "repeated"]}
+    return _raw_keys(spark, sf_dir).select("o_orderkey", X.key_reason("raw").alias("reason")).select("o_orderkey", "reason", *[F.col("reason").isin("ok", *v).alias(k) for k, v in later.items()])
 
 
 @query(f"SELECT o_orderkey, base, {_digits_sql('base')} AS digits FROM (SELECT o_orderkey, substring(k, 3) AS base FROM {_MASKED_SQL})")
@@ -213,8 +214,10 @@ def source_fingerprint(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", X.source_fingerprint(given, seed, "event_type", "props").alias("fingerprint"))
 
 
-@query("""SELECT event_id, substring(props, 1, length(props) - 1) || ',"cnpj":"' || lpad(CAST(user_id AS VARCHAR), 14, '0') || '"}' AS payload FROM events""")
+@query(
+    """SELECT event_id, CASE WHEN event_id % 5 = 4 THEN '{"a":"x"' ELSE substring(props, 1, length(props) - 1) END || ',"cnpj":"' || lpad(CAST(user_id AS VARCHAR), 14, '0') || '"}' AS payload FROM events"""
+)
 def json_inject_key(spark, sf_dir):
     wrapped = F.concat(F.lit('"'), F.regexp_replace("props", '"', '\\\\"'), F.lit('"'))
-    text = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(wrapped)
-    return table(spark, sf_dir, "events").select("event_id", X.inject_key(text, F.lpad(F.col("user_id").cast("string"), 14, "0")).alias("payload"))
+    text = F.when(F.col("event_id") % 5 == 4, F.lit('{"cnpj":"old","a":"x"}')).when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(wrapped)
+    return table(spark, sf_dir, "events").select("event_id", X.inject_key(text, F.lpad(F.col("user_id").cast("string"), 14, "0"), strict=True).alias("payload"))

@@ -43,11 +43,13 @@ def require_nonempty(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def read_registry_csv(spark: SparkSession, paths: str | list[str], table: str) -> DataFrame:
+def read_registry_csv(spark: SparkSession, paths: str | list[str], table: str, newlines: bool = True) -> DataFrame:
     """A registry family: semicolons, no header, Windows-1252, quotes doubled inside quotes. Rows with another number of
-    columns are dropped. Needs ``spark.sql.legacy.javaCharsets`` (see ``session``)."""
+    columns are dropped. Needs ``spark.sql.legacy.javaCharsets`` (see ``session``).
+
+    ``newlines``: values may hold line breaks, so a file is read by one task. Without them large files are split."""
     schema = schemas.registry_schema(table)
-    read = spark.read.schema(schema).options(sep=";", encoding="windows-1252", quote='"', escape='"', multiLine=True, mode="DROPMALFORMED", pathGlobFilter=schemas.REGISTRY[table][0], recursiveFileLookup=True)
+    read = spark.read.schema(schema).options(sep=";", encoding="windows-1252", quote='"', escape='"', multiLine=newlines, mode="DROPMALFORMED", pathGlobFilter=schemas.REGISTRY[table][0], recursiveFileLookup=True)
     return read.csv(paths)
 
 
@@ -161,12 +163,13 @@ def latest_resource(catalog: DataFrame, text: str = "value") -> DataFrame:
 def select_period(periods: DataFrame, requested: str | None = None, current: str | None = None, name: str = "period") -> DataFrame:
     """One row: the latest period, whether the requested and the current one exist, and which one to use.
 
-    Only text of the form yyyy-MM counts. A requested period must exist; else the current one is used where it
+    Only text of the form yyyy-MM counts. A requested period that doesn't exist is an error; without one the current one is used where it
     exists, else the latest.
     """
     p = F.col(name)
     found = periods.where(p.rlike(r"^[0-9]{4}-[0-9]{2}\z"))
     has = lambda x: F.coalesce(F.bool_or(p == F.lit(x)), F.lit(False)) if x else F.lit(False)
     one = found.agg(F.max(p).alias("latest"), has(requested).alias("requested_present"), has(current).alias("current_present"))
-    use = F.when(F.col("requested_present"), requested) if requested else F.when(F.col("current_present"), current).otherwise(F.col("latest"))
+    missing = F.raise_error(F.lit(f"the requested period {requested} is not there"))
+    use = F.when(F.col("requested_present"), requested).otherwise(missing.cast("string")) if requested else F.when(F.col("current_present"), current).otherwise(F.col("latest"))
     return one.withColumn("selected", use)

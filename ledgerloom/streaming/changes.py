@@ -33,7 +33,9 @@ def stream_module_changes(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         before = f"{state}/batch={batch_id - 1}"
-        old = spark.read.schema(STATE).parquet(before) if batch_id and exists(spark, before) else empty_like(spark, STATE)
+        if batch_id and not exists(spark, before):
+            raise ValueError(f"the state before batch {batch_id} is gone: {before}")
+        old = spark.read.schema(STATE).parquet(before) if batch_id else empty_like(spark, STATE)
         new = reduce(batch).select("cnpj", "content_hash").persist()
         try:
             change_feed(old, new, batch_id, removals=False).write.mode("overwrite").parquet(f"{feed}/batch={batch_id}")

@@ -60,7 +60,7 @@ def test_parts(spark):
 
 
 def test_sql_functions(spark):
-    assert register_sql_functions(spark) == ["clean_key", "normalize_key", "is_valid_key", "mask_key"]
+    assert register_sql_functions(spark) == ["clean_key", "normalize_key", "has_key_format", "first_key_digit", "second_key_digit", "is_valid_key", "mask_key"]
     r = spark.sql("SELECT clean_key('a-1/b'), normalize_key('a.b-1'), is_valid_key('12ABC34501DE35'), is_valid_key(null), mask_key('12abc34501de35')").first()
     assert tuple(r) == ("a1b", "AB1", True, False, "12.ABC.345/01DE-35")
 
@@ -68,3 +68,25 @@ def test_sql_functions(spark):
 def test_label_rejects_unknown_fallback():
     with pytest.raises(KeyError):
         X.label(F.lit("1"), {"1": "x"}, "other")
+
+
+def test_levels_in_sql(spark):
+    from ledgerloom.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    keys = ["12ABC34501DE35", "12.ABC.345/01DE-35", "12ABC34501DE36", "11111111111111", "x", None]
+    got = spark.createDataFrame([(k,) for k in keys], "c string").selectExpr("has_key_format(c) AS f", "is_valid_key(c) AS v").collect()
+    want = rows(spark, keys, F.coalesce(X.is_valid_key("c", "format"), F.lit(False)), F.coalesce(X.is_valid_key("c"), F.lit(False)))
+    assert [(r.f, r.v) for r in got] == [tuple(r) for r in want]
+
+
+def test_key_is_set_once(spark):
+    texts = ['{"cnpj":"old","a":1}', '{"a":{"cnpj":2}}', None]
+    assert [r[0] for r in rows(spark, texts, X.inject_key("c", F.lit("k"), strict=True))] == ['{"a":1,"cnpj":"k"}', '{"a":{"cnpj":2},"cnpj":"k"}', None]
+    with pytest.raises(Exception, match="no JSON object"):
+        rows(spark, ["[1]"], X.inject_key("c", F.lit("k"), strict=True))
+
+
+def test_separators_and_blanks(spark):
+    assert rows(spark, ["a|b"], X.split_list("c", "|"))[0][0] == ["a", "b"] and rows(spark, ["a.b"], X.split_list("c", "."))[0][0] == ["a", "b"]
+    assert [r[0] for r in rows(spark, [" 12345678000195 "], X.key_reason("c", "pattern"), X.key_reason("c"))][0] == "ok"

@@ -112,3 +112,115 @@ def test_publish_flag(spark):
 
     rows = spark.createDataFrame([("a", False), ("b", True)], "module string, publish boolean")
     assert any_publish(rows).first().publish and not any_publish(rows.limit(0)).first().publish
+
+
+def test_missing_period_is_an_error(spark):
+    months = spark.createDataFrame([("2024-01",), ("2024-02",), ("x",)], "period string")
+    assert readers.select_period(months, "2024-01").first().selected == "2024-01" and readers.select_period(months).first().selected == "2024-02"
+    with pytest.raises(Exception, match="2023-12 is not there"):
+        readers.select_period(months, "2023-12").collect()
+
+
+def test_one_document_is_exported(spark, tables, tmp_path):
+    from ledgerloom.operators.documents import export_document
+
+    export_document(tables, "12ABC345000190", str(tmp_path / "one"))
+    assert json.loads(spark.read.text(str(tmp_path / "one")).first()[0])["cnpj"] == "12ABC345000190"
+    with pytest.raises(ValueError, match="no document"):
+        export_document(tables, "00000000000000", str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
+
+
+def test_state_follows_publication(spark, tmp_path):
+    rows = spark.createDataFrame([("cno", "1", "h")], "module string, cnpj string, content_hash string")
+
+    def fail():
+        raise RuntimeError("upload failed")
+
+    with pytest.raises(RuntimeError):
+        writers.commit_state(fail, rows, str(tmp_path), "1")
+    assert readers.read_state(spark, f"{tmp_path}/version=1").isEmpty()
+    assert readers.read_state(spark, writers.commit_state(lambda: None, rows, str(tmp_path), "1")).count() == 1
+
+
+def test_enabled_modules():
+    from ledgerloom.operators.modules import WorksModule, enabled_modules
+
+    found = enabled_modules({"rntrc": {"enabled": False}, "cno": {"refresh_hours": 2.0}})
+    assert list(found) == ["cno"] and found["cno"].descriptor.refresh_hours == 2.0 and WorksModule.descriptor.refresh_hours == 24.0
+    with pytest.raises(ValueError, match="unknown modules: x"):
+        enabled_modules({"x": {}})
+    with pytest.raises(ValueError, match="share"):
+        enabled_modules({}, (WorksModule, WorksModule))
+
+
+def test_shard_faults_in_documents(spark, tables):
+    docs = entity_documents(tables)
+    index = shard_index(docs)
+    wrong = docs.selectExpr("prefix", "key", "replace(value, key, '99999999999999') AS value")
+    assert {r.fault for r in verify_shards(index, wrong).collect()} == {"wrong_key"}
+    assert {(r.fault, r.prefix) for r in verify_shards(index, docs.where("prefix = '990'")).collect()} == {("missing_document", "12A")}
+
+
+def test_large_shards_are_refused(spark, monkeypatch):
+    from ledgerloom.operators import shards
+
+    df = spark.createDataFrame([("a", "1", "xx"), ("a", "2", "yy"), ("b", "1", "z")], "prefix string, key string, value string")
+    assert {r.prefix: r.bytes for r in shards.shard_artifact_summary(df).collect()} == {"a": 6, "b": 2}
+    monkeypatch.setattr(shards, "SHARD_BYTES", 5)
+    with pytest.raises(Exception, match="use a longer prefix: a"):
+        shards.shard_artifact_summary(df).collect()
+
+
+def test_lookup_prunes_partitions(spark, tables, tmp_path):
+    from ledgerloom.operators.lookup import lookup
+
+    writers.write_partitioned(entity_documents(tables).select("key", "value"), str(tmp_path / "d"), "key", column="prefix")
+    docs = readers.read_partitioned(spark, str(tmp_path / "d"), key="prefix")
+    asked = spark.createDataFrame([(" 12.ABC.345/0001-90 ",), ("12ABC345000100",), ("no",)], "raw string")
+    found = lookup(asked, docs, {})
+    assert [r.outcome for r in found.orderBy("raw").collect()] == ["ok", "not_found", "invalid"]
+    assert "PartitionFilters: [isnotnull(prefix" in found._jdf.queryExecution().executedPlan().toString()
+    assert "12A" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, lookup(asked, docs, {}, most_prefixes=0).collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_json_rules(spark):
+    from ledgerloom.operators import quality
+
+    good = {"updated_at": "t", "numero_rntrc": "1", "nome": "n", "categoria": "", "situacao": "", "data_primeiro_cadastro": "", "data_situacao": "", "cep": "", "municipio": "", "uf": "SP", "equiparado": True}
+    texts = [json.dumps(x) for x in (good, good | {"uf": "SPX"}, good | {"extra": 1}, {k: v for k, v in good.items() if k != "equiparado"})] + ["[1]", None]
+    report = {r.rule: r.n for r in quality.json_report(spark.createDataFrame([(t,) for t in texts], "value string"), "value", quality.CARRIER_RULES).collect()}
+    assert report == {"uf:too_long": 1, "extra:unknown": 1, "equiparado:required": 1, ":no_object": 2}
+    text = json.dumps({"updated_at": "t", "obras": [{"cno": "x" * 21, "new": 1}]})
+    report = {r.rule for r in quality.json_report(spark.createDataFrame([(text,)], "value string"), "value", quality.WORKS_RULES).collect()}
+    assert {"obras[].cno:too_long", "obras[].new:unknown", "obras[].uf:required", "obras[].situacao.codigo:required"} <= report
+
+
+def test_stream_needs_its_state(spark, tmp_path):
+    import shutil
+
+    from ledgerloom.streaming.changes import stream_module_changes
+
+    args = (spark, str(tmp_path / "in"), "cnpj string, content_hash string", lambda df: df, *(str(tmp_path / x) for x in ("state", "feed", "check")))
+    put = lambda h: spark.createDataFrame([("1", h)], "cnpj string, content_hash string").write.mode("append").parquet(str(tmp_path / "in"))
+    put("a")
+    stream_module_changes(*args)
+    shutil.rmtree(tmp_path / "state")
+    put("b")
+    with pytest.raises(Exception, match="is gone"):
+        stream_module_changes(*args)
+
+
+def test_rest_works_without_the_corpus_operators(tmp_path):
+    """A copy with both folders deleted (and one without the pipeline too) still imports and lists its queries."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    for name, gone in (("two", ["ledgerloom/llm", "tests/llm"]), ("three", ["ledgerloom/llm", "tests/llm", "corpus_pipeline.py"])):
+        shutil.copytree(root, tmp_path / name, ignore=shutil.ignore_patterns(".git", "__pycache__", *(g.rpartition("/")[2] for g in gone)))
+        code = "import __spark_entry__ as e; q = e.queries(); assert 'registry_documents' in q and not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
+        subprocess.run([sys.executable, "-c", code], cwd=tmp_path / name, check=True, timeout=120)
