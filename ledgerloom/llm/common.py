@@ -119,14 +119,24 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return placed.join(floor, "root", "left").select("node", F.coalesce("component", "least").alias("component"))
 
 
-def rows_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id and text ``keys`` (doc_id, text_hash, __n, more) names, one row for each key.
+def own_prefix(df: DataFrame) -> str:
+    """Underscores that no column of ``df`` begins with, for names of our own beside its columns."""
+    mark = "__"
+    while any(c.startswith(mark) for c in df.columns):
+        mark += "_"
+    return mark
 
-    __n: how many rows of ``docs`` have the key. Only rows that share theirs are grouped to keep one of them.
-    Null keys match null. Returns the columns of ``docs`` and what else ``keys`` holds.
+
+def rows_of(docs: DataFrame, keys: DataFrame, n: str = "__n") -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text ``keys`` (doc_id, text_hash, ``n``, more) names, one row for each key.
+
+    ``n``: how many rows of ``docs`` have the key. Only rows that share theirs are grouped to keep one of them.
+    Null keys match null. Returns the columns of ``docs`` and what else ``keys`` holds, whose names ``docs`` must not have.
     """
-    k = keys.withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash")
-    d = docs.withColumn("__text", F.xxhash64("text"))
-    found = d.join(k, d["doc_id"].eqNullSafe(k["__id"]) & (d["__text"] == k["__hash"])).drop("__id", "__hash")
-    once = found.where("__n = 1").unionByName(found.where("__n > 1").dropDuplicates(["doc_id", "__text"]))
-    return once.drop("__text", "__n")
+    mark = own_prefix(docs)
+    id_, hash_, text = (mark + x for x in ("id", "hash", "text"))
+    k = keys.withColumnRenamed("doc_id", id_).withColumnRenamed("text_hash", hash_)
+    d = docs.withColumn(text, F.xxhash64("text"))
+    found = d.join(k, d["doc_id"].eqNullSafe(k[id_]) & (d[text] == k[hash_])).drop(id_, hash_)
+    once = found.where(F.col(n) == 1).unionByName(found.where(F.col(n) > 1).dropDuplicates(["doc_id", text]))
+    return once.drop(text, n)
