@@ -128,7 +128,8 @@ def test_periods(spark):
     p = spark.createDataFrame([("2024-05",), ("2024-04",), ("bad",), (None,)], "period string")
     assert readers.select_period(p, current="2024-04").first().selected == "2024-04"
     assert readers.select_period(p, current="2030-01").first().selected == "2024-05"
-    assert readers.select_period(p, requested="2030-01").first().selected is None
+    with pytest.raises(Exception, match="2030-01 is not there"):
+        readers.select_period(p, requested="2030-01").collect()
 
 
 def test_refresh_of_missing_state(spark):
