@@ -2,8 +2,8 @@
 
 A node of the tree is split at the weighted median (for an odd number of shards: the matching quantile) of its widest
 dimension. The split is exact: a histogram pass over all rows finds the bin that holds it, further passes
-refine that bin to one value, and rows with that very value are split on a hash of the document in
-the same way. All nodes of a level share a pass. What reaches the driver is one row a node and pass.
+refine that bin until it holds one value, and rows with that very value are split on a hash of the document in
+the same way. All nodes of a level share a pass and its bins. What reaches the driver is one row a node and pass.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import dense_index, forget, table, written
 
 SHARDS = 16
-#: Bins of a histogram, and bits of the hash by which rows of one value are split.
-BINS, TIE_BITS = 4096, 24
+#: Bins that the nodes of a level share in a histogram pass, the fewest that a node gets, and bits of the hash by which rows of one value are split.
+BINS, LEAST_BINS, TIE_BITS = 1 << 16, 4096, 24
 #: Metadata dimensions, in the order that decides between equally wide ones: numbers as they are, names as the ranks of their values.
 NUMBERS = {"k_id": "doc_id", "k_chars": "n_chars"}
 NAMES = {"k_lang": "lang", "k_source": "source"}
@@ -40,6 +40,10 @@ def _of_node(values: dict[int, int]) -> Column:
     return F.element_at(F.create_map(*pairs), F.col("node"))
 
 
+def _among(nodes) -> Column:
+    return _of_node({n: 1 for n in nodes}).isNotNull()
+
+
 def _search(rows: DataFrame, spans: dict[int, tuple[int, int, int]]) -> dict[int, tuple[int, int, int, int]]:
     """Exact weighted quantiles. ``rows``: (node, v, size); ``spans``: node -> (lowest v, highest v, goal).
 
@@ -49,53 +53,59 @@ def _search(rows: DataFrame, spans: dict[int, tuple[int, int, int]]) -> dict[int
     todo = {n: (low, high, goal, 0) for n, (low, high, goal) in spans.items()}
     found = {}
     while todo:
-        step = {n: -(-(high - low + 1) // BINS) for n, (low, high, _, _) in todo.items()}
+        bins = max(LEAST_BINS, BINS // len(todo))
+        step = {n: -(-(high - low + 1) // bins) for n, (low, high, _, _) in todo.items()}
         low, high = _of_node({n: x[0] for n, x in todo.items()}), _of_node({n: x[1] for n, x in todo.items()})
-        live = rows.where(F.col("node").isin(list(todo))).where((F.col("v") >= low) & (F.col("v") <= high))
+        live = rows.where((F.col("v") >= low) & (F.col("v") <= high))  # other nodes have no bounds
         at = F.expr("(v - low) div step").alias("bin")
-        sums = live.withColumn("low", low).withColumn("step", _of_node(step)).groupBy("node", at).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-        upto = F.sum("size").over(Window.partitionBy("node").orderBy("bin"))  # at most BINS rows a node
+        sums = live.withColumn("low", low).withColumn("step", _of_node(step)).groupBy("node", at).agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
+        upto = F.sum("size").over(Window.partitionBy("node").orderBy("bin"))  # at most ``bins`` rows a node
         want = _of_node({n: x[2] - x[3] for n, x in todo.items()})
-        hit = sums.withColumn("upto", upto).where(F.col("upto") >= want).groupBy("node").agg(F.min(F.struct("bin", "upto", "size", "n")).alias("m"))
+        hit = sums.withColumn("upto", upto).where(F.col("upto") >= want).groupBy("node").agg(F.min(F.struct("bin", "upto", "size", "n", "first", "last")).alias("m"))
         for r in hit.select("node", "m.*").collect():  # a row a node
-            first, last, goal, below = todo.pop(r["node"])
-            below, width = below + r["upto"] - r["size"], step[r["node"]]
-            first, last = first + r["bin"] * width, min(last, first + (r["bin"] + 1) * width - 1)
-            if first == last:
-                found[r["node"]] = (first, below, r["size"], r["n"])
+            _, _, goal, below = todo.pop(r["node"])
+            below += r["upto"] - r["size"]
+            if r["first"] == r["last"]:
+                found[r["node"]] = (r["first"], below, r["size"], r["n"])
             else:
-                todo[r["node"]] = (first, last, goal, below)
+                todo[r["node"]] = (r["first"], r["last"], goal, below)
     return found
 
 
 def kd_shards(rows: DataFrame, dimensions: list[str], ties: dict[str, tuple[int, int] | None], shards: int = SHARDS) -> DataFrame:
     """``rows`` (long columns ``dimensions`` and ``ties``, size) plus ``shard`` from 0 to ``shards`` - 1.
 
-    Rows that are equal in the splitting dimension are split by the columns ``ties`` in turn (each with its least and greatest value, or None). A dimension's width in a node is its range
+    Rows that are equal in the splitting dimension are split by the columns ``ties`` in turn (each with its least and greatest value, or None where
+    that isn't known; the first one's are known, and its least is 0). A dimension's width in a node is its range
     there over its range in all rows.
     """
     ranges = [f(F.col(d)).alias(f"{p}_{d}") for d in dimensions for p, f in (("low", F.min), ("high", F.max))]
     now = written(rows.withColumn("node", F.lit(1)))
-    whole = now.agg(*ranges).first()
-    spread = {d: max(1, (whole[f"high_{d}"] or 0) - (whole[f"low_{d}"] or 0)) for d in dimensions}
+    spread: dict[str, int] = {}
     width = {1: (0, shards)}  # node -> first shard, number of shards
     leaves: dict[int, int] = {}
     while True:
         leaves |= {n: at for n, (at, k) in width.items() if k == 1}
         width = {n: x for n, x in width.items() if x[1] > 1}
-        stats = {r["node"]: r for r in now.where(F.col("node").isin(list(width))).groupBy("node").agg(F.sum("size").alias("total"), *ranges).collect()} if width else {}
+        stats = {r["node"]: r for r in now.where(_among(width)).groupBy("node").agg(F.sum("size").alias("total"), *ranges).collect()} if width else {}
         for n in set(width) - set(stats):  # no rows: any of its shards stands for all
             leaves[n] = width.pop(n)[0]
         if not width:
             break
+        spread = spread or {d: max(1, stats[1][f"high_{d}"] - stats[1][f"low_{d}"]) for d in dimensions}
         axis = {n: max(dimensions, key=lambda d: ((r[f"high_{d}"] - r[f"low_{d}"]) / spread[d], -dimensions.index(d))) for n, r in stats.items()}
         goal = {n: -(-r["total"] * (width[n][1] // 2) // width[n][1]) for n, r in stats.items()}
-        chosen = F.coalesce(*[F.when(F.col("node").isin([n for n in axis if axis[n] == d]), F.col(d)) for d in dimensions])
-        spans = {n: (r[f"low_{axis[n]}"], r[f"high_{axis[n]}"], goal[n]) for n, r in stats.items()}
+        chosen = F.element_at(F.array(*dimensions), _of_node({n: dimensions.index(d) + 1 for n, d in axis.items()}).cast("int"))
+        low, high = ({n: r[f"{end}_{axis[n]}"] for n, r in stats.items()} for end in ("low", "high"))
+        # value and first tie are one number where that fits in a long, so one search finds both
+        (tie, (_, last_tie)), *_ = ties.items()
+        factor = {n: last_tie + 1 if (high[n] - low[n] + 1) * (last_tie + 1) < 1 << 62 else 1 for n in stats}
+        joint = (chosen - _of_node(low)) * _of_node(factor) + F.col(tie) % _of_node(factor)
+        spans = {n: (0, (high[n] - low[n] + 1) * factor[n] - 1, goal[n]) for n in stats}
         part, left, equal = now, F.lit(False), F.lit(True)
-        for i, v in enumerate([chosen, *map(F.col, ties)]):
+        for i, v in enumerate([joint, *map(F.col, ties)]):
             if i:
-                part = part.where(F.col("node").isin(list(spans)) & equal)
+                part = part.where(_among(spans) & equal)
                 span = list(ties.values())[i - 1]
                 ends = {n: span for n in spans} if span else {r["node"]: (r["low"], r["high"]) for r in part.groupBy("node").agg(F.min(v).alias("low"), F.max(v).alias("high")).collect()}  # a row a node
                 spans = {n: (*ends[n], spans[n][2]) for n in spans}
@@ -112,7 +122,7 @@ def kd_shards(rows: DataFrame, dimensions: list[str], ties: dict[str, tuple[int,
             equal, spans = equal & at, more
             if not more:
                 break
-        node = F.when(F.col("node").isin(list(width)), 2 * F.col("node") + F.when(left, 0).otherwise(1)).otherwise(F.col("node"))
+        node = F.when(_among(width), 2 * F.col("node") + F.when(left, 0).otherwise(1)).otherwise(F.col("node"))
         before, now = now, written(now.withColumn("node", node))
         forget(before)
         width = {m: x for n, (at0, k) in width.items() for m, x in ((2 * n, (at0, k // 2)), (2 * n + 1, (at0 + k // 2, k - k // 2)))}
