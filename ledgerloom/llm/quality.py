@@ -115,15 +115,10 @@ def chi2_quantile(q: float, dof: int) -> float:
     return high
 
 
-def _distance(centre: str = "centre", root: str = "root") -> Column:
-    """Squared Mahalanobis distance; ``root`` holds the rows of a triangular root of the precision matrix."""
-    total = F.lit(0.0)
-    for i in range(P):
-        part = F.lit(0.0)
-        for j in range(i, P):
-            part = part + F.col(root)[i * P + j] * (F.col(COLUMNS[j]) - F.col(centre)[j])
-        total = total + part * part
-    return total
+def _distance() -> Column:
+    """Squared Mahalanobis distance from ``centre``; ``root`` holds the rows of a triangular root of the precision matrix."""
+    parts = ["(" + " + ".join(f"root[{i * P + j}] * ({COLUMNS[j]} - centre[{j}])" for j in range(i, P)) + ")" for i in range(P)]
+    return F.expr(" + ".join(f"{x} * {x}" for x in parts))
 
 
 def _roots(covariances: np.ndarray) -> tuple[list[list[float]], list[float]]:
@@ -153,15 +148,16 @@ FLOOR = np.diag([least**2 for _, least in VECTOR.values()])
 PARAMETERS = "g string, start int, centre array<double>, root array<double>, logdet double"
 
 
+def _sums(values: list[str], name: str) -> Column:
+    return F.expr(f"array({', '.join(f'sum({v})' for v in values)})").alias(name)
+
+
 def _moments(rows: DataFrame, *by: str) -> DataFrame:
-    sums = [F.sum(c) for c in COLUMNS]
-    products = [F.sum(F.col(a) * F.col(b)) for a in COLUMNS for b in COLUMNS]
-    return rows.groupBy("g", "start", *by).agg(F.count("*").alias("n"), F.array(*sums).alias("s"), F.array(*products).alias("c"))
+    return rows.groupBy("g", "start", *by).agg(F.count("*").alias("n"), _sums(COLUMNS, "s"), _sums([f"{a} * {b}" for a in COLUMNS for b in COLUMNS], "c"))
 
 
 def _added(rows: DataFrame) -> DataFrame:
-    add = lambda c, k: F.array(*[F.sum(F.col(c)[i]) for i in range(k)]).alias(c)
-    return rows.groupBy("g", "start").agg(F.sum("n").alias("n"), add("s", P), add("c", P * P))
+    return rows.groupBy("g", "start").agg(F.sum("n").alias("n"), _sums([f"s[{i}]" for i in range(P)], "s"), _sums([f"c[{i}]" for i in range(P * P)], "c"))
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -185,9 +181,8 @@ def _starts(rows: DataFrame) -> DataFrame:
     scaled = written(scaled.select("g", F.transform("m", lambda x: x["mid"]).alias("centre"), F.transform("m", lambda x: x["width"]).alias("width")))
     z = F.array(*[(F.col(c) - F.col("centre")[i]) / F.col("width")[i] for i, c in enumerate(COLUMNS)])
     seen = rows.join(scaled, "g").select("g", z.alias("z")).withColumn("r", F.sqrt(F.aggregate("z", F.lit(1e-12), lambda a, x: a + x * x)))
-    tangents, signs = [F.tanh(F.col("z")[i]) for i in range(P)], [F.col("z")[i] / F.col("r") for i in range(P)]
-    products = lambda v: F.array(*[F.sum(a * b) for a in v for b in v])
-    sums = written(seen.groupBy("g").agg(products(tangents).alias("t"), products(signs).alias("u")))
+    tangents, signs = [f"tanh(z[{i}])" for i in range(P)], [f"(z[{i}] / r)" for i in range(P)]
+    sums = written(seen.groupBy("g").agg(*[_sums([f"{a} * {b}" for a in v for b in v], c) for v, c in ((tangents, "t"), (signs, "u"))]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
