@@ -25,12 +25,22 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def running_offsets(df: DataFrame, prefix: str = "prefix", key: str = "key", value: str = "value") -> DataFrame:
-    """(prefix, key, ordinal, offset, length): the place of each line in its shard; length counts UTF-8 bytes and the newline."""
-    w = Window.partitionBy(prefix).orderBy(key)
-    size = (F.octet_length(value) + 1).cast("int")
-    before = F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
-    return df.select(prefix, key, (F.row_number().over(w) - 1).cast("int").alias("ordinal"), before.alias("offset"), size.alias("length"))
+def running_offsets(df: DataFrame, prefix: str = "prefix", key: str = "key", value: str = "value", stretch: int = 6) -> DataFrame:
+    """(prefix, key, ordinal, offset, length): the place of each line in its shard; length counts UTF-8 bytes and the newline.
+
+    A shard isn't one task's work: keys that share their first ``stretch`` characters are numbered together, and a row for each such
+    stretch says what the stretches before it hold. Rows are shuffled once, without their values. Null prefixes and keys are values of their own.
+    """
+    size = (F.octet_length(value) + 1).cast("int").alias("length")
+    at = F.struct(F.col(prefix).alias("p"), F.substring(key, 1, stretch).alias("s")).alias("__at")
+    rows = df.select(at, F.col(key), size).repartition("__at")
+    totals = rows.groupBy("__at").agg(F.min(key).alias("__first"), F.count("*").alias("__n"), F.sum("length").alias("__bytes"))
+    earlier = Window.partitionBy("__at.p").orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
+    sum_of = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    starts = totals.select("__at", sum_of("__n", earlier).alias("__n"), sum_of("__bytes", earlier).alias("__bytes"))
+    w = Window.partitionBy("__at").orderBy(key)
+    placed = rows.select("*", F.row_number().over(w).alias("__row"), sum_of("length", w.rowsBetween(Window.unboundedPreceding, -1)).alias("__off")).join(starts, "__at")
+    return placed.select(F.col("__at.p").alias(prefix), key, (F.col("__n") + F.col("__row") - 1).cast("int").alias("ordinal"), (F.col("__bytes") + F.col("__off")).cast("long").alias("offset"), "length")
 
 
 def union_distinct(*frames: DataFrame) -> DataFrame:

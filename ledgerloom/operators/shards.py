@@ -10,13 +10,15 @@ from .relational import running_offsets
 
 #: A text of Spark holds 2 GiB at most.
 SHARD_BYTES = 1 << 30
+#: Lines of a shard that ``verify_shards`` compares in one task.
+SPAN = 1 << 16
 
 
-def shard_index(df: DataFrame, prefix: str = "prefix", key: str = "key", value: str = "value", key_length: int = KEY_LENGTH) -> DataFrame:
+def shard_index(df: DataFrame, prefix: str = "prefix", key: str = "key", value: str = "value", key_length: int = KEY_LENGTH, stretch: int = 6) -> DataFrame:
     """``running_offsets`` of the lines that ``write_shards`` writes. Raises for a key of another length."""
     size = F.length(key)
     checked = F.when(size == key_length, F.col(key)).otherwise(F.raise_error(F.concat(F.lit("key of wrong length: "), F.col(key))))
-    return running_offsets(df.withColumn(key, checked), prefix, key, value)
+    return running_offsets(df.withColumn(key, checked), prefix, key, value, stretch)
 
 
 def shard_counts(index: DataFrame, prefix: str = "prefix") -> DataFrame:
@@ -46,15 +48,21 @@ def file_artifacts(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
     return files.select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5")).orderBy("path")
 
 
-def verify_shards(index: DataFrame, documents: DataFrame | None = None, prefix: str = "prefix", key: str = "key", counts: DataFrame | None = None, json_key: str = "$.cnpj") -> DataFrame:
+def verify_shards(index: DataFrame, documents: DataFrame | None = None, prefix: str = "prefix", key: str = "key", counts: DataFrame | None = None, json_key: str = "$.cnpj", span: int = SPAN) -> DataFrame:
     """(fault, prefix, key) of everything that a reader of the index would trip over; no rows if all is well.
 
     unsorted, duplicate, gap (an offset that doesn't follow the line before), wrong_count (against ``counts``: prefix,
     records), wrong_key (the document of ``documents`` (prefix, key, value) names another key) and missing_document.
+    Each task compares the lines of up to ``span`` ordinals of a shard; the last line of a span is handed on to the next.
     """
-    w = Window.partitionBy(prefix).orderBy("ordinal")
-    last, end = F.lag(key).over(w), F.lag(F.col("offset") + F.col("length")).over(w)
-    seen = index.withColumn("__last", last).withColumn("__end", F.coalesce(end, F.lit(0)))
+    at = F.struct(F.col(prefix).alias("p"), F.floor(F.col("ordinal") / span).alias("s")).alias("__at")
+    lines = index.select(at, key, "ordinal", "offset", "length").repartition("__at")
+    line = F.struct(F.col(key).alias("key"), (F.col("offset") + F.col("length")).alias("end"))
+    tails = lines.groupBy("__at").agg(F.max_by(line, "ordinal").alias("__tail"))
+    tails = tails.select("__at", F.lag("__tail").over(Window.partitionBy("__at.p").orderBy("__at.s")).alias("__tail"))
+    before = lines.select("*", F.lag(line).over(Window.partitionBy("__at").orderBy("ordinal")).alias("__line")).join(tails, "__at")
+    before = before.withColumn("__line", F.coalesce("__line", "__tail"))
+    seen = before.select(F.col("__at.p").alias(prefix), key, "offset", F.col("__line.key").alias("__last"), F.coalesce("__line.end", F.lit(0)).alias("__end"))
     faults = F.array(
         F.when(F.col("__last") > F.col(key), "unsorted"),
         F.when(F.col("__last") == F.col(key), "duplicate"),

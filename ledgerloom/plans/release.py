@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import changes, manifest, quality, shards
 from ..operators.relational import carry_forward as carry
 from ..sources import readers
-from .base import FLAT_SQL, ORDERS_SQL, flat_orders, order_keys, query, table
+from .base import FLAT_SQL, ORDERS_SQL, PREFIX_AT, flat_orders, order_keys, query, table
 from .tables import DOCUMENTS_SQL, FIRST_SQL, WORKS_SQL, first_like, order_documents, works_like
 
 NOW = "2024-01-31T00:00:00Z"
@@ -21,17 +21,17 @@ CAST(strlen(value) + 1 AS INTEGER) AS length FROM {DOCUMENTS_SQL} WINDOW w AS (P
 # shards -----------------------------------------------------------------------------------------------------
 @query(f"SELECT * FROM {INDEX_SQL}")
 def shard_index(spark, sf_dir):
-    return shards.shard_index(order_documents(spark, sf_dir))
+    return shards.shard_index(order_documents(spark, sf_dir), stretch=PREFIX_AT - 1)
 
 
 @query(f"SELECT prefix, count(*) AS records, CAST(sum(length) AS BIGINT) AS bytes FROM {INDEX_SQL} GROUP BY prefix")
 def shard_counts(spark, sf_dir):
-    return shards.shard_counts(shards.shard_index(order_documents(spark, sf_dir)))
+    return shards.shard_counts(shards.shard_index(order_documents(spark, sf_dir), stretch=PREFIX_AT - 1))
 
 
 @query(f"SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS shard_count FROM (SELECT prefix, count(*) AS n FROM {DOCUMENTS_SQL} GROUP BY prefix)")
 def release_totals(spark, sf_dir):
-    return shards.release_totals(shards.shard_counts(shards.shard_index(order_documents(spark, sf_dir))))
+    return shards.release_totals(shards.shard_counts(shards.shard_index(order_documents(spark, sf_dir), stretch=PREFIX_AT - 1)))
 
 
 @query(
@@ -50,7 +50,7 @@ THEN (SELECT key FROM {INDEX_SQL} x WHERE x.prefix = '05' AND x.ordinal = 1) ELS
 LATERAL (SELECT unnest([CASE WHEN last > key THEN 'unsorted' END, CASE WHEN last = key THEN 'duplicate' END, CASE WHEN gone <> "offset" THEN 'gap' END]) AS fault) WHERE fault IS NOT NULL"""
 )
 def verify_shards(spark, sf_dir):
-    index = shards.shard_index(order_documents(spark, sf_dir))
+    index = shards.shard_index(order_documents(spark, sf_dir), stretch=PREFIX_AT - 1)
     twin = index.where("prefix = '05' AND ordinal = 1").select(F.col("prefix").alias("p"), F.col("key").alias("twin"))
     spoilt = index.join(twin, F.col("prefix") == F.col("p"), "left")
     key = F.when((F.col("prefix") == "03") & (F.col("ordinal") == 4), "0" * 14).when((F.col("prefix") == "05") & (F.col("ordinal") == 2), F.col("twin")).otherwise(F.col("key"))

@@ -7,7 +7,7 @@ from ledgerloom.operators.lookup import UnknownDataset, lookup, parse_selection
 from ledgerloom.operators.modules import CarriersModule, Context, Descriptor, WorksModule
 from ledgerloom.operators.relational import carry_forward, compose, hash_diff
 from ledgerloom.sources import readers, schemas, writers
-from ledgerloom.streaming.changes import stream_module_changes
+from ledgerloom.streaming.changes import state_before, stream_module_changes
 
 TIME = "2026-01-01T00:00:00Z"
 
@@ -81,6 +81,19 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(f"{state}/batch=1").count() == 3
 
 
+def test_stream_writes_changes_between_whole_states(spark, tmp_path):
+    source, state, feed = (str(tmp_path / x) for x in ("in", "state", "feed"))
+    want = {}
+    for i, rows in enumerate([[("a", "1"), ("b", "1")], [("a", "1"), ("b", "2"), ("c", "1")], [("c", None)], [("d", "1")], [("a", "3")]]):
+        states(spark, rows).write.mode("append").parquet(source)
+        stream_module_changes(spark, source, "cnpj string, content_hash string", lambda df: df.distinct(), state, feed, str(tmp_path / "cp"), full_every=3)
+        want |= dict(rows)
+        assert {r.cnpj: r.content_hash for r in state_before(spark, state, i + 1, 3).orderBy("batch").collect()} == want
+    assert [spark.read.parquet(f"{state}/batch={i}").count() for i in range(5)] == [2, 2, 1, 4, 1]
+    got = sorted((r.batch_id, r.cnpj, r.change) for r in spark.read.parquet(f"{feed}/batch=*").collect())
+    assert got == [(0, "a", "added"), (0, "b", "added"), (1, "b", "changed"), (1, "c", "added"), (2, "c", "changed"), (3, "d", "added"), (4, "a", "changed")]
+
+
 def test_state_versions(spark, tmp_path):
     assert readers.read_state(spark, str(tmp_path / "none")).count() == 0
     df = spark.createDataFrame([("m", "a", "1")], schemas.STATE_SCHEMA)

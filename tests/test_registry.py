@@ -92,6 +92,53 @@ def test_shards_are_byte_exact(spark, tables, tmp_path):
         shard_index(docs.selectExpr("prefix", "concat(key, '0') AS key", "value")).collect()
 
 
+def test_offsets_and_checks_across_stretches(spark):
+    """Against a plain walk over each shard: many stretches and spans, one value after another, null prefix."""
+    import random
+
+    from ledgerloom.operators.relational import running_offsets
+
+    draw = random.Random(5)
+    rows = [(p, f"{k:05d}", "é" * draw.randrange(4)) for p in ("a", "b", None) for k in draw.sample(range(100000), 200)]
+    docs = spark.createDataFrame(rows, "prefix string, key string, value string").repartition(3)
+    want = set()
+    for p in ("a", "b", None):
+        at = 0
+        for i, (_, k, v) in enumerate(sorted((r for r in rows if r[0] == p), key=lambda r: r[1])):
+            want.add((p, k, i, at, len(v.encode()) + 1))
+            at += len(v.encode()) + 1
+    for stretch in (0, 1, 2, 9):
+        index = running_offsets(docs, stretch=stretch)
+        assert set(map(tuple, index.collect())) == want and index.columns == ["prefix", "key", "ordinal", "offset", "length"]
+    assert [index.schema[c].dataType.simpleString() for c in index.columns] == ["string", "string", "int", "bigint", "int"]
+    # faults at the first line of a span are seen from the last of the span before
+    keys = {(p, i): k for p, k, i, _, _ in want}
+    bad = [(p, keys[p, 15] if p == "a" and i == 16 else k, i, at + (3 if p == "b" and i >= 32 else 0), n) for p, k, i, at, n in want]
+    spoilt = spark.createDataFrame(bad, index.schema)
+    for span in (1, 16, 1000):
+        assert verify_shards(index, span=span).count() == 0
+        assert {tuple(r) for r in verify_shards(spoilt, span=span).collect()} == {("duplicate", "a", keys["a", 15]), ("gap", "b", keys["b", 32])}
+
+
+def test_bucketed_tables_join_without_exchange(spark, tables):
+    """The documents of bucketed tables are the same, and only the code tables (broadcast here, as Spark would by their size) move."""
+    from pyspark.sql.functions import broadcast
+
+    big = {t: broadcast(df) for t, df in tables.items() if t not in schemas.PARTITIONED}
+    for t in ("estabelecimento", "empresa", "simples", "socio"):
+        writers.write_bucketed(tables[t].drop("cnpj_prefix"), f"bucketed_{t}", "cnpj_basico", 4)
+        big[t] = spark.table(f"bucketed_{t}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        docs = entity_documents(big)
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 3 and "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan
+    assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, entity_documents(tables).collect()))
+
+
 def test_compressed_documents_and_their_artifacts(spark, tables, tmp_path):
     import hashlib
 
