@@ -102,16 +102,23 @@ def kd_shards(rows: DataFrame, dimensions: list[str], ties: dict[str, tuple[int,
         factor = {n: last_tie + 1 if (high[n] - low[n] + 1) * (last_tie + 1) < 1 << 62 else 1 for n in stats}
         joint = (chosen - _of_node(low)) * _of_node(factor) + F.col(tie) % _of_node(factor)
         spans = {n: (0, (high[n] - low[n] + 1) * factor[n] - 1, goal[n]) for n in stats}
+        levels = [joint, *map(F.col, ties)]
+        edges = [None, *ties.values()]
+        # where differences don't fit in a long: first the halves of values, then what halving leaves
+        if wide := {n: low[n] >> 1 for n in stats if high[n] - low[n] >= 1 << 62}:
+            levels[:1] = [F.when(_among(wide), F.shiftright(chosen, 1) - _of_node(wide)).otherwise(joint), F.when(_among(wide), F.pmod(chosen, F.lit(2).cast("long"))).otherwise(F.lit(0).cast("long"))]
+            edges[:1] = [None, (0, 1)]
+            spans |= {n: (0, (high[n] >> 1) - half, goal[n]) for n, half in wide.items()}
         part, left, equal = now, F.lit(False), F.lit(True)
-        for i, v in enumerate([joint, *map(F.col, ties)]):
+        for i, v in enumerate(levels):
             if i:
                 part = part.where(_among(spans) & equal)
-                span = list(ties.values())[i - 1]
+                span = edges[i]
                 ends = {n: span for n in spans} if span else {r["node"]: (r["low"], r["high"]) for r in part.groupBy("node").agg(F.min(v).alias("low"), F.max(v).alias("high")).collect()}  # a row a node
                 spans = {n: (*ends[n], spans[n][2]) for n in spans}
             found = _search(part.select("node", v.alias("v"), "size"), spans)
             cut = {n: x[0] for n, x in found.items()}
-            more = {n: (0, 0, spans[n][2] - x[1]) for n, x in found.items() if x[3] > 1 and i < len(ties)}
+            more = {n: (0, 0, spans[n][2] - x[1]) for n, x in found.items() if x[3] > 1 and i < len(levels) - 1}
             # a single row, or rows that nothing tells apart, go to the side that they unbalance less
             take = {n: x[0] for n, x in found.items() if n not in more and x[1] + x[2] - spans[n][2] <= spans[n][2] - x[1]}
             at = F.coalesce(v == _of_node(cut), F.lit(False))
@@ -132,14 +139,13 @@ def kd_shards(rows: DataFrame, dimensions: list[str], ties: dict[str, tuple[int,
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of ``docs`` under the law ``bytes``.
 
-    size: UTF-8 bytes of the text and one more; a null text counts and sums as an empty one. Null metadata sort
-    before all else. Rows that agree in all dimensions, repeated rows included, are dealt by hash and then by position,
+    size: UTF-8 bytes of the text and one more; a null text counts and sums as an empty one. A null number counts as
+    -1, a null name sorts before all names. Very long texts are rows like others, however far over a shard's share. Rows that agree in all dimensions, repeated rows included, are dealt by hash and then by position,
     so shards stay even. slot numbers a shard's rows from 0 by doc_id. An empty table gives no rows.
     """
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
     crc = F.coalesce(F.crc32("text"), F.lit(0)).cast("long")
-    # halved, so that differences fit in a long
-    numbers = [F.shiftright(F.coalesce(F.col(c).cast("long"), F.lit(-1)), 1).alias(k) for k, c in NUMBERS.items()]
+    numbers = [F.coalesce(F.col(c).cast("long"), F.lit(-1).cast("long")).alias(k) for k, c in NUMBERS.items()]
     slim = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *numbers, *[F.col(c).cast("string").alias(f"name_{k}") for k, c in NAMES.items()])
     slim = slim.withColumn("tie_hash", F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32"), 64 - TIE_BITS)).withColumn("tie_row", F.monotonically_increasing_id())
     ranked = with_ranks(written(slim), {k: f"name_{k}" for k in NAMES})

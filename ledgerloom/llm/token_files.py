@@ -7,6 +7,7 @@ part have the same number of bytes, so sequence i is found by arithmetic and rea
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -30,6 +31,25 @@ LENGTH, BATCH = 2048, 64
 REMEMBERED = 1_000_000
 
 
+# How the vocabulary's file normalises and splits text. -------------------------------------------------------------------
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# ---------------------------------------------------------------------------------------------------------------------------------------
+
+
+def may_cut(settings: dict) -> bool:
+    """Whether a tokenizer file splits text as ``ChunkEncoder`` takes for granted: white space dropped, words lower-cased, letters,
+    digits and marks apart, a word's end marked. Any other one encodes whole texts."""
+    normalizer, before, model = settings["normalizer"] or {}, settings["pre_tokenizer"] or {}, settings["model"]
+    first, *more = before.get("pretokenizers", [{}])
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and (first.get("pattern"), first.get("behavior"), first.get("invert")) == ({"Regex": SPLIT}, "Removed", True)
+        and [(x["type"], x["use_regex"], x["add_prefix_space"]) for x in more] == [("ByteLevel", False, False)]
+        and (model["type"], model["end_of_word_suffix"], model["dropout"]) == ("BPE", "</w>", None)
+    )
+
+
 class ChunkEncoder:
     """Encodes whole texts with the tokenizers library, one blank-separated chunk at a time.
 
@@ -48,6 +68,8 @@ class ChunkEncoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            self.cuts = may_cut(json.load(f))
         self.kind = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
         self.chunks: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {}
@@ -96,6 +118,8 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text; null is empty."""
+        if not self.cuts:
+            return [self._bytes(e.ids) for e in self.model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         if len(self.chunks) > REMEMBERED:
             self.chunks = {"": b""}
@@ -134,14 +158,13 @@ def schema(kind: np.dtype, length: int) -> pa.Schema:
 
 
 class SequenceWriter:
-    """Writes one part; the file appears under its name only when complete, so a repeated task does no harm."""
+    """Writes one part. Each attempt of a task has a file of its own, which the index names if that attempt counts."""
 
     def __init__(self, uri: str, kind: np.dtype, length: int = LENGTH, batch: int = BATCH):
         self.kind, self.length, self.batch = kind, length, batch
         self.fs, self.path = pafs.FileSystem.from_uri(uri)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.draft = f"{self.path}.{uuid.uuid4().hex}"
-        self.sink = self.fs.open_output_stream(self.draft)
+        self.sink = self.fs.open_output_stream(self.path)
         self.schema = schema(kind, length)
         self.out = pa.ipc.new_stream(self.sink, self.schema)
         self.held: list[bytes] = []
@@ -172,9 +195,6 @@ class SequenceWriter:
             self._write(ids, -(-len(ids) // self.length))
         self.out.close()
         self.sink.close()
-        if self.fs.get_file_info(self.path).type != pafs.FileType.NotFound:
-            self.fs.delete_file(self.path)
-        self.fs.move(self.draft, self.path)
 
 
 class SequenceFile:
@@ -215,36 +235,39 @@ class SequenceFile:
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, length: int = LENGTH) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into part files under the shared ``folder``.
 
-    Returns the index, a scratch table: (part, doc_id, at, n_tokens), at being the place of a document's first id
-    in its part. Null and empty texts have the end id alone. Documents ascend by doc_id over the parts (null
-    first); rows that repeat a doc_id follow each other, in the order of their texts' hashes.
+    Returns the index, a scratch table: (part, file, doc_id, at, n_tokens), at being the place of a document's first id
+    in its part, whose name in ``folder`` is ``file``. Null and empty texts have the end id alone. Documents ascend by doc_id over the
+    parts (null first); rows that repeat a doc_id follow each other, in the order of their texts' hashes, and rows that share both
+    as they come: such rows may be any number, and are dealt to as many parts as others. An empty table gives no parts.
     """
     parts = shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
-        bpe, out = encoder(tokenizer), None
+        bpe, out, file = encoder(tokenizer), None, f"{part:06d}-{uuid.uuid4().hex}.arrows"
         end = np.array([end_id], bpe.kind).tobytes()
         for b in batches:
-            out = out or SequenceWriter(f"{folder}/{part:06d}.arrows", bpe.kind, length)
+            out = out or SequenceWriter(f"{folder}/{file}", bpe.kind, length)
             for lo in range(0, len(b), 128):
                 some, rows = b.iloc[lo : lo + 128], []
                 for ids in bpe.encode(some["text"].tolist()):
                     rows.append((out.total, len(ids) // bpe.kind.itemsize + 1))
                     out.add(ids + end)
                 at, n = zip(*rows)
-                yield pd.DataFrame({"part": part, "doc_id": some["doc_id"], "at": at, "n_tokens": n})
+                yield pd.DataFrame({"part": part, "file": file, "doc_id": some["doc_id"], "at": at, "n_tokens": n})
         if out:
             out.close()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
-    placed = docs.select("doc_id", "text").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return written(placed.mapInPandas(run, f"part int, doc_id {kind}, at long, n_tokens long"))
+    # the row's own number last: else rows that are equal otherwise would all go to one task
+    placed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    placed = placed.repartitionByRange(parts, *order, "row").sortWithinPartitions(*order, "row").select("doc_id", "text")
+    return written(placed.mapInPandas(run, f"part int, file string, doc_id {kind}, at long, n_tokens long"))
 
 
 def read_token_files(index: DataFrame, folder: str) -> DataFrame:
-    """(part, doc_id, at, n_tokens, ids_le32 binary) of every document, read from the files: its ids as
+    """(part, file, doc_id, at, n_tokens, ids_le32 binary) of every document, read from the files: its ids as
     little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,16 +276,16 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
             for lo in range(0, batch.num_rows, 128):
                 some = batch.slice(lo, 128)
                 found = []
-                for p, at, n in zip(*(some.column(c).to_pylist() for c in ("part", "at", "n_tokens"))):
+                for p, at, n in zip(*(some.column(c).to_pylist() for c in ("file", "at", "n_tokens"))):
                     if p != part:
-                        part, file = p, SequenceFile(f"{folder}/{p:06d}.arrows")
+                        part, file = p, SequenceFile(f"{folder}/{p}")
                     found.append(file.ids(at, n).astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.binary())], names=[*some.schema.names, "ids_le32"])
 
     kind = index.schema["doc_id"].dataType.simpleString()
     parts = shuffle_partitions(index.sparkSession)
-    spread = index.select("part", "doc_id", "at", "n_tokens").repartitionByRange(parts, "part", "at").sortWithinPartitions("part", "at")
-    return spread.mapInArrow(run, f"part int, doc_id {kind}, at long, n_tokens long, ids_le32 binary")
+    spread = index.select("part", "file", "doc_id", "at", "n_tokens").repartitionByRange(parts, "part", "at").sortWithinPartitions("part", "at")
+    return spread.mapInArrow(run, f"part int, file string, doc_id {kind}, at long, n_tokens long, ids_le32 binary")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

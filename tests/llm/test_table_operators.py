@@ -315,11 +315,21 @@ def test_shards_against_brute_force(spark, shards):
     tie = {r.doc_id: r.t for r in df.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id", F.crc32("text").cast("long")), 64 - sharding.TIE_BITS).alias("t")).collect()}
     rank = lambda c: {v: k for k, v in enumerate(sorted({r[c] for r in rows}, key=lambda v: (v is not None, v or "")))}
     lang, source = rank(2), rank(3)
-    plain = [((r[0] >> 1, lang[r[2]], source[r[3]], r[4] >> 1), len(r[1].encode()) + 1, tie[r[0]]) for r in rows]
+    plain = [((r[0], lang[r[2]], source[r[3]], r[4]), len(r[1].encode()) + 1, tie[r[0]]) for r in rows]
     want = {rows[i][0]: at for i, at in slow_shards(plain, shards).items()}
     assert {r.doc_id: r.shard for r in sharding.shard_documents(df, shards).collect()} == want
 
 
+@pytest.mark.parametrize("ids", [list(range(17)), [2**62 + i for i in range(17)], [-(2**63) + i for i in range(9)] + [2**63 - 1 - i for i in range(8)]])
+def test_shards_of_neighbouring_numbers(spark, ids):
+    """Rows that differ by one are split between them, also at the ends of what a long holds."""
+    rows = [(i, "x" * (k % 3), "en", "s", 5) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for shards in (2, 16):
+        want = {ids[i]: at for i, at in slow_shards([((r[0], 0, 0, 5), len(r[1]) + 1, 0) for r in rows], shards).items()}
+        assert {r.doc_id: r.shard for r in sharding.shard_documents(df, shards).collect()} == want
+
+
 def test_shards_run_no_python(spark, sf_dir):
     df = sharding.op6_kd_shards(spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()

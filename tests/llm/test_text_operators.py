@@ -140,13 +140,13 @@ def test_token_files(spark, docs):
     assert len(back) == docs.count()
     ids = [x.doc_id for x in back]
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
-    streams = {}
+    streams, files = {}, {r.part: r.file for r in back}
     for r in back:
         want = np.array(model.encode(by_id[r.doc_id] or "", add_special_tokens=False).ids + [1], "<u4")
         assert bytes(r.ids_le32) == want.tobytes() and r.n_tokens == len(want) and r.at == len(streams.setdefault(r.part, []))
         streams[r.part] += want.tolist()
     for part, stream in streams.items():
-        file = token_files.SequenceFile(f"{folder}/{part:06d}.arrows")
+        file = token_files.SequenceFile(f"{folder}/{files[part]}")
         for i in range(-(-len(stream) // 16)):
             got, mask = file.sequence(i)
             here = stream[16 * i : 16 * i + 16]
@@ -154,6 +154,30 @@ def test_token_files(spark, docs):
     assert token_files.write_token_files(empty(docs), path, scratch_dir(spark)).count() == 0
 
 
+def test_equal_rows_are_dealt_to_many_parts(spark):
+    from ledgerloom.llm.common import scratch_dir
+
+    rows = [(7 if i % 3 == 0 else i, "same words" if i % 3 == 0 else f"words {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    index = token_files.write_token_files(df, public_tokenizers.path(token_files.VOCABULARY), scratch_dir(spark))
+    sizes = [r.n for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 6000 and max(sizes) <= 2 * 6000 / 4
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    settings = json.load(open(public_tokenizers.path(token_files.VOCABULARY), encoding="utf-8"))
+    assert token_files.may_cut(settings)
+    del settings["normalizer"]["normalizers"][2]  # keeps capitals
+    assert not token_files.may_cut(settings)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(settings))
+    chunk = token_files.ChunkEncoder(str(path))
+    texts = ["It's A Test, of 12 words.", "it's", ""]
+    assert [np.frombuffer(x, chunk.kind).tolist() for x in chunk.encode([*texts, None])] == [chunk.model.encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
+
+
 def test_token_query_starts(spark, sf_dir):
     rows = sorted(QUERIES["op7_token_files"](spark, sf_dir).collect())
     assert [r.start for r in rows] == np.concatenate([[0], np.cumsum([r.n_tokens for r in rows])[:-1]]).tolist()
