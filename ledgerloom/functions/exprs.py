@@ -36,10 +36,15 @@ def clean_identifier(c) -> Column:
     return F.regexp_replace(F.coalesce(col(c), F.lit("")), "[^0-9A-Za-z]", "")
 
 
+def trimmed(c) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(col(c), r"(?U)^\s+|\s+\z", "")
+
+
 def normalize_key(c) -> Column:
-    """Mask characters removed, upper case; null or blank becomes empty."""
+    """Mask characters removed, upper case; null or white space becomes empty."""
     c = col(c)
-    return F.when(F.trim(F.coalesce(c, F.lit(""))) == "", "").otherwise(F.upper(F.regexp_replace(c, "[./-]", "")))
+    return F.when(trimmed(F.coalesce(c, F.lit(""))) == "", "").otherwise(F.upper(F.regexp_replace(c, "[./-]", "")))
 
 
 def check_digits(base) -> Column:
@@ -61,12 +66,12 @@ def check_digits(base) -> Column:
 def key_reason(c, level: str = "check_digits") -> Column:
     """Why a key is not valid, or ``ok``: empty, bad_character, bad_length, bad_pattern, repeated, bad_digits.
 
-    level: ``pattern`` ignores blanks around the key and stops after the pattern, ``format`` also refuses repeated characters, ``check_digits`` also
+    level: ``pattern`` ignores white space around the key and stops after the pattern, ``format`` also refuses repeated characters, ``check_digits`` also
     compares the last two digits.
     """
     if level not in ("pattern", "format", "check_digits"):
         raise ValueError(level)
-    c = F.trim(col(c)) if level == "pattern" else col(c)
+    c = trimmed(c) if level == "pattern" else col(c)
     raw = normalize_key(c)
     out = F.when(raw == "", "empty").when(c.rlike("[^A-Za-z0-9./-]"), "bad_character").when(F.length(raw) != KEY_LENGTH, "bad_length").when(~raw.rlike(r"^[A-Z0-9]{12}[0-9]{2}\z"), "bad_pattern")
     if level != "pattern":
@@ -161,19 +166,47 @@ def source_fingerprint(given, *seed) -> Column:
     return F.when(given.rlike(r"^(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})\z"), F.lower(given)).otherwise(F.sha2(F.concat_ws("|", *map(or_empty, seed)), 256))
 
 
+def parsed_json(text) -> Column:
+    """The variant of text that is exactly one JSON value; null for any other text, also where something follows the value or an object
+    names a property twice."""
+    # a parser stops after the first value: so the text is made an item, and what must follow it is a mark that it can't know
+    text = col(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+    return F.when(F.try_variant_get(pair, "$[1]", "string") == F.md5(text), F.try_variant_get(pair, "$[0]", "variant"))
+
+
+def json_members(text) -> Column:
+    """The members of a JSON object as texts ``"name":value``, values as they are written (blanks between tokens left out)."""
+    # control characters don't occur in valid JSON strings, so they can stand for escapes that would hide where a string ends
+    plain = F.replace(F.replace(col(text), F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    tokens = F.regexp_extract_all(plain, F.lit(r'"[^"]*"|[{}\[\],:]|[^\s"{}\[\],:]+'), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("now"), F.array().cast("array<string>").alias("done"))
+
+    def step(a: Column, t: Column) -> Column:
+        depth = a["depth"] + F.when(t.isin("{", "["), 1).when(t.isin("}", "]"), -1).otherwise(0)
+        ends = ((a["depth"] == 1) & (t == ",")) | (depth == 0)
+        begins = a["depth"] == 0
+        now = F.when(ends | begins, "").otherwise(F.concat(a["now"], t))
+        return F.struct(depth.alias("depth"), now.alias("now"), F.when(ends, F.array_append(a["done"], a["now"])).otherwise(a["done"]).alias("done"))
+
+    found = F.filter(F.aggregate(tokens, start, step)["done"], lambda m: m != "")
+    return F.transform(found, lambda m: F.replace(F.replace(m, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\")))
+
+
 def inject_key(payload, key, name: str = "cnpj", strict: bool = False) -> Column:
-    """A JSON object with the property ``name`` set to the key: appended, and taken from where the payload had it before. A JSON string that
-    holds an object is unwrapped first.
+    """A JSON object with the property ``name`` set to the key: appended, and taken from where the payload had it before; all else stays as
+    it is written. A JSON string that holds an object is unwrapped first.
 
-    Null stays null. A payload that is no object gives null, or an error where ``strict``.
+    Null stays null. A payload that isn't exactly one JSON object, or names a property twice, gives null, or an error where ``strict``.
     """
     text = F.trim(col(payload))
-    text = F.when(text.startswith('"'), F.trim(F.get_json_object(text, "$"))).otherwise(text)
-    is_object = text.startswith("{") & text.endswith("}") & F.try_parse_json(text).isNotNull()
-    # only a payload that has the property is taken apart; any other keeps its text
-    rest = F.to_json(F.map_filter(F.from_json(text, "map<string,variant>"), lambda k, _: k != name), {"ignoreNullFields": "false"})
-    text = F.when(F.array_contains(F.json_object_keys(text), name), rest).otherwise(text)
-    body = F.trim(F.substring(text, F.lit(2), F.length(text) - 2))
+    text = F.when(text.startswith('"'), F.trim(F.try_variant_get(parsed_json(text), "$", "string"))).otherwise(text)
+    doc = parsed_json(text)
+    is_object = text.startswith("{") & doc.isNotNull()
+    # only a payload that has the property is taken apart
+    has = F.try_variant_get(doc, f"$.{name}", "variant").isNotNull()
+    rest = F.filter(json_members(text), lambda m: F.json_object_keys(F.concat(F.lit("{"), m, F.lit("}")))[0] != name)
+    body = F.when(has, F.array_join(rest, ",")).otherwise(F.trim(F.substring(text, F.lit(2), F.length(text) - 2)))
     tail = F.concat(F.lit(f'"{name}":'), F.to_json(F.array(col(key))))
     tail = F.regexp_replace(tail, r":\[(.*)\]$", ":$1")
     out = F.when(is_object, F.concat(F.lit("{"), body, F.when(body != "", ",").otherwise(""), tail, F.lit("}")))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import key_reason
+from ..functions.exprs import key_reason, parsed_json
 
 DATE = r"^$|^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
@@ -21,6 +21,7 @@ class Rule:
     pattern: str | None = None
     shortest: int = 0
     longest: int | None = None
+    kind: str = "text"
 
 
 # Limits of the published document schema.
@@ -46,7 +47,7 @@ ENTITY_RULES = (
     Rule("email", longest=115),
     Rule("telefones[].ddd", longest=4),
     Rule("telefones[].numero", longest=15),
-    Rule("telefones[].is_fax"),
+    Rule("telefones[].is_fax", kind="flag"),
     Rule("capital_social", longest=25),
     Rule("porte_empresa", longest=50),
     Rule("opcao_simples", longest=1),
@@ -71,54 +72,84 @@ WORKS_RULES = (
     *(Rule(f"obras[].{name}", longest=n) for name, n in _WORK.items()),
     *(Rule(f"obras[].{code}.{part}", longest=n) for code in ("situacao", "qualificacao_responsavel") for part, n in (("codigo", 10), ("descricao", 200))),
 )
-CARRIER_RULES = (Rule("updated_at", longest=40), *(Rule(name, longest=n) for name, n in _CARRIER.items()), Rule("equiparado"))
+CARRIER_RULES = (Rule("updated_at", longest=40), *(Rule(name, longest=n) for name, n in _CARRIER.items()), Rule("equiparado", kind="flag"))
 
 
-def json_schema(rules: tuple[Rule, ...]) -> str:
-    """The schema of JSON text that holds the paths of ``rules``: truth values for ``is_fax`` and ``equiparado``, else text."""
-    tree: dict = {}
-    for rule in rules:
-        at = tree
-        for part in rule.path.split("."):
-            at = at.setdefault(part, {})
-
-    def kind(name: str, inner: dict) -> str:
-        one = ", ".join(f"{k.removesuffix('[]')}: {kind(k, v)}" for k, v in inner.items())
-        one = f"struct<{one}>" if inner else "boolean" if name in ("is_fax", "equiparado") else "string"
-        return f"array<{one}>" if name.endswith("[]") else one
-
-    return ", ".join(f"{k.removesuffix('[]')} {kind(k, v)}" for k, v in tree.items())
-
-
-def _within(place: str):
-    return lambda name: F.concat(F.lit(place), name)
+@dataclass(frozen=True)
+class Node:
+    """What a JSON value must be: ``text`` or ``flag`` (with a rule), ``list`` (of ``item``) or ``object`` (of ``fields``).
+
+    An object that isn't ``open`` has no other fields. A ``null`` one may be JSON's null instead.
+    """
+
+    kind: str
+    rule: Rule | None = None
+    item: Node | None = None
+    fields: dict[str, Node] = field(default_factory=dict)
+    open: bool = False
+    null: bool = False
+    required: bool = True
 
 
-def unknown_properties(value: Column | str, rules: tuple[Rule, ...]) -> Column:
-    """Properties of a JSON document, and of the objects in its arrays, that no rule names; null for text that is no object."""
-    text = F.col(value) if isinstance(value, str) else value
-    known: dict[str, set[str]] = {"": set()}
+def schema_tree(rules: tuple[Rule, ...], open: bool = False, null: bool = False, required: bool = True, more: dict[str, Node] | None = None) -> Node:
+    """The object whose values ``rules`` name by their paths; ``more``: fields with trees of their own."""
+    root = Node("object", open=open, null=null, required=required, fields=dict(more or {}))
     for rule in rules:
-        outer, is_list, inner = rule.path.partition("[]")
-        known[""].add(outer.partition(".")[0])
-        if is_list and inner:
-            known.setdefault(outer, set()).add(inner[1:].partition(".")[0])
-    found = [F.array_except(F.json_object_keys(text), F.array(*map(F.lit, sorted(known[""]))))]
-    for outer, names in sorted(known.items()):
-        if outer:
-            items = F.coalesce(F.from_json(F.get_json_object(text, f"$.{outer}"), "array<string>"), F.array())
-            keys = F.array_distinct(F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), F.array()))))
-            strange = F.array_except(keys, F.array(*map(F.lit, sorted(names))))
-            found.append(F.transform(strange, _within(f"{outer}[].")))
-    return F.concat(*found)
-
-
-def json_report(df: DataFrame, value: str, rules: tuple[Rule, ...]) -> DataFrame:
-    """(rule, n): how many JSON documents break each rule, hold a property that no rule names (``name:unknown``), or are no object (``:no_object``)."""
-    parsed = df.select(F.col(value).alias("__text"), F.from_json(value, json_schema(rules)).alias("__doc"))
-    strange = unknown_properties("__text", rules)
-    broken = F.when(strange.isNull(), F.array(F.lit(":no_object"))).otherwise(F.concat(violations(parsed, rules, "__doc"), F.transform(strange, lambda x: F.concat(x, F.lit(":unknown")))))
-    return parsed.select(F.explode(broken).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+        at = root
+        *outer, last = rule.path.split(".")
+        for part in outer:
+            name = part.removesuffix("[]")
+            if name not in at.fields:
+                inner = Node("object")
+                at.fields[name] = Node("list", item=inner) if part.endswith("[]") else inner
+            at = at.fields[name].item or at.fields[name]
+        leaf = Node(rule.kind, rule, required=rule.required)
+        at.fields[last.removesuffix("[]")] = Node("list", item=leaf, required=rule.required) if last.endswith("[]") else leaf
+    return root
+
+
+WORKS_TREE, CARRIER_TREE = schema_tree(WORKS_RULES), schema_tree(CARRIER_RULES)
+#: A published document: root names are free, and module payloads may stand in it or be null.
+ENTITY_TREE = schema_tree(ENTITY_RULES, open=True, more={"cno": schema_tree(WORKS_RULES, null=True, required=False), "rntrc": schema_tree(CARRIER_RULES, null=True, required=False)})
+
+
+def _faults(node: Node, x: Column, path: str) -> list[Column]:
+    """Text columns, null where all is well, for the variant ``x``; its lists and objects give arrays that are flattened into them."""
+    named = lambda kind: F.lit(f"{path}:{kind}")
+    there = ~F.is_variant_null(x) & x.isNotNull() if node.null else x.isNotNull()
+    out = [F.array(F.when(x.isNull(), named("required")))] if node.required and path else []
+    if node.kind in ("text", "flag"):
+        value = F.when(F.schema_of_variant(x) == ("STRING" if node.kind == "text" else "BOOLEAN"), F.try_variant_get(x, "$", "string"))
+        tests = [F.when(there & value.isNull(), named("type"))]
+        tests += [F.when(broken(value), named(kind)) for kind, broken in _broken(node.rule).items() if kind != "required"]
+        return [*out, F.array(*tests)]
+    if node.kind == "list":
+        items = F.try_variant_get(x, "$", "array<variant>")
+        inside = F.transform(F.coalesce(items, F.array()), lambda y: F.concat(*_faults(node.item, y, f"{path}[]")))
+        return [*out, F.array(F.when(there & items.isNull(), named("type"))), F.flatten(inside)]
+    names = F.map_keys(F.try_variant_get(x, "$", "map<string,variant>"))
+    dot = f"{path}." if path else ""
+    out.append(F.array(F.when(there & names.isNull(), named("type"))))
+    if not node.open:
+        strange = F.array_except(names, F.array(*map(F.lit, sorted(node.fields))))
+        out.append(F.transform(F.coalesce(strange, F.array()), lambda n: F.concat(F.lit(dot), n, F.lit(":unknown"))))
+    # what is no object has no fields to miss
+    inside = [c for name, inner in node.fields.items() for c in _faults(inner, F.try_variant_get(x, f"$.{name}", "variant"), f"{dot}{name}")]
+    return [*out, F.when(names.isNotNull(), F.concat(*inside)).otherwise(F.array().cast("array<string>"))]
+
+
+def json_violations(doc: Column, tree: Node) -> Column:
+    """An array with every rule of ``tree`` that a parsed document (``parsed_json``) breaks: ``path:kind``, kind being required, type,
+    pattern, too_short, too_long or unknown (a name that a closed object doesn't list). Null, and what is no object, gives
+    ``:no_object``. A list is ``name[]`` in a path, and a fault is given once however many items have it."""
+    found = F.array_distinct(F.array_compact(F.concat(*_faults(tree, doc, ""))))
+    return F.when(F.schema_of_variant(doc).startswith("OBJECT"), found).otherwise(F.array(F.lit(":no_object")))
+
+
+def json_report(df: DataFrame, value: str, tree: Node) -> DataFrame:
+    """(rule, n): how many JSON documents break each rule of ``tree``. Each document is parsed once, into a variant."""
+    parsed = df.select(parsed_json(value).alias("doc"))
+    return parsed.select(F.explode(json_violations(F.col("doc"), tree)).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 def _inside(x: Column, path: str) -> Column:

@@ -172,6 +172,26 @@ def validate_key(spark, sf_dir):
     return _raw_keys(spark, sf_dir).select("o_orderkey", X.key_reason("raw").alias("reason")).select("o_orderkey", "reason", *[F.col("reason").isin("ok", *v).alias(k) for k, v in later.items()])
 
 
+def _level_sql(level: str) -> str:
+    """The reason at a level, of a key that may have white space around it."""
+    reason = _REASON_SQL.replace("coalesce(trim(raw), '') = ''", "regexp_full_match(coalesce(raw, ''), '\\s*')")
+    if level == "pattern":
+        return reason.replace("raw", "bare").replace("WHEN bare = repeat(bare[1], 14) THEN 'repeated'", "").replace(f"WHEN {_digits_sql('substring(bare, 1, 12)')} <> substring(bare, 13, 2) THEN 'bad_digits'", "")
+    return reason.replace(f"WHEN {_digits_sql('substring(raw, 1, 12)')} <> substring(raw, 13, 2) THEN 'bad_digits'", "") if level == "format" else reason
+
+
+_SPACED_SQL = f"""(SELECT o_orderkey, raw, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS bare FROM
+(SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN chr(9) || raw || chr(10) WHEN o_orderkey % 11 = 0 THEN chr(13) || chr(10) ELSE raw END AS raw FROM {_RAW_SQL}))"""
+
+
+@query(f"SELECT o_orderkey, {', '.join(f'{_level_sql(x)} AS {x}' for x in ('pattern', 'format', 'check_digits'))} FROM {_SPACED_SQL}")
+def key_levels(spark, sf_dir):
+    """Each level of validation by itself, on keys of which some have tabs and line breaks around them or hold nothing else."""
+    raw = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("\t"), "raw", F.lit("\n"))).when(F.col("o_orderkey") % 11 == 0, "\r\n").otherwise(F.col("raw"))
+    keys = _raw_keys(spark, sf_dir).select("o_orderkey", raw.alias("raw"))
+    return keys.select("o_orderkey", *[X.key_reason("raw", x).alias(x) for x in ("pattern", "format", "check_digits")])
+
+
 @query(f"SELECT o_orderkey, base, {_digits_sql('base')} AS digits FROM (SELECT o_orderkey, substring(k, 3) AS base FROM {_MASKED_SQL})")
 def check_digits(spark, sf_dir):
     return order_keys(spark, sf_dir).select("o_orderkey", F.substring("key", 3, 12).alias("base")).withColumn("digits", X.check_digits("base"))
@@ -215,9 +235,11 @@ def source_fingerprint(spark, sf_dir):
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 5 = 4 THEN '{"a":"x"' ELSE substring(props, 1, length(props) - 1) END || ',"cnpj":"' || lpad(CAST(user_id AS VARCHAR), 14, '0') || '"}' AS payload FROM events"""
+    """SELECT event_id, CASE event_id % 10 WHEN 4 THEN '{"a":1.10' WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 7 THEN NULL ELSE substring(props, 1, length(props) - 1) END || ',"cnpj":"' || lpad(CAST(user_id AS VARCHAR), 14, '0') || '"}' AS payload FROM events"""
 )
 def json_inject_key(spark, sf_dir):
     wrapped = F.concat(F.lit('"'), F.regexp_replace("props", '"', '\\\\"'), F.lit('"'))
-    text = F.when(F.col("event_id") % 5 == 4, F.lit('{"cnpj":"old","a":"x"}')).when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(wrapped)
-    return table(spark, sf_dir, "events").select("event_id", X.inject_key(text, F.lpad(F.col("user_id").cast("string"), 14, "0"), strict=True).alias("payload"))
+    kind = F.col("event_id") % 10
+    text = F.when(kind == 4, '{"cnpj":{"old":[","]},"a":1.10}').when(kind == 5, F.concat("props", F.lit("}"))).when(kind == 6, '{"a":1,"a":2}').when(kind == 7, '"{"')
+    text = text.when(kind % 2 == 0, F.col("props")).otherwise(wrapped)
+    return table(spark, sf_dir, "events").select("event_id", X.inject_key(text, F.lpad(F.col("user_id").cast("string"), 14, "0")).alias("payload"))

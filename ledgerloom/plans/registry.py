@@ -67,7 +67,7 @@ def _source(name: str, kind: str = "spark") -> dict[str, str]:
     }[name]
 
 
-_ROWS = {"estabelecimento": "orders", "empresa": "customer WHERE c_acctbal > 0", "simples": "customer WHERE c_custkey % 2 = 0", "socio": "lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1 AND l_returnflag = 'R'"}
+_ROWS = {"estabelecimento": "orders", "empresa": "customer WHERE c_acctbal > 0", "simples": "customer WHERE c_custkey % 2 = 0", "socio": "lineitem JOIN orders ON l_orderkey = o_orderkey"}
 
 
 def registry_tables(spark, sf_dir) -> dict[str, DataFrame]:
@@ -143,19 +143,65 @@ def registry_documents(spark, sf_dir):
     return documents(registry_tables(spark, sf_dir))
 
 
-_FULL = quality.ENTITY_RULES
-_SHORT = ("razao_social", "cnae_principal", "uf")
+_FAULTS_SQL = """SELECT 'data_inicio_atividade:pattern' AS rule, count(*) AS n FROM d WHERE value->>'$.data_inicio_atividade' = 'junk'
+UNION ALL SELECT 'data_opcao_mei:pattern' AS rule, count(*) AS n FROM d WHERE value->>'$.data_opcao_mei' = '0'
+UNION ALL SELECT 'cnaes_secundarios[]:too_long' AS rule, count(*) AS n FROM d WHERE len(list_filter(CAST(value->'$.cnaes_secundarios' AS VARCHAR[]), lambda x: length(x) > 7)) > 0
+UNION ALL SELECT 'cnpj:pattern' AS rule, count(*) AS n FROM d WHERE NOT regexp_full_match(key, '[A-Z0-9]{12}[0-9]{2}')"""
 
 
-@query(
-    f"""WITH d AS ({_document_sql()}) SELECT 'data_inicio_atividade:pattern' AS rule, count(*) AS n FROM d WHERE value->>'$.data_inicio_atividade' = 'junk' HAVING count(*) > 0
-UNION ALL SELECT 'data_opcao_mei:pattern' AS rule, count(*) AS n FROM d WHERE value->>'$.data_opcao_mei' = '0' HAVING count(*) > 0
-UNION ALL SELECT 'cnaes_secundarios[]:too_long' AS rule, count(*) AS n FROM d WHERE len(list_filter(CAST(value->'$.cnaes_secundarios' AS VARCHAR[]), lambda x: length(x) > 7)) > 0 HAVING count(*) > 0
-UNION ALL SELECT 'cnpj:pattern' AS rule, count(*) AS n FROM d WHERE NOT regexp_full_match(key, '[A-Z0-9]{{12}}[0-9]{{2}}') HAVING count(*) > 0"""
-)
+@query(f"WITH d AS ({_document_sql()}) SELECT * FROM ({_FAULTS_SQL}) WHERE n > 0")
 def registry_conformance(spark, sf_dir):
     """Every rule of the published document schema on the documents as they are written."""
-    return quality.json_report(documents(registry_tables(spark, sf_dir)), "value", quality.ENTITY_RULES)
+    return quality.json_report(documents(registry_tables(spark, sf_dir)), "value", quality.ENTITY_TREE)
+
+
+def _filled(node: quality.Node) -> str:
+    """JSON text that breaks no rule of ``node``."""
+    if node.kind == "object":
+        return "{" + ",".join(f'"{name}":{_filled(inner)}' for name, inner in node.fields.items()) + "}"
+    return {"list": lambda: f"[{_filled(node.item)}]", "flag": lambda: "true", "text": lambda: '""'}[node.kind]()
+
+
+_CNO = _filled(quality.WORKS_TREE)
+#: What is written before a property, by the last two digits of a document's key modulo 16, and the rules that break by it.
+_WRONG = {
+    1: ("capital_social", '"capital_social":5,"was":', ["capital_social:type"]),
+    2: ("capital_social", '"capital_social":{"x":1},"was":', ["capital_social:type"]),
+    3: ("telefones", '"telefones":[{"ddd":"1","numero":"2","is_fax":"yes"}],"was":', ["telefones[].is_fax:type"]),
+    4: ("telefones", '"telefones":[{"ddd":"1","numero":"2","is_fax":true,"ramal":"3"}],"was":', ["telefones[].ramal:unknown"]),
+    5: ("QSA", '"QSA":{},"was":', ["QSA:type"]),
+    6: ("uf", '"cno":null,"rntrc":null,"uf":', []),
+    7: ("uf", f'"cno":{_CNO},"uf":', []),
+    8: ("uf", '"cno":' + _CNO.replace('"situacao":{', '"situacao":{"z":[1.0],', 1) + ',"uf":', ["cno.obras[].situacao.z:unknown"]),
+    9: ("uf", '"rntrc":"none","uf":', ["rntrc:type"]),
+    10: ("email", '"email":null,"was":', ["email:type"]),
+    11: ("email", '"e-mail":', ["email:required"]),
+    12: ("cnpj", '"cnpj":"x","cnpj":', None),
+    13: ("cnpj", '"cnpj"', None),
+    14: ("email", '"email":["a"],"was":', ["email:type"]),
+}
+
+
+def _altered_sql(value: str) -> str:
+    """SQL that Spark and DuckDB share; class 15 gets a brace too many."""
+    spoilt = " ".join(f"""WHEN {k} THEN replace(value, '"{name}":', '{text}')""" for k, (name, text, _) in _WRONG.items())
+    return f"CASE CAST(substring(key, 13, 2) AS INT) % 16 {spoilt} WHEN 15 THEN concat(value, '}}') ELSE value END AS {value}"
+
+
+def _typed_sql() -> str:
+    k = "CAST(substring(key, 13, 2) AS INT) % 16"
+    rows = [f"SELECT '{rule}' AS rule, count(*) AS n FROM d WHERE {k} = {i}" for i, (_, _, rules) in _WRONG.items() for rule in rules or ()]
+    none = ", ".join(str(i) for i, (_, _, rules) in _WRONG.items() if rules is None)
+    rows.append(f"SELECT ':no_object' AS rule, count(*) AS n FROM d WHERE {k} IN ({none}, 15)")
+    base = _FAULTS_SQL.replace("FROM d WHERE", f"FROM d WHERE {k} NOT IN ({none}, 15) AND")
+    return f"WITH d AS ({_document_sql()}) SELECT rule, CAST(sum(n) AS BIGINT) AS n FROM ({base} UNION ALL {' UNION ALL '.join(rows)}) GROUP BY rule HAVING sum(n) > 0"
+
+
+@query(_typed_sql())
+def typed_conformance(spark, sf_dir):
+    """Documents with a fault of each kind: wrong types, names that the schema doesn't list two levels down, null and whole modules, free
+    root names, null and missing properties, a property twice, a value cut off, text after the end."""
+    return quality.json_report(documents(registry_tables(spark, sf_dir)).selectExpr(_altered_sql("value")), "value", quality.ENTITY_TREE)
 
 
 # modules ----------------------------------------------------------------------------------------------------
@@ -181,8 +227,7 @@ _CARRIERS = {
 
 def _side(spark, sf_dir, name: str, columns: str, given: dict[str, str]) -> DataFrame:
     table(spark, sf_dir, name).createOrReplaceTempView(name)
-    where = " WHERE l_linenumber = 1" if name == "lineitem" else ""
-    return spark.sql(f"SELECT {', '.join(_columns(columns, given))} FROM {name}{where}")
+    return spark.sql(f"SELECT {', '.join(_columns(columns, given))} FROM {name}")
 
 
 def works(spark, sf_dir) -> DataFrame:
@@ -212,7 +257,7 @@ def _works_sql() -> str:
     work = ", ".join(f"'{n}': " + (_code(n, codes[n]) if n in codes else f"coalesce({names.get(n, n)}, '')") for n in order)
     key = "upper(regexp_replace(coalesce(ni_responsavel, ''), '[^0-9A-Za-z]', '', 'g'))"
     w = f"(SELECT {', '.join(_columns(schemas.WORKS, _WORKS))} FROM orders)"
-    links = f"(SELECT {', '.join(_columns(schemas.LINKS, _LINKS))} FROM lineitem WHERE l_linenumber = 1)"
+    links = f"(SELECT {', '.join(_columns(schemas.LINKS, _LINKS))} FROM lineitem)"
     owners = f"(SELECT * FROM (SELECT {key} AS cnpj, cno FROM {w} UNION SELECT {key} AS cnpj, cno FROM {links}) WHERE length(cnpj) = 14)"
     rows = f"(SELECT cnpj, list({{{work}}} ORDER BY cno) AS obras FROM {owners} JOIN {w} USING (cno) GROUP BY cnpj)"
     return _six(f"{{'updated_at': '{TIME}', 'obras': obras}}", rows)
@@ -236,11 +281,29 @@ def module_carriers(spark, sf_dir):
     return carriers(spark, sf_dir).drop("stable_hash")
 
 
-@query(f"SELECT ':no_object' AS rule, count(*) AS n FROM ({_works_sql()}) HAVING count(*) < 0")
+#: As above, for the payloads of modules by the last digit of their key modulo 5; 3 is cut off.
+_WRONG_WORKS = {1: ("updated_at", '"updated_at":7,"was":', ["updated_at:type", "was:unknown"]), 2: ("codigo", '"codigo":1,"x":', [f"obras[].{c}.{f}" for c in ("situacao", "qualificacao_responsavel") for f in ("codigo:type", "x:unknown")])}
+_WRONG_CARRIERS = {1: ("equiparado", '"equiparado":"sim","was":', ["equiparado:type", "was:unknown"]), 2: ("uf", '"uf":"XYZ","cep2":', ["uf:too_long", "cep2:unknown"])}
+
+
+def _spoilt(wrong: dict) -> str:
+    spoilt = " ".join(f"""WHEN {k} THEN replace(payload_json, '"{name}":', '{text}')""" for k, (name, text, _) in wrong.items())
+    return f"CASE CAST(substring(cnpj, 14, 1) AS INT) % 5 {spoilt} WHEN 3 THEN substring(payload_json, 1, 40) ELSE payload_json END AS value"
+
+
+def _module_faults_sql() -> str:
+    rows = []
+    for name, wrong in (("w", _WRONG_WORKS), ("c", _WRONG_CARRIERS)):
+        for k, rules in [*((k, rules) for k, (_, _, rules) in wrong.items()), (3, [":no_object"])]:
+            rows += [f"SELECT '{rule}' AS rule, count(*) AS n FROM {name} WHERE CAST(substring(cnpj, 14, 1) AS INT) % 5 = {k}" for rule in rules]
+    return f"WITH w AS ({_works_sql()}), c AS ({_carriers_sql()}) SELECT rule, CAST(sum(n) AS BIGINT) AS n FROM ({' UNION ALL '.join(rows)}) GROUP BY rule HAVING sum(n) > 0"
+
+
+@query(_module_faults_sql())
 def module_conformance(spark, sf_dir):
-    """Payloads of both modules break no rule."""
-    w = quality.json_report(works(spark, sf_dir), "payload_json", quality.WORKS_RULES)
-    return w.unionByName(quality.json_report(carriers(spark, sf_dir), "payload_json", quality.CARRIER_RULES))
+    """Payloads of both modules, some of them spoilt; the others break no rule."""
+    found = [quality.json_report(rows.selectExpr(_spoilt(wrong)), "value", tree) for rows, wrong, tree in ((works(spark, sf_dir), _WRONG_WORKS, quality.WORKS_TREE), (carriers(spark, sf_dir), _WRONG_CARRIERS, quality.CARRIER_TREE))]
+    return found[0].unionByName(found[1]).groupBy("rule").agg(F.sum("n").alias("n"))
 
 
 # states, lookups, resources ---------------------------------------------------------------------------------

@@ -90,3 +90,19 @@ def test_key_is_set_once(spark):
 def test_separators_and_blanks(spark):
     assert rows(spark, ["a|b"], X.split_list("c", "|"))[0][0] == ["a", "b"] and rows(spark, ["a.b"], X.split_list("c", "."))[0][0] == ["a", "b"]
     assert [r[0] for r in rows(spark, [" 12345678000195 "], X.key_reason("c", "pattern"), X.key_reason("c"))][0] == "ok"
+
+
+def test_inject_key_on_odd_payloads(spark):
+    texts = ['{"a":"x"}}', '{"a":1} x', '{"a":1,"a":2}', '{"cnpj":"o","n":1.10,"b":{"cnpj":[1.0,{}],"t":"q\\"u,}"},"e":[]}', '"{\\"a\\":1.50}"', '{ }', '{"cnpj":1}', '"{"', ""]
+    got = [r[0] for r in rows(spark, texts, X.inject_key("c", F.lit("k")))]
+    assert got == [None, None, None, '{"n":1.10,"b":{"cnpj":[1.0,{}],"t":"q\\"u,}"},"e":[],"cnpj":"k"}', '{"a":1.50,"cnpj":"k"}', '{"cnpj":"k"}', '{"cnpj":"k"}', None, None]
+    for bad in ('{"a":"x"}}', '{"a":1,"a":2}', '{"a":'):
+        with pytest.raises(Exception, match="no JSON object"):
+            rows(spark, [bad], X.inject_key("c", F.lit("k"), strict=True))
+
+
+def test_white_space_around_keys(spark):
+    texts = ["\t12345678000195\n", "\u00a012.345.678/0001-95 ", " \r\n", "1234567800019 5"]
+    assert [r[0] for r in rows(spark, texts, X.key_reason("c", "pattern"))] == ["ok", "ok", "empty", "bad_character"]
+    assert [r[0] for r in rows(spark, texts, X.normalize_key("c"))][2] == ""
+    assert [r[0] for r in rows(spark, texts, X.key_reason("c", "format"))][0] == "bad_character"

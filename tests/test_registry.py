@@ -237,11 +237,36 @@ def test_json_rules(spark):
 
     good = {"updated_at": "t", "numero_rntrc": "1", "nome": "n", "categoria": "", "situacao": "", "data_primeiro_cadastro": "", "data_situacao": "", "cep": "", "municipio": "", "uf": "SP", "equiparado": True}
     texts = [json.dumps(x) for x in (good, good | {"uf": "SPX"}, good | {"extra": 1}, {k: v for k, v in good.items() if k != "equiparado"})] + ["[1]", None]
-    report = {r.rule: r.n for r in quality.json_report(spark.createDataFrame([(t,) for t in texts], "value string"), "value", quality.CARRIER_RULES).collect()}
+    report = {r.rule: r.n for r in quality.json_report(spark.createDataFrame([(t,) for t in texts], "value string"), "value", quality.CARRIER_TREE).collect()}
     assert report == {"uf:too_long": 1, "extra:unknown": 1, "equiparado:required": 1, ":no_object": 2}
     text = json.dumps({"updated_at": "t", "obras": [{"cno": "x" * 21, "new": 1}]})
-    report = {r.rule for r in quality.json_report(spark.createDataFrame([(text,)], "value string"), "value", quality.WORKS_RULES).collect()}
-    assert {"obras[].cno:too_long", "obras[].new:unknown", "obras[].uf:required", "obras[].situacao.codigo:required"} <= report
+    report = {r.rule for r in quality.json_report(spark.createDataFrame([(text,)], "value string"), "value", quality.WORKS_TREE).collect()}
+    assert {"obras[].cno:too_long", "obras[].new:unknown", "obras[].uf:required", "obras[].situacao:required"} <= report
+
+
+def test_typed_conformance(spark):
+    from ledgerloom.operators.quality import ENTITY_TREE, json_violations
+    from ledgerloom.functions.exprs import parsed_json
+    from ledgerloom.plans.registry import _filled
+
+    good = json.loads(_filled(ENTITY_TREE)) | {"cnpj": "1" * 14, "data_opcao_mei": "2024-01-31"}
+    cases = {
+        "capital_social": (5, ["capital_social:type"]),
+        "QSA": ([{}], [f"QSA[].{n}:required" for n in good["QSA"][0]]),
+        "telefones": ([{"ddd": "1", "numero": "2", "is_fax": "yes"}, 3, None], ["telefones[].is_fax:type", "telefones[]:type"]),
+        "cnaes_secundarios": ([["1"], "12345678"], ["cnaes_secundarios[]:type", "cnaes_secundarios[]:too_long"]),
+        "data_opcao_mei": ("31/01/2024", ["data_opcao_mei:pattern"]),
+        "cno": (None, []),
+        "rntrc": ({"updated_at": []}, ["rntrc.updated_at:type", *(f"rntrc.{n}:required" for n in good["rntrc"] if n != "updated_at")]),
+        "anything": ({"at": "all"}, []),
+        "uf": ("SPX", ["uf:too_long"]),
+        "cnpj": ("1", ["cnpj:pattern", "cnpj:too_short"]),
+    }
+    rows = [(name, json.dumps(good | {name: value}), sorted(rules)) for name, (value, rules) in cases.items()]
+    rows += [("none", None, [":no_object"]), ("list", "[1]", [":no_object"]), ("more", json.dumps(good) + "}", [":no_object"]), ("same", json.dumps(good), []), ("twice", '{"a":1,"a":2}', [":no_object"])]
+    df = spark.createDataFrame(rows, "name string, value string, want array<string>")
+    for r in df.withColumn("got", json_violations(parsed_json("value"), ENTITY_TREE)).collect():
+        assert sorted(r.got) == r.want, r.name
 
 
 def test_stream_needs_its_state(spark, tmp_path):
