@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import os
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -28,32 +27,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .byte_bpe import _field, byte_alphabet
+from .byte_bpe import _field
 from .common import own_prefix, shuffle_partitions, table, written
-from .units import Units, check_pieces
+from .units import Units, byte_level, check_pieces, cut_ids, stand_together
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Buckets of A ids; records of a run, at least; entries of a compressed block; runs that are merged at once; runs of a slice.
 BUCKETS, RECORDS, BLOCK, FAN, SLICE = 128, 1 << 20, 1 << 14, 64, 8
-#: Rows aligned at once; distinct units that a worker remembers.
-ROWS, REMEMBERED = 128, 150_000
+#: Rows aligned at once; distinct units that a worker remembers; links of a group from which on its distinct ids are counted instead.
+ROWS, REMEMBERED, PAIRS = 128, 400_000, 4096
 
 
 class Aligner:
     """Both tokenizers and what they make of the units of texts."""
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        back = {c: bytes([i]) for i, c in enumerate(byte_alphabet())}
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.a_bytes[i] = b"".join(map(back.__getitem__, token))
+
+        self.a, self.a_bytes = byte_level(a_path)
         with open(b_path, "rb") as f:
             model = f.read()
         # the last setting of a field counts: units carry their own space
@@ -61,6 +52,8 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         check_pieces([p for i, p in enumerate(pieces) if not self.b.is_byte(i)])
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in tokens]) for tokens in (self.a_bytes, self.b_bytes))
+        self.a_texts, self.b_texts = ([str(i) for i in range(len(tokens))] for tokens in (self.a_bytes, self.b_bytes))
         self.sizes = len(self.a_bytes), len(self.b_bytes)
         self.units = Units(self._learn, self._clear, REMEMBERED)
         self._clear()
@@ -70,29 +63,78 @@ class Aligner:
         self.numbers, self.sizes_of, self.codes, self.times = (array("q") for _ in range(4))
 
     def _learn(self, units: list[str]) -> list[int]:
-        first = len(self.groups)
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        for unit, x, y in zip(units, a, self.b.encode(units, num_threads=1)):
-            raw = unit.encode()
-            if b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y)):
-                text, numbers, codes, times = self.align(x, y)
+        """Numbers of the units, whose groups and pairs are held from now on. Most are aligned together, as one text."""
+        out = [0] * len(units)
+        lots, alone = stand_together(units)
+        for held in lots:
+            first = len(self.groups)
+            if self._together([units[i] for i in held]):
+                for k, i in enumerate(held):
+                    out[i] = first + k
             else:
-                text, numbers, codes, times = None, (0, 0, 0, 0), [], []
+                alone += held
+        for i in alone:
+            out[i] = len(self.groups)
+            text, numbers, codes, times = self._whole(units[i]) or (None, (0, 0, 0, 0), [], [])
             self.groups.append(text)
             self.numbers.extend(numbers)
             self.sizes_of.append(len(codes))
             self.codes.extend(codes)
             self.times.extend(times)
-        return list(range(first, len(self.groups)))
+        return out
+
+    def _together(self, units: list[str]) -> bool:
+        """Align units that may stand after one another; False, and nothing held, where they have to be looked at one by one."""
+        text = "".join(units)
+        x, y = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text)
+        raw = text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, x)) != raw or b"".join(map(self.b_bytes.__getitem__, y)) != raw:
+            return False
+        a, b = np.array(x), np.array(y)
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        a_cut, b_cut = cut_ids(a_end, units), cut_ids(b_end, units)
+        if a_cut is None or b_cut is None:
+            return False
+        both = np.intersect1d(a_end, b_end, assume_unique=True)
+        p, q = np.searchsorted(a_end, both, side="right"), np.searchsorted(b_end, both, side="right")
+        n, m = np.diff(p, prepend=0), np.diff(q, prepend=0)
+        links = n * m
+        if links.max() > PAIRS:
+            return False
+        # every pair of a group's tokens
+        group = np.repeat(np.arange(len(both)), links)
+        t = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
+        codes = a[(p - n)[group] + t // m[group]] * self.sizes[1] + b[(q - m)[group] + t % m[group]]
+        texts, i, j = [], 0, 0
+        a_text, b_text = list(map(self.a_texts.__getitem__, x)), list(map(self.b_texts.__getitem__, y))
+        for e, f in zip(p.tolist(), q.tolist()):
+            texts.append(f"{a_text[i]}|{b_text[j]}" if e - i == f - j == 1 else ",".join(a_text[i:e]) + "|" + ",".join(b_text[j:f]))
+            i, j = e, f
+        g = np.searchsorted(p, a_cut, side="right")
+        ends = [0, *g.tolist()]
+        self.groups.extend(";".join(texts[i:j]) for i, j in zip(ends, ends[1:]))
+        upto = np.concatenate([[0], np.cumsum(links)])[g]
+        size = np.diff(upto, prepend=0)
+        numbers = np.stack([np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0), np.diff(g, prepend=0), size], axis=1)
+        for held, values in ((self.numbers, numbers), (self.sizes_of, size), (self.codes, codes), (self.times, np.ones_like(codes))):
+            held.frombytes(np.ascontiguousarray(values, np.int64).tobytes())
+        return True
 
     def align(self, x: list[int], y: list[int]) -> tuple[str, tuple[int, int, int, int], list[int], list[int]]:
         """(groups as text, (A tokens, B tokens, groups, links), pair codes, links of each) of two token lists over the same bytes."""
-        a_end = np.cumsum([len(self.a_bytes[i]) for i in x], dtype=np.int64)
-        b_end = np.cumsum([len(self.b_bytes[i]) for i in y], dtype=np.int64)
-        both = np.intersect1d(a_end, b_end, assume_unique=True)
-        a_cut, b_cut = (np.searchsorted(e, both, side="right").tolist() for e in (a_end, b_end))
+        cuts, i, j = [], 0, 0
+        a_at = b_at = 0
+        while i < len(x) or j < len(y):  # the side that is behind goes on
+            if a_at <= b_at:
+                a_at += len(self.a_bytes[x[i]])
+                i += 1
+            else:
+                b_at += len(self.b_bytes[y[j]])
+                j += 1
+            if a_at == b_at:
+                cuts.append((i, j))
         texts, links, count, i, j = [], 0, Counter(), 0, 0
-        for p, q in zip(a_cut, b_cut):
+        for p, q in cuts:
             texts.append(",".join(map(str, x[i:p])) + "|" + ",".join(map(str, y[j:q])))
             links += (p - i) * (q - j)
             if p - i == q - j == 1:
@@ -103,11 +145,11 @@ class Aligner:
                     for m, o in of_b.items():
                         count[k, m] += n * o
             i, j = p, q
-        return ";".join(texts), (len(x), len(y), len(both), links), [k * self.sizes[1] + m for k, m in count], [*count.values()]
+        return ";".join(texts), (len(x), len(y), len(cuts), links), [k * self.sizes[1] + m for k, m in count], [*count.values()]
 
     def _whole(self, text: str) -> tuple[str, tuple[int, int, int, int], list[int], list[int]] | None:
-        """A text one of whose units changes its bytes: aligned if the joined bytes are the text's all the same."""
-        x, y = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text)
+        """A text, or a unit, by itself; None where a tokenizer changes its bytes."""
+        x, y = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text)
         raw = text.encode()
         if b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y)):
             return self.align(x, y)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .units import Units
+from .units import Units, byte_level, encode_units
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -211,14 +211,10 @@ class Plan:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Units:
     """Encodes texts with the tokenizers library; values are little-endian 32-bit ids."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True
-    return Units(lambda units: [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(units, add_special_tokens=False)])
+    model, tokens = byte_level(path)
+    sizes = np.array([len(t) for t in tokens])
+    ids = lambda text: model.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    return Units(lambda units: encode_units(units, ids, sizes))
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:

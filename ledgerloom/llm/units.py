@@ -7,12 +7,17 @@ line break) can't merge across such a place either; ``check_pieces`` asserts the
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
+
+from .byte_bpe import byte_alphabet
+
 #: Distinct units that a worker remembers: bounds memory only.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 _gaps = re.compile(r"\s\s").search
 _cuts = re.compile(r"(?<=\S)(?=[ \n])").split
@@ -55,6 +60,56 @@ class Units:
         return [a + b for a, b in zip(first, rest)]
 
 
+def stand_together(units: list[str], chars: int = 1 << 16) -> tuple[list[list[int]], list[int]]:
+    """Places of units in lots that can be encoded as one text, as any of their units may follow any other, and of those that can't."""
+    lots, alone, held, length = [], [], [], 0
+    for i, u in enumerate(units):
+        if u[0] in " \n" and not u[-1].isspace():
+            held.append(i)
+            length += len(u)
+            if length >= chars:
+                lots.append(held)
+                held, length = [], 0
+        else:
+            alone.append(i)
+    return [*lots, held] if held else lots, alone
+
+
+def cut_ids(ends: np.ndarray, units: list[str]) -> np.ndarray | None:
+    """For ids that end at ``ends`` (in bytes) of the joined units: how many of them lie before each unit's end; None where an id lies across one."""
+    wanted = np.cumsum([len(u.encode()) for u in units])
+    cuts = np.searchsorted(ends, wanted, side="right")
+    return cuts if cuts[-1] == len(ends) and cuts[0] and (ends[cuts - 1] == wanted).all() else None
+
+
+def encode_units(units: list[str], encode: Callable[[str], list[int]], sizes: np.ndarray, chars: int = 1 << 16) -> list[bytes]:
+    """Ids of each unit as little-endian 32-bit integers; ``sizes``: bytes of each id."""
+    out: list[bytes | None] = [None] * len(units)
+    for held in stand_together(units, chars)[0]:
+        some = [units[i] for i in held]
+        ids = np.array(encode("".join(some)), "<u4")
+        if (cuts := cut_ids(np.cumsum(sizes[ids]), some)) is not None:
+            raw, ends = ids.tobytes(), (4 * cuts).tolist()
+            for i, a, b in zip(held, [0, *ends], ends):
+                out[i] = raw[a:b]
+    return [np.array(encode(u), "<u4").tobytes() if x is None else x for u, x in zip(units, out)]
+
+
+def byte_level(path: str):
+    """A byte-level BPE of the tokenizers library, special tokens' strings being plain text, and the bytes of each id."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    back = {c: bytes([i]) for i, c in enumerate(byte_alphabet())}
+    vocabulary = model.get_vocab(with_added_tokens=False)
+    tokens = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
+        tokens[i] = b"".join(map(back.__getitem__, token))
+    return model, tokens
+
+
 def check_pieces(pieces: list[str], blank: str = "▁") -> None:
     """Raise where a piece of a sentencepiece model could lie across a cut."""
     odd = [p for p in pieces if blank in p.lstrip(blank) or "\n" in p or " " in p]

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import alignment, packing, whitening
-from ledgerloom.llm.units import check_pieces, cut
+from ledgerloom.llm.byte_bpe import byte_alphabet
+from ledgerloom.llm.units import byte_level, check_pieces, cut, encode_units
 from ledgerloom.llm.whitening import op12_whitening
 
 ODD = [
@@ -43,6 +44,12 @@ def frame(spark, texts):
 def test_units_join_to_their_text():
     for t in ODD:
         assert "".join(cut(t or "")) == (t or "")
+    m = model(packing.VOCABULARY)
+    units = [u for t in ODD for u in cut(t or "")]
+    want = [m.encode(u, add_special_tokens=False).ids for u in units]
+    sizes = np.array([len(t) for t in byte_level(public_tokenizers.path(packing.VOCABULARY))[1]])
+    for chars in (1, 20, 1 << 16):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode_units(units, lambda t: m.encode(t, add_special_tokens=False).ids, sizes, chars)] == want
     with pytest.raises(ValueError):
         check_pieces(["▁a", "a▁b"])
 
@@ -201,7 +208,7 @@ def test_op12_rows(spark, sf_dir):
 def brute_alignment(texts):
     gpt = model(alignment.A_FILE)
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.B_FILE))
-    back = {c: bytes([i]) for i, c in enumerate(alignment.byte_alphabet())}
+    back = {c: bytes([i]) for i, c in enumerate(byte_alphabet())}
     b_bytes = lambda i: bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode()
     out, held = [], defaultdict(set)
     for d, t in enumerate(texts):
