@@ -10,12 +10,12 @@ added up. Nothing depends on how often a pair occurs: a bucket's counts are boun
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 from math import ceil
 
 import numpy as np
@@ -292,16 +292,16 @@ def with_maxima(merged: Iterator[tuple[np.ndarray, np.ndarray]], b_size: int) ->
 
 
 # Spark ----------------------------------------------------------------------------------------------------------------------------------
-def aligned(docs: DataFrame, a_path: str, b_path: str, records: int = RECORDS) -> tuple[DataFrame, DataFrame]:
+def aligned(docs: DataFrame, a_path: str, b_path: str, records: int = RECORDS, with_groups: bool = True) -> tuple[DataFrame, DataFrame]:
     """Aligns ``docs`` (text last, any columns before it). Two scratch tables:
 
-    (uid, the other columns, n_a, n_b, n_groups, n_links, groups) of each row, and the runs (run, bucket, base, n_docs, head, body):
+    (uid, the other columns, n_a, n_b, n_groups, n_links, groups_sha256, groups if ``with_groups``) of each row, and the runs (run, bucket, base, n_docs, head, body):
     ``head`` holds the bucket's pairs and the number of the run's texts with each, ``body`` for each pair and text the text's uid
     less ``base`` and its links.
     """
     others = docs.columns[:-1]
     counts = ["n_a", "n_b", "n_groups", "n_links"]
-    of_docs = [*((c, docs.schema[c].dataType.simpleString()) for c in others), ("uid", "long"), *((c, "long") for c in counts), ("groups", "string")]
+    of_docs = [*((c, docs.schema[c].dataType.simpleString()) for c in others), ("uid", "long"), *((c, "long") for c in counts), ("groups_sha256", "string")] + [("groups", "string")] * with_groups
     of_runs = [("run", "string"), ("bucket", "int"), ("base", "long"), ("n_docs", "long"), ("head", "binary"), ("body", "binary")]
     types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
 
@@ -339,7 +339,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, records: int = RECORDS) -
                 groups, numbers, doc, code, times = both.texts(some.column(len(others)).to_pylist())
                 uids = np.arange(uid, uid + len(groups))
                 own = {c: some.column(i) for i, c in enumerate(others)}
-                yield rows(len(groups), own | {"uid": pa.array(uids), "groups": pa.array(groups, pa.string())} | {c: pa.array(numbers[:, i]) for i, c in enumerate(counts)})
+                yield rows(len(groups), own | {"uid": pa.array(uids), "groups": pa.array(groups, pa.string()), "groups_sha256": pa.array([sha256(g.encode()).hexdigest() if g else "" for g in groups], pa.string())} | {c: pa.array(numbers[:, i]) for i, c in enumerate(counts)})
                 held.append((uids[doc] - base, code, times))
                 uid += len(groups)
                 n += len(doc)
@@ -423,8 +423,10 @@ def shares(runs: DataFrame, counts: DataFrame, n_runs: int) -> DataFrame:
     return met.mapInArrow(add, "uid long, n_best long, count_sum long")
 
 
-def align_corpus(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, keep: tuple[str, ...] = ("doc_id",), records: int = RECORDS) -> DataFrame:
-    """(``keep``, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of each row of ``docs`` (text and ``keep``).
+def align_corpus(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, keep: tuple[str, ...] = ("doc_id",), records: int = RECORDS, with_groups: bool = True) -> DataFrame:
+    """(``keep``, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, groups) of each row of ``docs`` (text and ``keep``).
+
+    groups: ``a1,a2|b1;a3|b2,b3``, the ids of each group in order, left out without ``with_groups``; its digest is '' where it is empty.
 
     Texts that are null, empty or changed by a tokenizer have no tokens: zeros and empty groups. Repeated rows count as documents of
     their own. Texts are aligned whole, however long; a group is counted by distinct ids, so a long stretch without a common
@@ -433,14 +435,13 @@ def align_corpus(docs: DataFrame, a_path: str | None = None, b_path: str | None
     a_path, b_path = a_path or public_tokenizers.path(A_FILE), b_path or public_tokenizers.path(B_FILE)
     mark = own_prefix(docs)
     kept = {f"{mark}{i}": c for i, c in enumerate(keep)}
-    found, runs = aligned(docs.select(*[F.col(c).alias(m) for m, c in kept.items()], "text"), a_path, b_path, records)
+    found, runs = aligned(docs.select(*[F.col(c).alias(m) for m, c in kept.items()], "text"), a_path, b_path, records, with_groups)
     n_runs = runs.select("run").distinct().count()
     gained = shares(runs, pair_counts(runs, n_runs, aligner(a_path, b_path).sizes[1]), n_runs)
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     out = found.join(written(gained), "uid", "left")
-    return out.select(*kept, "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups").withColumnsRenamed(kept)
+    return out.select(*kept, "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256", *["groups"] * with_groups).withColumnsRenamed(kept)
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = align_corpus(table(spark, sf_dir, "documents"))
-    return found.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))).drop("groups")
+    return align_corpus(table(spark, sf_dir, "documents"), with_groups=False)

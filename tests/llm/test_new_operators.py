@@ -251,6 +251,7 @@ def test_alignment_against_brute_force(spark, texts, monkeypatch, records, fan,
     for i, want in enumerate(brute_alignment(texts)):
         r = got[i or None]
         sha = hashlib.sha256(r.groups.encode()).hexdigest() if r.groups else ""
+        assert sha == r.groups_sha256
         assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, sha) == want, texts[i]
     assert alignment.align_corpus(docs.limit(0)).count() == 0
 
