@@ -6,8 +6,9 @@ don't. Copies of a page are one page there. The alignments also tell which boxes
 template: where neighbours share a box at all, they share it whole, while articles share a quotation at most. So a box
 of changing text, such as an advert, goes where the alignments show its like to be template.
 
-What markup states outright holds: scripts, menus, headers, footers, asides, forms and hidden elements are no
-article, and the lines of an article or main element are its text. Class names are only evidence: they count as a few alignments.
+Articles, menus, headers, footers, asides and forms are boxes like others. What markup says of a box, by its tag or a class name, counts as a
+few alignments: so it settles boxes of which the alignments show nothing or both, and only scripts, styles and hidden elements are left
+out unseen. Each page tells how much of its text was judged by either.
 """
 
 from __future__ import annotations
@@ -30,12 +31,12 @@ from .common import dense_index, shuffle_partitions, table, written
 SPAN, NEAR = 64, 8
 #: Shared stretches that what markup says of a box counts for, and that what all hosts show of it counts for on one host.
 PRIOR, SHARED = 8, 32
-#: How the lines of a box are marked, and the share of its like that is template as far as markup tells: a class that names chrome; a page
-#: with an article elsewhere; any other page.
-NAMED, BESIDE, PLAIN = "named", "beside", "plain"
-BELIEF = {NAMED: 0.9, BESIDE: 0.6, PLAIN: 0.4}
-#: Zones of lines: nothing said, in an article, named by a class, no article.
-FREE, CONTENT, CLASS, CHROME = 0, 1, 2, 3
+#: How the lines of a box are marked, and the share of its like that is template as far as markup tells: a tag of chrome; a class that names
+#: chrome; a page with an article elsewhere; any other page; an article.
+TAGGED, NAMED, BESIDE, PLAIN, ARTICLE = "tagged", "named", "beside", "plain", "article"
+BELIEF = {TAGGED: 0.95, NAMED: 0.9, BESIDE: 0.6, PLAIN: 0.4, ARTICLE: 0.05}
+#: Zones of lines: nothing said, in an article, named by a class, in an element of chrome, hidden.
+FREE, CONTENT, CLASS, CHROME, HIDDEN = 0, 1, 2, 3, 4
 
 # Fixed values of the markup language. -----------------------------------------------------------------------
 RAW = "script style template textarea select iframe svg title"
@@ -59,6 +60,7 @@ CHROME_WORDS = frozenset(
 LAYOUT_WORDS = frozenset("area articles bar block box button buttons container content form icons inner items link links list panel posts section stories wrap wrapper".split())
 # ------------------------------------------------------------------------------------------------------------
 
+MARKED = {CHROME: TAGGED, CLASS: NAMED, CONTENT: ARTICLE}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?<=/)>|<(?P<raw>" + RAW.replace(" ", "|") + r")(?=[\s/>])(?>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<!(?>[^>]*)>|<\?(?>[^>]*)>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?>[^>]*)>",
@@ -74,11 +76,11 @@ def _attributes(attrs: str) -> dict[str, str]:
 
 def _zone(tag: str, said: dict[str, str], zone: int) -> int:
     """The zone of what an element holds; ``zone``: that around it."""
-    if zone == CHROME or tag in ("html", "body"):
+    if zone == HIDDEN or tag in ("html", "body"):
         return zone
-    if tag in CHROME_TAGS and not (tag == "header" and zone == CONTENT):
-        return CHROME
-    if "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", "") or said.get("role") in CHROME_ROLES:
+    if "hidden" in said or said.get("aria-hidden") == "true" or "display:none" in said.get("style", "").replace(" ", ""):
+        return HIDDEN
+    if zone == CHROME or tag in CHROME_TAGS and not (tag == "header" and zone == CONTENT) or said.get("role") in CHROME_ROLES:
         return CHROME
     if zone == CLASS or tag == "noscript":
         return CLASS
@@ -94,7 +96,7 @@ def _zone(tag: str, said: dict[str, str], zone: int) -> int:
 
 
 class Page:
-    """The lines of a page that markup doesn't rule out: text, whether in an article, and the innermost box.
+    """The lines of a page that aren't hidden: text, zone, and the innermost box.
 
     boxes: (box around it, name, zone) of each; a name is the tag with its class and id, numbers left out.
     """
@@ -117,7 +119,7 @@ class Page:
                 raw = "".join(parts)
                 parts.clear()
                 text = " ".join((htmllib.unescape(raw) if "&" in raw else raw).split())
-                if text and zone != CHROME:
+                if text and zone != HIDDEN:
                     self.lines.append(text)
                     self.zones.append(zone)
                     self.box_of.append(box)
@@ -159,7 +161,7 @@ class Page:
             stack.append((tag, zone, box))
             count[tag] += 1
             inner = _zone(tag, said, zone)
-            if inner != CHROME and (tag in BOXES or inner != zone):
+            if inner != HIDDEN and (tag in BOXES or inner != zone):
                 name = ".".join([tag, *re.sub(r"[0-9]+", "", f"{said.get('class', '')} {said.get('id', '')}").split()])
                 self.boxes.append((box, name, inner))
                 box = len(self.boxes) - 1
@@ -168,20 +170,20 @@ class Page:
             parts.append(page[at:])
         flush()
 
-    def regions(self) -> list[str | None]:
-        """For each line the name of the box that is judged as a whole, or None for the text of an article.
+    def regions(self) -> list[str]:
+        """For each line the name of the box that is judged as a whole.
 
-        It is the outermost box that a class name marks; else the outermost one that holds no more than half of the page's text. A line
-        in neither is in no box (name ''). A name begins with how the box is marked.
+        It is the outermost box of the line's zone, be that chrome, named by a class or an article; else the outermost one that holds no more
+        than half of the page's text outside chrome. A line in neither is in no box (name ''). A name begins with how the box is marked.
         """
-        holds = Counter()
-        for t, b in zip(self.lines, self.box_of):
-            while b >= 0:
+        holds, half = Counter(), 0.0
+        for t, b, z in zip(self.lines, self.box_of, self.zones):
+            half += len(t) / 2 if z != CHROME else 0
+            while b >= 0 and z != CHROME:
                 holds[b] += len(t)
                 b = self.boxes[b][0]
-        half = sum(map(len, self.lines)) / 2
         other = BESIDE if CONTENT in self.zones else PLAIN
-        chosen: dict[tuple[int, int], str | None] = {}
+        chosen: dict[tuple[int, int], str] = {}
         for key in set(zip(self.box_of, self.zones)):
             b, z = key
             chain = []
@@ -189,12 +191,9 @@ class Page:
                 chain.append(b)
                 b = self.boxes[b][0]
             chain = chain[::-1]
-            if z == CONTENT:
-                chosen[key] = None
-                continue
             names = [self.boxes[b][1] for b in chain]
-            if z == CLASS:
-                kind, k = NAMED, next(i for i, b in enumerate(chain) if self.boxes[b][2] == CLASS)
+            if z in MARKED:
+                kind, k = MARKED[z], next(i for i, b in enumerate(chain) if self.boxes[b][2] == z)
             else:
                 kind, k = other, next((i for i, b in enumerate(chain) if holds[b] <= half), None)
             chosen[key] = f"{kind}:" if k is None else f"{kind}:" + ">".join(names[max(0, k - 1) : k + 1])
@@ -255,13 +254,13 @@ def _align(x: list[int], y: list[int]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def witnesses(coded: list[list[int]], own: list[bool], near: int = NEAR) -> list[list[set[int]]]:
+def witnesses(coded: list[list[int]], own: list[bool], near: int = NEAR, sets: list[set[int]] | None = None) -> list[list[set[int]]]:
     """For each page of ``own``, and in the order of their distance: positions of the lines that it shares with each of two neighbours.
 
     The neighbours are the nearest pages on either side (at the end of a host: the two nearest on one side), at most ``near`` away,
-    that aren't its copy. A page without a line of its own beside another is its copy.
+    that aren't its copy. A page without a line of its own (in ``sets``: lines to go by) beside another is its copy.
     """
-    sets = [set(x) for x in coded]
+    sets = sets or [set(x) for x in coded]
     shared: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
     out: list[list[set[int]]] = []
     for k in range(len(coded)):
@@ -289,17 +288,24 @@ def _host_and_path(url: F.Column) -> tuple[F.Column, F.Column]:
 def _compared(pages: list[tuple]) -> tuple[list, list]:
     """``pages``: (codes, sizes, region of each line, regions, whether own) of a stretch of a host, in order of URL path.
 
-    Gives for each own page its boxes (region, its lines, those of them that both neighbours share), and the evidence that it gives on
-    its boxes (region, digest of what a neighbour shares of it, share of its text).
+    Gives for each own page its boxes (region, its lines, those of them that both neighbours share if not in an article, code points of
+    either), and the evidence that it gives on its boxes (region, digest of what a neighbour shares of it, share of its text).
     """
     cells, evidence = [], []
-    for (codes, sizes, where, names, own), found in zip(pages, witnesses([p[0] for p in pages], [p[4] for p in pages])):
+    # pages that differ in their chrome alone are copies too, unless what is marked as chrome is most of their text
+    sets = []
+    for codes, sizes, where, names, _ in pages:
+        plain = [not names[r].startswith(TAGGED) for r in where]
+        most = 2 * sum(n for n, p in zip(sizes, plain) if p) >= sum(sizes)
+        sets.append({c for c, p in zip(codes, plain) if p or not most})
+    for (codes, sizes, where, names, own), found in zip(pages, witnesses([p[0] for p in pages], [p[4] for p in pages], sets=sets)):
         boxes: dict[int, list[int]] = {}
         for i, r in enumerate(where):
-            if r >= 0:
-                boxes.setdefault(r, []).append(i)
+            boxes.setdefault(r, []).append(i)
         gone = set.intersection(*found) if found else set()
-        cells.append([(names[r], lines, [i for i in lines if i in gone]) for r, lines in boxes.items()] if own else [])
+        both = {r: [i for i in lines if i in gone and not names[r].startswith(ARTICLE)] for r, lines in boxes.items()}
+        chars = lambda at: sum(sizes[i] for i in at)
+        cells.append([(names[r], lines, both[r], chars(lines), chars(both[r])) for r, lines in boxes.items()] if own else [])
         seen = []
         for same in found:
             for r, lines in boxes.items():
@@ -311,11 +317,12 @@ def _compared(pages: list[tuple]) -> tuple[list, list]:
 
 
 def _template(evidence: DataFrame, cells: DataFrame) -> DataFrame:
-    """``cells`` (host, region, more) plus whether the region is template.
+    """``cells`` (host, region, more) plus whether the region is ``template``, and whether alignments ``told``: where they outweigh what markup says and
+    point the same way as the result.
 
     A box counts by the share of its text that a neighbour has too, averaged over what was shared: the same text on more
     pages counts more, but only with the logarithm, so that a group of copies doesn't outweigh all. The estimate for a host begins from that for all,
-    and that for all from what markup says (``SHARED`` and ``PRIOR``); boxes without a
+    and that for all from what markup says (``SHARED`` and ``PRIOR``); boxes without a tag of their own,
     class or id have nothing in common between hosts. Lines in no box are judged one by one.
     """
     seen = written(evidence.groupBy("host", "region", "digest").agg(F.avg("share").alias("share"), (1 + F.log2(F.count("*").cast("double"))).alias("w")))
@@ -323,23 +330,30 @@ def _template(evidence: DataFrame, cells: DataFrame) -> DataFrame:
     everywhere = here.groupBy("region").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
     belief = F.coalesce(*[F.when(F.col("region").startswith(f"{k}:"), F.lit(v)) for k, v in BELIEF.items()])
     known = cells.join(everywhere, "region", "left").join(here, ["host", "region"], "left")
-    told = lambda c: F.when(F.col("region").contains("."), F.coalesce(c, F.lit(0.0))).otherwise(F.lit(0.0))
-    wide = (told("all_s") + PRIOR * belief) / (told("all_n") + PRIOR)
-    weight = F.when(F.col("region").contains("."), SHARED).otherwise(PRIOR)
-    close = (F.coalesce("s", F.lit(0.0)) + weight * wide) / (F.coalesce("n", F.lit(0.0)) + weight)
+    common = F.col("region").contains(".") | F.col("region").startswith(TAGGED) | F.col("region").startswith(ARTICLE)
+    n, s = (F.coalesce(c, F.lit(0.0)) for c in ("n", "s"))
+    all_n, all_s = (F.when(common, F.coalesce(c, F.lit(0.0))).otherwise(F.lit(0.0)) for c in ("all_n", "all_s"))
+    wide = (all_s + PRIOR * belief) / (all_n + PRIOR)
+    weight = F.when(common, SHARED).otherwise(PRIOR)
+    close = (s + weight * wide) / (n + weight)
     in_box = ~F.col("region").endswith(":")
-    return known.withColumn("template", F.when(in_box, close >= 0.5).otherwise(belief >= 0.5)).drop("all_n", "all_s", "n", "s")
+    template = F.when(in_box, close >= 0.5).otherwise(belief >= 0.5)
+    # the host's evidence is part of that for all
+    seen_n, seen_s = F.greatest(n, all_n), F.when(all_n > 0, all_s).otherwise(s)
+    told = in_box & (seen_n > PRIOR) & ((seen_s / seen_n >= 0.5) == template)
+    return known.withColumn("template", template).withColumn("told", F.coalesce(told, F.lit(False))).drop("all_n", "all_s", "n", "s")
 
 
 def main_text(pages: DataFrame, align: bool = True, span: int = SPAN) -> DataFrame:
-    """(page_id, url, text, n_chars) for each row of ``pages`` (page_id, url, html).
+    """(page_id, url, text, n_chars, aligned_chars, marked_chars) for each row of ``pages`` (page_id, url, html).
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page
-    order. The lines of an article or main element are kept, but for boxes in it that are template. Of any other lines those go that are
-    in template boxes, and those that both neighbours share. Null or empty html, and html without text, gives an empty text.
+    order. Lines in template boxes go, and outside articles those that both neighbours share. aligned_chars and marked_chars: code points of the
+    lines, kept or not, on which alignments decided, and of those that markup settled. Null or empty html, and html without text, gives an empty text.
     Pages without a URL count as one host; the only page of a host has no neighbour, and only what is known from other hosts tells its
     boxes. Copies of a page (equal lines in equal boxes) under other URLs of a host are one page there, at the least URL; each gets its text. Repeated rows
-    give equal texts. ``align``: False leaves the differencing out, for comparison.
+    give equal texts. Very long pages are
+    read and compared whole. ``align``: False leaves the differencing out, so that all visible text stays, for comparison.
 
     Neighbours are found and aligned on codes of lines, so the text itself is shuffled once.
     """
@@ -363,8 +377,8 @@ def main_text(pages: DataFrame, align: bool = True, span: int = SPAN) -> DataFra
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some, lines, codes, regions, digests in read(batches):
-            names = [list(dict.fromkeys(x for x in r if x is not None)) for r in regions]
-            where = [[-1 if x is None else n.index(x) for x in r] for r, n in zip(regions, names)]
+            names = [list(dict.fromkeys(r)) for r in regions]
+            where = [[n.index(x) for x in r] for r, n in zip(regions, names)]
             yield some.drop(columns="url").assign(digest=digests, codes=list(codes), sizes=[[len(t) for t in page] for page in lines], place=where, regions=names)
 
     fields = f"page_id {kind}, host string, path string, digest string, codes array<long>, sizes array<int>, place array<int>, regions array<string>"
@@ -402,19 +416,22 @@ def main_text(pages: DataFrame, align: bool = True, span: int = SPAN) -> DataFra
             yield some[["page_id", "url", "host"]].assign(digest=digests, lines=lines)
 
     near = dealt.repartition(shuffle_partitions(pages.sparkSession), "host", "stretch").sortWithinPartitions("host", "stretch", "idx")
-    shape = "host string, digest string, cells array<struct<region:string,lines:array<int>,both:array<int>>>, evidence array<struct<region:string,digest:long,share:double>>"
+    shape = "host string, digest string, cells array<struct<region:string,lines:array<int>,both:array<int>,chars:long,both_chars:long>>, evidence array<struct<region:string,digest:long,share:double>>"
     compared = written(near.mapInPandas(difference, shape))
     cells = compared.select("host", F.col("digest").alias("page"), F.inline("cells"))
     evidence = compared.select("host", F.inline("evidence"))
-    if not align:
-        cells, evidence = cells.withColumn("both", F.array().cast("array<int>")), evidence.limit(0)
     judged = _template(evidence, cells)
-    gone = judged.groupBy("host", F.col("page").alias("digest")).agg(F.flatten(F.collect_list(F.when(F.col("template"), F.col("lines")).otherwise(F.col("both")))).alias("gone"))
-    gone = written(gone.where(F.size("gone") > 0))
+    leaves = F.when(F.col("template"), F.col("lines")).otherwise(F.col("both"))
+    by_lines = F.when(F.col("told"), F.col("chars")).when(F.col("template"), 0).otherwise(F.col("both_chars"))
+    gone = judged.groupBy("host", F.col("page").alias("digest")).agg(F.flatten(F.collect_list(leaves)).alias("gone"), F.sum(by_lines).alias("aligned"), F.sum("chars").alias("chars"))
+    if not align:
+        gone = gone.select("host", "digest", F.array().cast("array<int>").alias("gone"), F.lit(0).cast("long").alias("aligned"), "chars")
+    gone = written(gone)
     parsed = wanted.select("page_id", "url", "host", "html").mapInPandas(parse, f"page_id {kind}, url string, host string, digest string, lines array<string>")
     left = F.filter("lines", lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    texts = parsed.join(gone, ["host", "digest"], "left").select("page_id", "url", F.array_join(left, " ").alias("text"))
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+    by = [F.coalesce(c, F.lit(0)).cast("long") for c in (F.col("aligned"), F.col("chars") - F.col("aligned"))]
+    texts = parsed.join(gone, ["host", "digest"], "left").select("page_id", "url", F.array_join(left, " ").alias("text"), by[0].alias("aligned_chars"), by[1].alias("marked_chars"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "aligned_chars", "marked_chars")
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
