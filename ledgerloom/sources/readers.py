@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schemas
+from .records import csv_records, parse_records
 
 
 def _hadoop_exists(spark: SparkSession, path: str, pattern: str | None = None) -> bool:
@@ -45,23 +46,35 @@ def require_nonempty(df: DataFrame, what: str) -> DataFrame:
 
 def read_registry_csv(spark: SparkSession, paths: str | list[str], table: str, newlines: bool = True) -> DataFrame:
     """A registry family: semicolons, no header, Windows-1252, quotes doubled inside quotes. Rows with another number of
-    columns are dropped. Needs ``spark.sql.legacy.javaCharsets`` (see ``session``).
+    columns are dropped (``registry_records`` gives them too). Needs ``spark.sql.legacy.javaCharsets`` (see ``session``).
 
-    ``newlines``: values may hold line breaks, so a file is read by one task. Without them large files are split."""
+    ``newlines``: values may hold line breaks. Without them a file is read once, else three times; large files are split either way."""
+    if newlines:
+        return registry_records(spark, paths, table)[0]
     schema = schemas.registry_schema(table)
-    read = spark.read.schema(schema).options(sep=";", encoding="windows-1252", quote='"', escape='"', multiLine=newlines, mode="DROPMALFORMED", pathGlobFilter=schemas.REGISTRY[table][0], recursiveFileLookup=True)
+    read = spark.read.schema(schema).options(sep=";", encoding="windows-1252", quote='"', escape='"', mode="DROPMALFORMED", pathGlobFilter=schemas.REGISTRY[table][0], recursiveFileLookup=True)
     return read.csv(paths)
 
 
+def registry_records(spark: SparkSession, paths: str | list[str], table: str, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of a registry family, and (file, value, reason) of the records that were rejected. ``pattern``: of file names, if not the family's own."""
+    return parse_records(csv_records(spark, paths, "windows-1252", pattern or schemas.REGISTRY[table][0]), schemas.registry_schema(table), ";")
+
+
 def discover_tables(spark: SparkSession, folder: str) -> dict[str, bool]:
     """Which table families have files below a folder."""
     return {table: _hadoop_exists(spark, folder, pattern) for table, (pattern, _) in schemas.REGISTRY.items()}
 
 
 def _side_csv(spark: SparkSession, paths, columns: str, sep: str) -> DataFrame:
-    options = dict(header=True, enforceSchema=True, encoding="ISO-8859-1", sep=sep, quote='"', escape='"', multiLine=True, mode="DROPMALFORMED", nullValue="", emptyValue="")
-    read = spark.read.schema(schemas.strings(columns)).options(**options).csv(paths)
-    return read.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in read.columns])
+    read, _ = side_records(spark, paths, columns, sep)
+    return read
+
+
+def side_records(spark: SparkSession, paths, columns: str, sep: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a file with a header, in Latin-1, empty values as null; and (file, value, reason) of the records that were rejected."""
+    good, bad = parse_records(csv_records(spark, paths, "ISO-8859-1", header=True), schemas.strings(columns), sep, empty_is_null=True)
+    return good.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in good.columns]), bad
 
 
 def read_works_csv(spark: SparkSession, paths) -> DataFrame:
