@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,43 +114,85 @@ WORKS_TREE, CARRIER_TREE = schema_tree(WORKS_RULES), schema_tree(CARRIER_RULES)
 ENTITY_TREE = schema_tree(ENTITY_RULES, open=True, more={"cno": schema_tree(WORKS_RULES, null=True, required=False), "rntrc": schema_tree(CARRIER_RULES, null=True, required=False)})
 
 
-def _faults(node: Node, x: Column, path: str) -> list[Column]:
-    """Text columns, null where all is well, for the variant ``x``; its lists and objects give arrays that are flattened into them."""
-    named = lambda kind: F.lit(f"{path}:{kind}")
-    there = ~F.is_variant_null(x) & x.isNotNull() if node.null else x.isNotNull()
-    out = [F.array(F.when(x.isNull(), named("required")))] if node.required and path else []
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _limits(rule: Rule, value: str, path: str) -> list[str]:
+    """SQL of the faults that a text can have; null for null."""
+    tests = [(f"NOT rlike({value}, {_literal(rule.pattern)})", "pattern")] if rule.pattern else []
+    tests += [(f"length({value}) < {rule.shortest}", "too_short")] if rule.shortest else []
+    tests += [(f"length({value}) > {rule.longest}", "too_long")] if rule.longest is not None else []
+    return [f"CASE WHEN {test} THEN {_literal(f'{path}:{kind}')} END" for test, kind in tests]
+
+
+def _expected(node: Node, as_type: bool = False) -> str:
+    """What ``schema_of_variant`` says of a value of which every part is there and of its type, or the type to read it as."""
+    if node.kind == "list":
+        return f"ARRAY<{_expected(node.item, as_type)}>"
+    if node.kind == "object":
+        fields = sorted((name, _expected(inner, as_type)) for name, inner in node.fields.items())
+        return f"STRUCT<{', '.join(f'`{n}`: {t}' for n, t in fields)}>" if as_type else f"OBJECT<{', '.join(f'{n}: {t}' for n, t in fields)}>"
+    return {"text": "STRING", "flag": "BOOLEAN", "void": "VOID"}[node.kind]
+
+
+def _typed_faults(node: Node, x: str, path: str, depth: int) -> list[str]:
+    """SQL of arrays with the limits that a value of the expected shape breaks."""
+    if node.kind == "list":
+        inside = _typed_faults(node.item, f"y{depth}", f"{path}[]", depth + 1)
+        return [f"flatten(transform({x}, y{depth} -> concat({', '.join(inside)})))"] if inside else []
+    if node.kind == "object":
+        return [c for name, inner in node.fields.items() for c in _typed_faults(inner, f"{x}.`{name}`", f"{path}.{name}" if path else name, depth)]
+    tests = _limits(node.rule, x, path)
+    return [f"array({', '.join(tests)})"] if tests else []
+
+
+def _faults(node: Node, x: str, path: str, depth: int = 0) -> list[str]:
+    """SQL of arrays with the rules that the variant ``x`` breaks and nulls for those that hold. One text for a whole tree is
+    parsed at once; building its columns one by one would take the driver seconds."""
+    named = lambda kind: _literal(f"{path}:{kind}")
+    there = f"{x} IS NOT NULL" + (f" AND NOT is_variant_null({x})" if node.null else "")
+    out = [f"array(CASE WHEN {x} IS NULL THEN {named('required')} END)"] if node.required and path else []
     if node.kind in ("text", "flag"):
-        value = F.when(F.schema_of_variant(x) == ("STRING" if node.kind == "text" else "BOOLEAN"), F.try_variant_get(x, "$", "string"))
-        tests = [F.when(there & value.isNull(), named("type"))]
-        tests += [F.when(broken(value), named(kind)) for kind, broken in _broken(node.rule).items() if kind != "required"]
-        return [*out, F.array(*tests)]
+        value = f"CASE WHEN schema_of_variant({x}) = '{'STRING' if node.kind == 'text' else 'BOOLEAN'}' THEN try_variant_get({x}, '$', 'string') END"
+        tests = [f"CASE WHEN {there} AND ({value}) IS NULL THEN {named('type')} END", *_limits(node.rule, value, path)]
+        return [*out, f"array({', '.join(tests)})"]
     if node.kind == "list":
-        items = F.try_variant_get(x, "$", "array<variant>")
-        inside = F.transform(F.coalesce(items, F.array()), lambda y: F.concat(*_faults(node.item, y, f"{path}[]")))
-        return [*out, F.array(F.when(there & items.isNull(), named("type"))), F.flatten(inside)]
-    names = F.map_keys(F.try_variant_get(x, "$", "map<string,variant>"))
+        items, y = f"try_variant_get({x}, '$', 'array<variant>')", f"y{depth}"
+        inside = f"transform(coalesce({items}, array()), {y} -> concat({', '.join(_faults(node.item, y, f'{path}[]', depth + 1))}))"
+        slow = ", ".join([*out, f"array(CASE WHEN {there} AND {items} IS NULL THEN {named('type')} END)", f"flatten({inside})"])
+        # items of the expected shape, which nearly all are, are read as what they are at once
+        fast = ", ".join(_typed_faults(node, f"try_variant_get({x}, '$', '{_expected(node, True)}')", path, depth))
+        return [f"CASE WHEN schema_of_variant({x}) = {_literal(_expected(node))} THEN concat({fast or 'array()'}) ELSE concat({slow}) END"]
+    names = f"map_keys(try_variant_get({x}, '$', 'map<string,variant>'))"
     dot = f"{path}." if path else ""
-    out.append(F.array(F.when(there & names.isNull(), named("type"))))
+    out.append(f"array(CASE WHEN {there} AND {names} IS NULL THEN {named('type')} END)")
     if not node.open:
-        strange = F.array_except(names, F.array(*map(F.lit, sorted(node.fields))))
-        out.append(F.transform(F.coalesce(strange, F.array()), lambda n: F.concat(F.lit(dot), n, F.lit(":unknown"))))
+        known = ", ".join(map(_literal, sorted(node.fields)))
+        out.append(f"transform(coalesce(array_except({names}, array({known})), array()), n{depth} -> concat({_literal(dot)}, n{depth}, ':unknown'))")
     # what is no object has no fields to miss
-    inside = [c for name, inner in node.fields.items() for c in _faults(inner, F.try_variant_get(x, f"$.{name}", "variant"), f"{dot}{name}")]
-    return [*out, F.when(names.isNotNull(), F.concat(*inside)).otherwise(F.array().cast("array<string>"))]
+    inside = [c for name, inner in node.fields.items() for c in _faults(inner, f"try_variant_get({x}, '$.{name}', 'variant')", f"{dot}{name}", depth)]
+    return [*out, f"CASE WHEN {names} IS NOT NULL THEN concat({', '.join(inside)}) ELSE array() END"]
 
 
-def json_violations(doc: Column, tree: Node) -> Column:
-    """An array with every rule of ``tree`` that a parsed document (``parsed_json``) breaks: ``path:kind``, kind being required, type,
+def json_violations(doc: str, tree: Node) -> Column:
+    """An array with every rule of ``tree`` that a parsed document (a column of ``parsed_json``) breaks: ``path:kind``, kind being required, type,
     pattern, too_short, too_long or unknown (a name that a closed object doesn't list). Null, and what is no object, gives
     ``:no_object``. A list is ``name[]`` in a path, and a fault is given once however many items have it."""
-    found = F.array_distinct(F.array_compact(F.concat(*_faults(tree, doc, ""))))
-    return F.when(F.schema_of_variant(doc).startswith("OBJECT"), found).otherwise(F.array(F.lit(":no_object")))
+    found = f"array_distinct(array_compact(concat({', '.join(_faults(tree, doc, ''))})))"
+    # a document that has all fields, of their types and none besides, is read as such a row at once; its lists may be empty
+    plain = replace(tree, fields={name: inner for name, inner in tree.fields.items() if inner.required})
+    lists = [name for name, inner in plain.fields.items() if inner.kind == "list"][:4]
+    shapes = [_expected(replace(plain, fields=plain.fields | dict.fromkeys(some, Node("list", item=Node("void"))))) for k in range(len(lists) + 1) for some in combinations(lists, k)]
+    fast = f"transform(array(try_variant_get({doc}, '$', '{_expected(plain, True)}')), r -> array_distinct(array_compact(concat({', '.join(_typed_faults(plain, 'r', '', 0))}))))[0]"
+    shape = f"schema_of_variant({doc})"
+    return F.expr(f"CASE WHEN {shape} IN ({', '.join(map(_literal, shapes))}) THEN {fast} WHEN startswith({shape}, 'OBJECT') THEN {found} ELSE array(':no_object') END")
 
 
 def json_report(df: DataFrame, value: str, tree: Node) -> DataFrame:
     """(rule, n): how many JSON documents break each rule of ``tree``. Each document is parsed once, into a variant."""
     parsed = df.select(parsed_json(value).alias("doc"))
-    return parsed.select(F.explode(json_violations(F.col("doc"), tree)).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+    return parsed.select(F.explode(json_violations("doc", tree)).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 def _inside(x: Column, path: str) -> Column:
