@@ -7,7 +7,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import is_valid_key, key_prefix, normalize_key
+from ..functions.exprs import is_valid_key, key_prefix, normalize_key, trimmed
+from .bloom import only_near
 from .relational import compose
 
 IGNORED = {"e", "and"}
@@ -28,20 +29,24 @@ def parse_selection(text: str | list[str] | None, available: list[str], base: st
     return list(dict.fromkeys(words)) or known
 
 
-def lookup(keys: DataFrame, documents: DataFrame, modules: dict[str, DataFrame], selection: str | list[str] | None = None, raw: str = "raw", base: str = "base", prefix_length: int = 3, prefix_start: int = 1, level: str = "pattern", most_prefixes: int = 200) -> DataFrame:
+def lookup(keys: DataFrame, documents: DataFrame, modules: dict[str, DataFrame], selection: str | list[str] | None = None, raw: str = "raw", base: str = "base", prefix_length: int = 3, prefix_start: int = 1, level: str = "pattern", bloom: bool = True) -> DataFrame:
     """(raw, cnpj, outcome, value, one column a module) for each key asked for.
 
     documents: (prefix, key, value). outcome: ``invalid`` for text that is no key, ``not_found`` without a base document, else
-    ``ok``. Up to ``most_prefixes`` distinct prefixes are looked up first to prune partitions; beyond, all are read. A selection without the base still needs it to exist, but its document isn't returned.
+    ``ok``. A selection without the base still needs it to exist, but its document isn't returned. Nothing runs while the plan is made: partitions of prefixes
+    that nobody asks for are pruned when the query runs (at most as many names as there are prefixes are broadcast), and documents that a Bloom
+    filter of the keys (``bloom``; of fixed size) knows nobody asks for aren't shuffled.
     """
     chosen = parse_selection(selection, sorted(modules), base)
-    asked = keys.select(raw).withColumn("cnpj", normalize_key(F.trim(raw))).withColumn("__valid", F.coalesce(is_valid_key(raw, level), F.lit(False)))
+    asked = keys.select(raw).withColumn("cnpj", normalize_key(trimmed(raw))).withColumn("__valid", F.coalesce(is_valid_key(raw, level), F.lit(False)))
     asked = asked.withColumn("__prefix", F.when(F.col("__valid"), key_prefix("cnpj", prefix_length, prefix_start)))
     docs = documents.select(F.col("prefix").alias("__prefix"), F.col("key").alias("cnpj"), "value", F.lit(True).alias("__there"))
-    # few prefixes become a filter, so that partitions of documents nobody asks for are left unread
-    wanted = [r[0] for r in asked.where("__valid").select("__prefix").distinct().limit(most_prefixes + 1).collect()] if most_prefixes else []
-    if most_prefixes and len(wanted) <= most_prefixes:
-        docs = docs.where(F.col("__prefix").isin(wanted))
+    valid = asked.where("__valid")
+    # Spark prunes by a side with a filter that it can take for selective: a comparison is one, a test of validity isn't
+    wanted = valid.groupBy("__prefix").agg(F.count("*").alias("__n")).where("__n > 0").select("__prefix")
+    docs = docs.join(F.broadcast(wanted), "__prefix", "left_semi")
+    if bloom:
+        docs = only_near(docs, "cnpj", valid, "cnpj")
     found = asked.join(docs, ["__prefix", "cnpj"], "left")
     found = compose(found, modules, [m for m in chosen if m != base])
     outcome = F.when(~F.col("__valid"), "invalid").when(F.col("__there").isNull(), "not_found").otherwise("ok")

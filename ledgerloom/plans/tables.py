@@ -290,6 +290,16 @@ def hash_diff(spark, sf_dir):
     return R.hash_diff(*hash_states(spark, sf_dir))
 
 
+@query(_diff_sql("prev"))
+def hash_diff_tree(spark, sf_dir):
+    """The same by trees of digests of two written states; prefixes are taken where padded order keys differ."""
+    from ..operators.digests import tree_diff, write_tree
+
+    old, new = hash_states(spark, sf_dir)
+    paths = [write_tree(x, scratch(spark), start=9) for x in (old, new)]
+    return tree_diff(spark, *paths, start=9)
+
+
 @query(_diff_sql("(SELECT * FROM prev WHERE false)"))
 def hash_diff_untrusted(spark, sf_dir):
     return R.hash_diff(*hash_states(spark, sf_dir), trusted=False)

@@ -227,9 +227,52 @@ def test_lookup_prunes_partitions(spark, tables, tmp_path):
     asked = spark.createDataFrame([(" 12.ABC.345/0001-90 ",), ("12ABC345000100",), ("no",)], "raw string")
     found = lookup(asked, docs, {})
     assert [r.outcome for r in found.orderBy("raw").collect()] == ["ok", "not_found", "invalid"]
-    assert "PartitionFilters: [isnotnull(prefix" in found._jdf.queryExecution().executedPlan().toString()
-    assert "12A" in found._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, lookup(asked, docs, {}, most_prefixes=0).collect())) == sorted(map(tuple, found.collect()))
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, lookup(asked, docs, {}, bloom=False).collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_bloom_filter(spark):
+    from ledgerloom.operators.bloom import only_near
+
+    rows, keys = spark.range(20000).selectExpr("cast(id AS string) AS k", "id"), spark.range(0, 20000, 100).selectExpr("cast(id AS string) AS a")
+    near = only_near(rows, "k", keys.unionByName(keys.limit(1).selectExpr("cast(null AS string) AS a")), "a", bits=1 << 14)
+    got = {r.id for r in near.collect()}
+    assert set(range(0, 20000, 100)) <= got and len(got) < 200 + 0.01 * 20000
+    assert only_near(rows, "k", keys.limit(0), "a", bits=1 << 10).count() == 0
+    assert only_near(rows, "k", rows, "k", bits=64).count() == 20000  # overfull, and still right
+
+
+def test_digest_tree(spark, tmp_path):
+    from ledgerloom.operators.digests import tree_diff, write_tree
+    from ledgerloom.operators.relational import hash_diff
+
+    rows = [(f"{p:03d}{i:02d}0001000190", f"h{i}") for p in range(6) for i in range(40)]
+    states = [rows, [*rows[:50], (rows[50][0], "other"), *rows[51:]], rows[::-1], [*rows[1:], ("00500", None), ("x", "y")]]
+    frames = [spark.createDataFrame(x, "cnpj string, content_hash string") for x in states]
+    for i, f in enumerate(frames):
+        write_tree(f, str(tmp_path / f"s{i}"))
+    path = lambda i: str(tmp_path / f"s{i}")
+    for i, j in ((0, 1), (0, 3), (3, 1), (1, 1)):
+        assert sorted(map(tuple, tree_diff(spark, path(i), path(j)).collect()), key=str) == sorted(map(tuple, hash_diff(frames[i], frames[j]).collect()), key=str)
+    one = tree_diff(spark, path(0), path(1))
+    assert [r.cnpj for r in one.collect()] == [rows[50][0]]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("dynamicpruning") >= 2
+    read = sum(int(m.value()) for m in _metrics(one, "numFiles"))
+    assert 0 < read <= 8  # digests of both states and the files of one prefix, of six
+    assert tree_diff(spark, path(0), path(2)).isEmpty()
+
+
+def _metrics(df, name):
+    """Metrics of the scans that a query ran, of one prefix at most if pruned."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.metrics().contains(name) and "PartitionFilters: [isnotnull(prefix" in node.toString().split("\n")[0]:
+            found.append(node.metrics().apply(name))
+        kids = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else [node.children().apply(i) for i in range(node.children().size())]
+        todo += kids
+    return found
 
 
 def test_json_rules(spark):
