@@ -48,6 +48,47 @@ def file_artifacts(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
     return files.select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5")).orderBy("path")
 
 
+def shard_pieces(spark: SparkSession, path: str, prefix: str = "prefix") -> DataFrame:
+    """(prefix, piece, file, bytes, md5) of the files that ``write_shard_pieces`` wrote; pieces count from 0 in each shard."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    shard = F.url_decode(F.regexp_extract("path", f"/{prefix}=([^/]*)/[^/]*$", 1))
+    placed = files.select(shard.alias(prefix), name.alias("file"), F.col("length").alias("bytes"), F.md5("content").alias("md5"))
+    return placed.withColumn("piece", F.row_number().over(Window.partitionBy(prefix).orderBy("file")) - 1).select(prefix, "piece", "file", "bytes", "md5")
+
+
+def shard_checksums(pieces: DataFrame, prefix: str = "prefix") -> DataFrame:
+    """(prefix, pieces, bytes, checksum): the checksum is the MD5 of the list of the pieces' digests, each on a line, so no task holds a shard."""
+    listed = F.array_sort(F.collect_list(F.struct("piece", "md5")))
+    return pieces.groupBy(prefix).agg(F.count("*").alias("pieces"), F.sum("bytes").alias("bytes"), F.md5(F.concat(F.array_join(F.transform(listed, lambda x: x["md5"]), "\n"), F.lit("\n"))).alias("checksum"))
+
+
+def file_lines(spark: SparkSession, path: str, prefix: str = "prefix", json_key: str = "$.cnpj") -> DataFrame:
+    """(prefix, key, offset, length) of every line of shard files as they are on disk, offsets running over a shard's files in order of their
+    names. The key is the one that the line's document names. Lines are shuffled by file, without their text."""
+    read = spark.read.schema(f"value string, {prefix} string").option("lineSep", "\n").text(path)
+    lines = read.select(
+        prefix, F.col("_metadata.file_name").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"), F.get_json_object("value", json_key).alias("key"), (F.octet_length("value") + 1).cast("long").alias("length")
+    )
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    here = F.coalesce(F.sum("length").over(before(Window.partitionBy(prefix, "file").orderBy("at"))), F.lit(0))
+    starts = lines.groupBy(prefix, "file").agg(F.sum("length").alias("bytes"))
+    starts = starts.select(F.col(prefix).alias("__p"), F.col("file").alias("__f"), F.coalesce(F.sum("bytes").over(before(Window.partitionBy(prefix).orderBy("file"))), F.lit(0)).alias("start"))
+    placed = lines.withColumn("here", here).join(starts, F.col(prefix).eqNullSafe(F.col("__p")) & (F.col("file") == F.col("__f")))
+    return placed.select(prefix, "key", (F.col("start") + F.col("here")).alias("offset"), "length")
+
+
+def verify_files(index: DataFrame, lines: DataFrame, prefix: str = "prefix", key: str = "key") -> DataFrame:
+    """(fault, prefix, key, offset) of every difference between an index and the lines on disk (``file_lines``): no_line (nothing begins at
+    the offset), unindexed (a line that no entry points to), wrong_length and wrong_key (another document, or none, at the offset)."""
+    a = index.select(F.col(prefix).alias("p"), F.col("offset").alias("o"), F.col(key).alias("k"), F.col("length").alias("n"))
+    b = lines.select(F.col(prefix).alias("q"), F.col("offset").alias("at"), F.col("key").alias("named"), F.col("length").alias("size"))
+    both = a.join(b, F.col("p").eqNullSafe(F.col("q")) & (F.col("o") == F.col("at")), "full")
+    fault = F.when(F.col("at").isNull(), F.array(F.lit("no_line"))).when(F.col("o").isNull(), F.array(F.lit("unindexed")))
+    fault = fault.otherwise(F.array_compact(F.array(F.when(F.col("n") != F.col("size"), "wrong_length"), F.when(~F.col("k").eqNullSafe(F.col("named")), "wrong_key"))))
+    return both.select(F.explode(fault).alias("fault"), F.coalesce("p", "q").alias(prefix), F.coalesce("k", "named").alias(key), F.coalesce("o", "at").alias("offset"))
+
+
 def verify_shards(index: DataFrame, documents: DataFrame | None = None, prefix: str = "prefix", key: str = "key", counts: DataFrame | None = None, json_key: str = "$.cnpj", span: int = SPAN) -> DataFrame:
     """(fault, prefix, key) of everything that a reader of the index would trip over; no rows if all is well.
 

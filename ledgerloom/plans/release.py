@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import changes, manifest, quality, shards
 from ..operators.relational import carry_forward as carry
-from ..sources import readers
-from .base import FLAT_SQL, ORDERS_SQL, PREFIX_AT, flat_orders, order_keys, query, table
+from ..sources import readers, writers
+from .base import FLAT_SQL, ORDERS_SQL, PREFIX_AT, flat_orders, order_keys, query, scratch, table
 from .tables import DOCUMENTS_SQL, FIRST_SQL, WORKS_SQL, first_like, order_documents, works_like
 
 NOW = "2024-01-31T00:00:00Z"
@@ -41,6 +41,45 @@ def shard_artifact_summary(spark, sf_dir):
     return shards.shard_artifact_summary(order_documents(spark, sf_dir))
 
 
+@query(f"SELECT prefix, value FROM {DOCUMENTS_SQL}")
+def shard_pieces_roundtrip(spark, sf_dir):
+    """Shards in pieces hold every document; ``verify_files`` finds nothing wrong with them."""
+    docs, path = order_documents(spark, sf_dir), scratch(spark)
+    writers.write_shard_pieces(docs, path)
+    faults = shards.verify_files(shards.shard_index(docs, stretch=PREFIX_AT - 1), shards.file_lines(spark, path))
+    lines = readers.read_shard_lines(spark, path).select("prefix", "value")
+    return lines.unionByName(faults.select("prefix", F.col("fault").alias("value")))
+
+
+@query(f"SELECT prefix, CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes, count(*) AS records FROM {DOCUMENTS_SQL} GROUP BY prefix")
+def shard_pieces_bytes(spark, sf_dir):
+    """Bytes of the pieces of each shard, and of the lines that they hold."""
+    path = scratch(spark)
+    writers.write_shard_pieces(order_documents(spark, sf_dir), path, 12)
+    sums = shards.shard_checksums(shards.shard_pieces(spark, path)).select("prefix", "bytes")
+    return sums.join(shards.file_lines(spark, path).groupBy("prefix").agg(F.count("*").alias("records")), "prefix")
+
+
+@query(
+    f"""WITH i AS (SELECT *, ordinal = max(ordinal) OVER (PARTITION BY prefix) AS last FROM {INDEX_SQL})
+SELECT 'wrong_length' AS fault, prefix, key, "offset" FROM i WHERE prefix = '07' AND ordinal = 3
+UNION ALL SELECT 'no_line', prefix, key, "offset" FROM i WHERE prefix = '07' AND ordinal > 3 UNION ALL SELECT 'unindexed', prefix, key, "offset" + 1 FROM i WHERE prefix = '07' AND ordinal > 3
+UNION ALL SELECT 'no_line', prefix, key, "offset" FROM i WHERE prefix = '05' AND last
+UNION ALL SELECT 'wrong_key', prefix, key, "offset" FROM i WHERE prefix = '03' AND ordinal = 2"""
+)
+def verify_written_files(spark, sf_dir):
+    """Files with a line that a byte was put into, so that all after it are shifted, a shard that was cut off, and a line of another document."""
+    docs, path = order_documents(spark, sf_dir), scratch(spark)
+    index = shards.shard_index(docs, stretch=PREFIX_AT - 1)
+    last = F.max("ordinal").over(Window.partitionBy("prefix"))
+    at = index.withColumn("last", F.col("ordinal") == last).select(F.col("prefix").alias("p"), F.col("key").alias("k"), "ordinal", "last")
+    placed = docs.join(at, (F.col("prefix") == F.col("p")) & (F.col("key") == F.col("k")))
+    value = F.when((F.col("p") == "07") & (F.col("ordinal") == 3), F.concat("value", F.lit(" "))).when((F.col("p") == "03") & (F.col("ordinal") == 2), F.regexp_replace("value", '"cnpj":"0', '"cnpj":"9'))
+    spoilt = placed.where("NOT (p = '05' AND last)").select("prefix", "key", F.coalesce(value, "value").alias("value"))
+    writers.write_shard_pieces(spoilt, path)
+    return shards.verify_files(index, shards.file_lines(spark, path))
+
+
 _FAULTY_SQL = f"""(SELECT prefix, CASE WHEN prefix = '03' AND ordinal = 4 THEN '00000000000000' WHEN prefix = '05' AND ordinal = 2
 THEN (SELECT key FROM {INDEX_SQL} x WHERE x.prefix = '05' AND x.ordinal = 1) ELSE key END AS key, ordinal, "offset" + CASE WHEN prefix = '07' AND ordinal >= 3 THEN 5 ELSE 0 END AS "offset", length FROM {INDEX_SQL})"""
 

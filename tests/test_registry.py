@@ -1,5 +1,6 @@
 """CSV to Parquet to document, in the shapes of the registry with invented values."""
 
+import hashlib
 import json
 
 import pytest
@@ -275,6 +276,26 @@ def _metrics(df, name):
     return found
 
 
+def test_large_shards_are_written_in_pieces(spark, tmp_path):
+    from ledgerloom.operators import shards
+
+    rows = [("hot" if i % 12 else f"p{i % 36}", f"{i:014d}", json.dumps({"cnpj": f"{i:014d}", "v": "é" * (i % 7)}, ensure_ascii=False)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "prefix string, key string, value string").repartition(4)
+    writers.write_shard_pieces(docs, str(tmp_path / "s"), 12)
+    pieces = {(r.prefix, r.piece): r for r in shards.shard_pieces(spark, str(tmp_path / "s")).collect()}
+    hot = [r for r in pieces.values() if r.prefix == "hot"]
+    total = sum(r.bytes for r in hot)
+    assert 9 <= len(hot) <= 13 and max(r.bytes for r in hot) < 2.5 * total / len(hot)
+    sums = {r.prefix: r for r in shards.shard_checksums(shards.shard_pieces(spark, str(tmp_path / "s"))).collect()}
+    for p in {r[0] for r in rows}:
+        text = "".join(v + "\n" for q, _, v in sorted(rows) if q == p).encode()
+        files = [(tmp_path / "s" / f"prefix={p}" / pieces[p, k].file).read_bytes() for k in range(sums[p].pieces)]
+        assert b"".join(files) == text and sums[p].bytes == len(text)
+        assert sums[p].checksum == hashlib.md5("".join(hashlib.md5(f).hexdigest() + "\n" for f in files).encode()).hexdigest()
+    index = shards.shard_index(docs)
+    assert shards.verify_files(index, shards.file_lines(spark, str(tmp_path / "s"))).isEmpty()
+
+
 def test_json_rules(spark):
     from ledgerloom.operators import quality
 
