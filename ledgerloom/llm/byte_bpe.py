@@ -27,7 +27,7 @@ from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Rows handled at once, and distinct pieces of text remembered by a worker: both bound memory only.
-ROWS, REMEMBERED = 128, 500_000
+ROWS, REMEMBERED = 128, 250_000
 
 
 def byte_alphabet() -> str:
@@ -85,7 +85,7 @@ class ByteBpe:
         self.sizes = np.fromiter(map(len, self.tokens), np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.gaps = re.compile(r"\s\s").search
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
@@ -93,18 +93,18 @@ class ByteBpe:
         rest = []
         for w in words:
             if (i := self.whole.get(w.encode("utf-8"))) is not None:
-                self.known[w] = (i,)
+                self.known[w] = struct.pack("<i", i)
             else:
                 rest.append(w)
         spelt = [w.encode("utf-8").decode("latin-1").translate(self.to_piece) for w in rest]
         for w, ids in zip(rest, self.model.encode(spelt, num_threads=1) if rest else ()):
-            self.known[w] = tuple(ids)
+            self.known[w] = struct.pack(f"<{len(ids)}i", *ids)
 
     def _ids(self, parts: list[list[str]]) -> list[bytes]:
         """Little-endian ids of texts that have been cut into pre-tokens."""
         if new := set(chain.from_iterable(parts)).difference(self.known):
             self._learn(new)
-        return [np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), "<i4").tobytes() for words in parts]
+        return [b"".join(map(self.known.__getitem__, words)) for words in parts]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of each whole text; null is empty.
