@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..operators import changes, quality
+from ..operators import changes, incremental, quality
 from ..operators.documents import entity_documents as documents
 from ..operators.documents import entity_rows
 from ..operators.modules import carriers_module, works_module
@@ -143,6 +143,32 @@ def registry_documents(spark, sf_dir):
     return documents(registry_tables(spark, sf_dir))
 
 
+@query(_document_sql())
+def bucketed_documents(spark, sf_dir):
+    """The same documents from tables bucketed by (prefix, key): their joins need no exchange."""
+    tables = registry_tables(spark, sf_dir)
+    for t in incremental.LARGE:
+        path = scratch(spark)
+        name = "bucketed_" + path.rpartition("-")[2]
+        writers.write_bucketed(tables[t].drop("cnpj_prefix"), name, "cnpj_basico", int(spark.conf.get("spark.sql.shuffle.partitions")), path=path)
+        tables[t] = spark.table(name)
+    return documents(tables)
+
+
+@query(_document_sql())
+def incremental_documents(spark, sf_dir):
+    """Documents of an older state, brought up to date by making the touched prefixes again: equal to making all of them."""
+    new = registry_tables(spark, sf_dir)
+    touched = F.col("cnpj_prefix").isin("100", "210", "321")
+    old = dict(new)
+    old["empresa"] = new["empresa"].withColumn("razao_social", F.when(touched, F.concat(F.lit("old "), "razao_social")).otherwise(F.col("razao_social")))
+    old["socio"] = new["socio"].where("cnpj_prefix <> '400' OR faixa_etaria <> '3'")
+    old["estabelecimento"] = new["estabelecimento"].where("cnpj_prefix <> '501' OR uf = 'SP'")
+    path = scratch(spark)
+    documents(old).write.parquet(path)
+    return incremental.regenerate(spark.read.schema("prefix string, key string, value string").parquet(path), old, new)[0]
+
+
 _FAULTS_SQL = """SELECT 'data_inicio_atividade:pattern' AS rule, count(*) AS n FROM d WHERE value->>'$.data_inicio_atividade' = 'junk'
 UNION ALL SELECT 'data_opcao_mei:pattern' AS rule, count(*) AS n FROM d WHERE value->>'$.data_opcao_mei' = '0'
 UNION ALL SELECT 'cnaes_secundarios[]:too_long' AS rule, count(*) AS n FROM d WHERE len(list_filter(CAST(value->'$.cnaes_secundarios' AS VARCHAR[]), lambda x: length(x) > 7)) > 0
