@@ -18,6 +18,23 @@ def nest_children(df: DataFrame, keys: list[str], fields: list[Column | str], na
     return nested.withColumn(name, F.transform(name, lambda x: x["__child"]))
 
 
+def nest_pieces(df: DataFrame, keys: list[str], fields: list[Column | str], most: int, name: str = "children", sort_by: list[str] | None = None) -> DataFrame:
+    """(keys, ``piece``, children): a key's children in rows of at most ``most``, which follow one another by ``piece`` (0, 1, ...).
+
+    No key is one task's work: the children of all keys are cut into ranges by key and order, so a hot one is sorted, numbered and nested by several tasks.
+    The order is that of ``nest_children``; equal children may be any number.
+    """
+    order = F.struct(*(sort_by or []), F.struct(*fields).alias("__child")).alias("__row")
+    rows = df.select(*keys, order)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the row's own number last, so that equal children are cut too
+    ranged = rows.withColumn("__id", F.monotonically_increasing_id()).repartitionByRange(n, *keys, "__row", "__id").withColumn("__range", F.spark_partition_id())
+    at = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy("__row", "__id")) - 1
+    cut = ranged.withColumn("__cut", F.floor(at / most)).groupBy(*keys, "__range", "__cut").agg(F.array_sort(F.collect_list("__row")).alias(name))
+    piece = F.row_number().over(Window.partitionBy(*keys).orderBy("__range", "__cut")) - 1  # a row a piece
+    return cut.select(*keys, piece.alias("piece"), F.transform(name, lambda x: x["__child"]).alias(name))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key; nulls come last in the order."""
     by = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]

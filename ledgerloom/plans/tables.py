@@ -285,6 +285,15 @@ def _diff_sql(previous: str) -> str:
 p.content_hash AS previous_hash, c.content_hash AS current_hash FROM {previous} p FULL JOIN curr c ON p.cnpj = c.cnpj WHERE p.content_hash IS DISTINCT FROM c.content_hash"""
 
 
+@query("SELECT o_orderstatus, count(*) AS n, md5(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey)) AS children, true AS bounded FROM orders GROUP BY o_orderstatus")
+def children_pieces(spark, sf_dir):
+    """All orders of a status, of which one has half of them, in pieces of at most 500; joined in order they are all of them."""
+    pieces = R.nest_pieces(table(spark, sf_dir, "orders"), ["o_orderstatus"], ["o_orderkey"], 500)
+    short = pieces.select("o_orderstatus", "piece", F.size("children").alias("k"), F.array_join(F.transform("children", lambda x: x["o_orderkey"].cast("string")), ",").alias("text"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "text"))), lambda x: x["text"]), ",")
+    return short.groupBy("o_orderstatus").agg(F.sum("k").alias("n"), F.md5(whole).alias("children"), (F.max("k") <= 500).alias("bounded"))
+
+
 @query(_diff_sql("prev"))
 def hash_diff(spark, sf_dir):
     return R.hash_diff(*hash_states(spark, sf_dir))

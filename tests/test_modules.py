@@ -177,3 +177,20 @@ def test_keyed_stream_over_many_batches(spark, tmp_path):
     stream_keyed_changes(spark, source, lambda df: df, schema, str(tmp_path / "feed2"), str(tmp_path / "cp2"), files_a_batch=1)
     again = sorted((r.cnpj, r.change, str(r.content_hash)) for r in spark.read.parquet(str(tmp_path / "feed2") + "/batch=*").collect())
     assert again == sorted((r.cnpj, r.change, str(r.content_hash)) for r in spark.read.parquet(f"{feed}/batch=*").collect())
+
+
+def test_hot_keys_are_nested_in_pieces(spark):
+    from ledgerloom.operators.relational import nest_children, nest_pieces
+
+    df = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 100 > 0 THEN concat('k', id % 40) END AS k", "CASE WHEN id % 7 > 0 THEN id % 500 END AS v")
+    pieces = nest_pieces(df, ["k"], ["v"], 64, sort_by=["v"])
+    got = {}
+    for r in pieces.orderBy("piece").collect():
+        assert 0 < len(r.children) <= 64 and r.piece == got.setdefault(r.k, [0, []])[0]
+        got[r.k][0] += 1
+        got[r.k][1] += [c.v for c in r.children]
+    want = {r.k: [c.v for c in r.children] for r in nest_children(df, ["k"], ["v"], sort_by=["v"]).collect()}
+    assert {k: v for k, (_, v) in got.items()} == want
+    # ranges of key and order, not keys, are dealt to tasks
+    assert "rangepartitioning(k" in pieces._jdf.queryExecution().executedPlan().toString() and got["hot"][0] >= 3000 / 64
+    assert nest_pieces(df.limit(0), ["k"], ["v"], 5).count() == 0
