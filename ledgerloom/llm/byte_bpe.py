@@ -147,7 +147,8 @@ def codec(path: str) -> ByteBpe:
 def encode_decode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns of ``docs`` plus ids array<int> and decoded binary (the bytes those ids stand for).
 
-    A null or empty text has no ids and decodes to nothing. Rows are independent: repeated ones give the same ids.
+    A null or empty text has no ids and decodes to nothing. Rows are independent: repeated ones give the same ids. Very long texts are encoded
+    whole, in the memory of one row. An empty table gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -161,7 +161,8 @@ def license_scan(docs: DataFrame, known=None, digests=DIGESTS) -> DataFrame:
 
     license_id: the known licence that the entire text is, else null. notices: names of known licences or notices that
     whole lines or paragraphs are, sorted, joined by commas ('' if none). A null or empty text, and one of
-    punctuation alone, has the digest of an empty form and no licence. Repeated rows give equal results.
+    punctuation alone, has the digest of an empty form and no licence. Repeated rows give equal results. Very long texts are read whole; an
+    empty table gives none.
     """
     # a fixed list of licences: its digests fit in a broadcast
     table_ = F.broadcast(known_digests(docs.sparkSession, known, digests))

@@ -34,7 +34,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
     Sources by code point, null last, weigh ``weights`` in turn and share ``share`` of all sizes; a target stops at
     ``most`` times its source and the excess is shared again by weight. That ends where every open source gets
-    the same amount for its weight: the level found by taking sources in order of size for weight.
+    the same amount for its weight: the level found by taking sources in order of size for weight. One task orders all sources,
+    so there may be millions of them (as of hosts) but not as many as documents.
     """
     everyone = Window.partitionBy()  # one row a source
     rank = F.row_number().over(everyone.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -141,6 +142,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     size: words of the whole text (null: 0). copies: 0, 1 or 2; taken = copies * size. Null is a source of its own,
     last. A source whose texts hold no word has target 0 and copies 0. Repeated rows are separate units of the
     sample, dealt to the chunks in turn. The draws depend on doc_id, text and chunk alone, so reruns agree. An empty table gives no rows.
+    Very long texts are units like others, so a source's words come within about one of its documents of the target.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = written(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", size.alias("size")))

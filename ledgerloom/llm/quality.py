@@ -243,7 +243,7 @@ def quality_rules(docs: DataFrame, least_rows: int = LEAST_ROWS, tail: float = T
     base rules. Any other is rejected if its transformed statistics are beyond the chi-square limit from the
     estimate of its language and source (of its language, or of all, where those have too few rows; null is a
     language or source of its own); ``level`` says which: pair, language, all, or none. Without enough rows for any estimate (an empty or tiny table) only the base
-    rules apply. Repeated rows get equal verdicts.
+    rules apply. Repeated rows get equal verdicts. Very long texts are counted whole. A distance of exactly the limit is kept.
     """
     stats = written(document_statistics(docs))
     alive = stats.where("NOT base_failed")

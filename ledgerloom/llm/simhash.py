@@ -139,7 +139,8 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     Texts whose fingerprints differ in two bits or fewer are linked; a component is named by its smallest
     doc_id, and that row is kept. Null, empty and blank texts share fingerprint zero and are linked to each
     other. Texts of fewer than three words hash as a whole. Rows that repeat a doc_id share its component;
-    a null doc_id joins its component but never names it, unless all of it is null. An empty table gives no rows.
+    a null doc_id joins its component but never names it, unless all of it is null. An empty table gives no rows. Very long texts are
+    hashed whole. A bit that half of the hashes have, no more, is 0.
     """
     prints = written(fingerprints(docs))
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumnRenamed("fp", "node"))

@@ -246,7 +246,8 @@ def _one_text(rows: DataFrame) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``score`` of ``docs`` under the model for ``docs`` and ``labels``."""
+    """``score`` of ``docs`` under the model for ``docs`` and ``labels``. Very long texts are scored whole; a P(toxic) of exactly the limit counts as toxic.
+    An empty table gives none, and without labels nothing is toxic."""
     return score(docs, model_for(docs, labels))
 
 

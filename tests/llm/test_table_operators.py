@@ -68,7 +68,7 @@ def test_embeddings_against_brute_force(spark, monkeypatch, block, sifted):
 
 
 def test_decoding_lists_every_filter():
-    f = embeddings.Filters(16, 1 << 17, tables=2, passes=500)
+    f = embeddings.Filters(16, 1 << 17, tables=2, passes=500, blocks=4)
     assert f.blocks == 4
     x = np.random.default_rng(0).standard_normal((3, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
