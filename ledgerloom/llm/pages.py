@@ -6,9 +6,9 @@ don't. Copies of a page are one page there. The alignments also tell which boxes
 template: where neighbours share a box at all, they share it whole, while articles share a quotation at most. So a box
 of changing text, such as an advert, goes where the alignments show its like to be template.
 
-Articles, menus, headers, footers, asides and forms are boxes like others. What markup says of a box, by its tag or a class name, counts as a
-few alignments: so it settles boxes of which the alignments show nothing or both, and only scripts, styles and hidden elements are left
-out unseen. Each page tells how much of its text was judged by either.
+Articles, menus, headers, footers, asides and forms are boxes like others, and only scripts, styles and hidden elements are left out unseen.
+A class name counts as a few alignments. A tag that says what a box is settles it where the alignments show nothing, both, or the opposite
+(near copies share their articles, and menus of a few changing words share little). Each page tells how much of its text was judged by either.
 """
 
 from __future__ import annotations
@@ -337,7 +337,8 @@ def _template(evidence: DataFrame, cells: DataFrame) -> DataFrame:
     weight = F.when(common, SHARED).otherwise(PRIOR)
     close = (s + weight * wide) / (n + weight)
     in_box = ~F.col("region").endswith(":")
-    template = F.when(in_box, close >= 0.5).otherwise(belief >= 0.5)
+    tagged = F.col("region").startswith(TAGGED) | F.col("region").startswith(ARTICLE)
+    template = F.when(in_box & ~tagged, close >= 0.5).otherwise(belief >= 0.5)
     # the host's evidence is part of that for all
     seen_n, seen_s = F.greatest(n, all_n), F.when(all_n > 0, all_s).otherwise(s)
     told = in_box & (seen_n > PRIOR) & ((seen_s / seen_n >= 0.5) == template)
