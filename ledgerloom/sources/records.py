@@ -15,11 +15,27 @@ from pyspark.sql import types as T
 BUCKET, LONGEST = 4096, 10_000
 
 
+#: Encodings that ``decode`` takes in any session.
+PLAIN = ("iso-8859-1", "us-ascii", "utf-8")
+
+
+def _decoded(data: Column, encoding: str) -> Column:
+    """The text of ``data``, whatever the session's settings. Other encodings than ``PLAIN`` must have a byte a character; a byte that is none there becomes U+FFFD."""
+    name = encoding.lower()
+    if name in PLAIN:
+        return F.decode(data, name)
+    if not name.startswith(("windows-125", "iso-8859-")):
+        raise ValueError(f"not an encoding of a byte a character: {encoding}")
+    other = {chr(i): bytes([i]).decode(name, "replace") for i in range(256)}
+    differ = {a: b for a, b in other.items() if a != b}
+    return F.translate(F.decode(data, "iso-8859-1"), "".join(differ), "".join(differ.values()))
+
+
 def _lines(spark: SparkSession, paths: str | list[str], encoding: str, pattern: str) -> DataFrame:
     """(file, block, pos, text) of every physical line; ``pos`` ascends in a split."""
     read = spark.read.options(lineSep="\n", pathGlobFilter=pattern, recursiveFileLookup=True).text(paths)
     return read.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.decode(F.col("value").cast("binary"), encoding).alias("text")
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), _decoded(F.col("value").cast("binary"), encoding).alias("text")
     )
 
 

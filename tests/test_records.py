@@ -70,3 +70,17 @@ def test_side_files(spark, tmp_path, small_splits):
     assert sorted(got) == sorted(want)
     (tmp_path / "d.csv").write_text('"a\nb";"c"\n')  # a header alone, over two lines
     assert readers.side_records(spark, str(tmp_path / "d.csv"), "a b", ";")[0].count() == 0
+
+
+def test_single_bytes_in_any_session(spark, tmp_path):
+    data = bytes(i for i in range(1, 256) if chr(i) not in '\n\r"')
+    (tmp_path / "a.csv").write_bytes(data + b"\n")
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        for encoding in ("windows-1252", "iso-8859-1"):
+            assert [r.value for r in records.csv_records(spark, str(tmp_path), encoding).collect()] == [data.decode(encoding, "replace")]
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", before)
+    with pytest.raises(ValueError):
+        records.csv_records(spark, str(tmp_path), "utf-16")
