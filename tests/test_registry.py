@@ -383,3 +383,35 @@ def test_rest_works_without_the_corpus_operators(tmp_path):
         shutil.copytree(root, tmp_path / name, ignore=shutil.ignore_patterns(".git", "__pycache__", *(g.rpartition("/")[2] for g in gone)))
         code = "import __spark_entry__ as e; q = e.queries(); assert 'registry_documents' in q and not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
         subprocess.run([sys.executable, "-c", code], cwd=tmp_path / name, check=True, timeout=120)
+
+
+def test_shared_lists_are_judged_as_parts_of_documents(spark):
+    from ledgerloom.operators import quality
+    from ledgerloom.plans.registry import _filled
+
+    tree = quality.ENTITY_TREE
+    good = json.dumps(json.loads(_filled(tree)) | {"cnpj": "1" * 14}, separators=(",", ":"))
+    doc = json.loads(good)
+    people = doc.pop("QSA")
+    head = json.dumps(doc, separators=(",", ":"))[:-1]
+    qsa = json.dumps(people, separators=(",", ":"))
+    at = lambda h=head, q=qsa, end="}": f'{h},"QSA":{q}{end}'
+    long_uf = head.replace('"uf":""', '"uf":"ABC"')
+    texts = [at(), at(), at(q="[]"), at(long_uf), at(q=qsa.replace('"faixa_etaria"', '"age"')), at(long_uf, "[3]"), at(q="[1,]"), at(long_uf, "[{]"), at(end="}}"), at(end=""), at(end=' }'), at(q='[{"nome_socio":"a]}"}]')]
+    texts += [at(q=qsa + ',"x":1'), at(q=qsa + ',"uf":"SP"'), at(head + ',"QSA":[]'), at(head + ',"QSA" :[]'), '{,"QSA":[]}', ' { ,"QSA":[]}', '[1,"QSA":[]}', '{"a":{"b":1,"QSA":[]}', '{"a":{"b":1,"QSA":[1]}}', '{"a":"x,"QSA":[]}', '{"a":"x,\\"QSA\\":[]}"}', at(head[:-1]), at(q='{}'), at(q='{},"was":[]'), "{}", "", None]
+    texts += [at(head.replace('"nome_fantasia":""', '"nome_fantasia":"é\\u00e9\\u0000"')), at(long_uf.replace('"email":""', '"email":null')), at(q='["é]"]'), at(q='[{"nome_socio":"' + "ü" * 201 + '"}]')]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got, want = ({r.rule: r.n for r in quality.json_report(df, "value", tree, shared).collect()} for shared in ("QSA", None))
+    assert got == want and want[":no_object"] > 10 and want["QSA[].age:unknown"] == 1 and want["uf:too_long"] == 3
+    one = lambda t, shared: sorted(r.rule for r in quality.json_report(spark.createDataFrame([(t,)], "value string"), "value", tree, shared).collect())
+    assert one(at(q="[1,]"), "QSA") == [":no_object"] and one(at(), "QSA") == []
+
+
+def test_conformance_parses_a_shared_list_once(spark, sf_dir):
+    from ledgerloom.plans import catalog
+
+    plan = catalog.QUERIES["registry_conformance"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "contains(" in plan.lower() and "from_json" in plan.lower()
+    text = catalog.QUERIES["registry_documents"](spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+    # partners become text below the joins
+    assert text.index("Join") < text.rindex("to_json(")
