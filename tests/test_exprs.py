@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -106,3 +108,13 @@ def test_white_space_around_keys(spark):
     assert [r[0] for r in rows(spark, texts, X.key_reason("c", "pattern"))] == ["ok", "ok", "empty", "bad_character"]
     assert [r[0] for r in rows(spark, texts, X.normalize_key("c"))][2] == ""
     assert [r[0] for r in rows(spark, texts, X.key_reason("c", "format"))][0] == "bad_character"
+
+
+def test_pattern_validity_is_small_and_equals_its_reason(spark):
+    texts = ["12.345.678/0001-90", " 12345678000190\t", "\u00a012ABC34501DE35\u2003", "12abc34501de35", "12 345678000190", "1234567800019A", "ß2345678000190", "ß234567800019", ".-/", " ", "", None, "1234567800019٣", "12345678000190\n", "\n12345678000190", ". .", "1" * 13, "1" * 15, "12345678000190\x1c"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    for r in df.select("raw", X.is_valid_key("raw", "pattern").alias("valid"), X.key_reason("raw", "pattern").alias("reason"), X.trimmed("raw").alias("t"), X.normalize_key("raw").alias("key")).collect():
+        assert r.valid == (r.reason == "ok"), r
+        assert r.t is None if r.raw is None else r.t == r.raw.strip() or "\x1c" in r.raw
+        assert r.key == ("" if not (r.raw or "").strip() else re.sub("[./-]", "", r.raw).upper()) or "\x1c" in (r.raw or "")
+    assert str(X.is_valid_key("raw", "pattern")).count("raw") == 2
