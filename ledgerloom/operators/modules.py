@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.exprs import KEY_LENGTH, clean_identifier, code_struct, content_hash, key_prefix, or_empty, truth
-from .relational import first_per_key, nest_children, union_distinct
+from ..functions.exprs import KEY_LENGTH, clean_identifier, content_hash, json_objects, json_text, json_values, key_prefix, label, or_empty, truth
+from .relational import first_per_key, nest_children
 
 
 @dataclass(frozen=True)
@@ -48,11 +48,18 @@ class Module(Protocol):
     def build(self, spark: SparkSession, context: Context) -> DataFrame: ...
 
 
-def module_rows(df: DataFrame, payload: list[Column], updated_at: str, key: str = "cnpj", prefix_length: int = 3, prefix_start: int = 1) -> DataFrame:
-    """The six columns, and ``stable_hash``: the hash of the payload without its time, which a mere refresh leaves as it is."""
+def module_rows(df: DataFrame, payload: list[Column] | Column, updated_at: str, key: str = "cnpj", prefix_length: int = 3, prefix_start: int = 1) -> DataFrame:
+    """The six columns, and ``stable_hash``: the hash of the payload without its time, which a mere refresh leaves as it is. ``payload``: its fields, or the
+    text of them as members of a JSON object."""
     time = F.lit(updated_at)
-    text = lambda *f: F.to_json(F.struct(*f), {"ignoreNullFields": "false"})
-    out = df.select(F.col(key).alias("cnpj"), key_prefix(key, prefix_length, prefix_start).alias("cnpj_prefix"), text(time.alias("updated_at"), *payload).alias("payload_json"), F.md5(text(*payload)).alias("stable_hash"))
+    if isinstance(payload, list):
+        whole, stable = json_text(time.alias("updated_at"), *payload), json_text(*payload)
+    else:
+        df = df.select(key, payload.alias("__members"))
+        head = F.expr("left(__head, length(__head) - 1)")
+        df = df.withColumn("__head", json_text(time.alias("updated_at")))
+        whole, stable = F.concat(head, F.lit(","), F.col("__members"), F.lit("}")), F.concat(F.lit("{"), F.col("__members"), F.lit("}"))
+    out = df.select(F.col(key).alias("cnpj"), key_prefix(key, prefix_length, prefix_start).alias("cnpj_prefix"), whole.alias("payload_json"), F.md5(stable).alias("stable_hash"))
     return out.select("cnpj", "cnpj_prefix", "payload_json", content_hash("payload_json").alias("content_hash"), time.alias("source_updated_at"), time.alias("module_updated_at"), "stable_hash")
 
 
@@ -62,23 +69,35 @@ def _owners(df: DataFrame) -> DataFrame:
     return df.select(key.alias("cnpj"), F.col("cno").alias("cno")).where(F.length("cnpj") == KEY_LENGTH)
 
 
+#: Fields of a work as they are published: the name, the name and its column, or a code's name and its list.
+_WORK = (
+    *("cno", "nome", "nome_empresarial", ("situacao", labels.WORK_STATUS), "data_inicio", "data_inicio_responsabilidade", "data_registro", "data_situacao", "cep"),
+    *(("uf", "estado"), "codigo_municipio", ("municipio", "nome_municipio"), "tipo_logradouro", "logradouro", ("numero", "numero_logradouro"), "bairro", "complemento"),
+    *("unidade_medida", "area_total", "cno_vinculado", "codigo_pais", ("pais", "nome_pais"), ("qualificacao_responsavel", labels.WORK_ROLE), "codigo_localizacao"),
+)
+
+
 def works_module(works: DataFrame, links: DataFrame, updated_at: str, prefix_length: int = 3) -> DataFrame:
-    """Construction works by responsible company: from the works themselves and from links to known works."""
-    owners = union_distinct(_owners(works), _owners(links))
-    names = {"uf": "estado", "municipio": "nome_municipio", "numero": "numero_logradouro", "pais": "nome_pais"}
-    text = lambda *ns: [or_empty(names.get(n, n)).alias(n) for n in ns]
-    fields = [
-        *text("cno", "nome", "nome_empresarial"),
-        code_struct("situacao", labels.WORK_STATUS).alias("situacao"),
-        *text("data_inicio", "data_inicio_responsabilidade", "data_registro", "data_situacao", "cep", "uf", "codigo_municipio", "municipio"),
-        *text("tipo_logradouro", "logradouro", "numero", "bairro", "complemento", "unidade_medida", "area_total", "cno_vinculado", "codigo_pais", "pais"),
-        code_struct("qualificacao_responsavel", labels.WORK_ROLE).alias("qualificacao_responsavel"),
-        *text("codigo_localizacao"),
-    ]
-    joined = owners.join(works, "cno").select("cnpj", "cno", F.struct(*fields).alias("obra"))
-    nested = nest_children(joined, ["cnpj"], [F.col("obra")], "obras", ["cno"])
-    nested = nested.withColumn("obras", F.transform("obras", lambda x: x["obra"]))
-    return module_rows(nested, [F.col("obras")], updated_at, prefix_length=prefix_length)
+    """Construction works by responsible company: from the works themselves and from links to known works.
+
+    Each work's values are escaped once, and only they are moved: the names are put to them when a company's works are together. Works of a company that
+    share their number are ordered by these values.
+    """
+    # owners are made distinct where they meet the works, so they are moved once
+    owners = _owners(works).unionByName(_owners(links)).repartition("cno").distinct()
+    names, values = [], []
+    for field_ in _WORK:
+        name, source = (field_, field_) if isinstance(field_, str) else field_
+        if isinstance(source, str):
+            names.append(name)
+            values.append(or_empty(source))
+        else:
+            names.append((name, "codigo", "descricao"))
+            values += [or_empty(name), label(name, source, "blank")]
+    joined = owners.join(works.select("cno", json_values(*values).alias("obra")), "cno")
+    nested = nest_children(joined, ["cnpj"], ["obra"], "obras", ["cno"])
+    texts = F.transform("obras", lambda x: x["obra"])
+    return module_rows(nested, F.concat(F.lit('"obras":'), json_objects(texts, names)), updated_at, prefix_length=prefix_length)
 
 
 def carriers_module(carriers: DataFrame, updated_at: str, prefix_length: int = 3) -> DataFrame:

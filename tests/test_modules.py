@@ -194,3 +194,38 @@ def test_hot_keys_are_nested_in_pieces(spark):
     # ranges of key and order, not keys, are dealt to tasks
     assert "rangepartitioning(k" in pieces._jdf.queryExecution().executedPlan().toString() and got["hot"][0] >= 3000 / 64
     assert nest_pieces(df.limit(0), ["k"], ["v"], 5).count() == 0
+
+
+def test_works_move_their_values_only(spark):
+    """Owners are moved once, to the works; what a company gathers of a work is one text without the names of its fields."""
+    from ledgerloom.operators.modules import works_module
+
+    odd = ['"', "\\", 'a",', "\x1f", "\x1e\x1d", "\n\t\x00", "é😀", "$1\\2", ",", '","', " ", "\x7f "]
+    rows = [{c: odd[(i + j) % len(odd)] if (i + j) % 3 else None for j, c in enumerate(schemas.WORKS.split())} | {"cno": f"c{i}", "ni_responsavel": f"{i % 2:014d}"} for i in range(24)]
+    works = spark.createDataFrame(rows, schemas.strings(schemas.WORKS))
+    built = works_module(works, works.select(*[c for c in schemas.LINKS.split() if c in works.columns]), 'T"\\')
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "hashpartitioning(cnpj" in x and "cno" in x.partition("hashpartitioning(")[2].partition(")")[0]]
+    of = {r["cno"]: r for r in rows}
+    got = {r.cnpj: json.loads(r.payload_json) for r in built.collect()}
+    assert sorted(got) == [f"{i:014d}" for i in range(2)]
+    for cnpj, payload in got.items():
+        assert list(payload) == ["updated_at", "obras"] and payload["updated_at"] == 'T"\\'
+        assert [o["cno"] for o in payload["obras"]] == sorted(r["cno"] for r in rows if r["ni_responsavel"] == cnpj)
+        for o in payload["obras"]:
+            r = of[o["cno"]]
+            assert (o["nome"], o["uf"], o["pais"], o["codigo_localizacao"]) == tuple(r[c] or "" for c in ("nome", "estado", "nome_pais", "codigo_localizacao"))
+            assert o["qualificacao_responsavel"] == {"codigo": r["qualificacao_responsavel"] or "", "descricao": ""} and len(o) == 24
+
+
+def test_json_values_are_what_to_json_writes(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.functions.exprs import json_objects, json_values
+
+    odd = ["", '"', "\\", 'x",', "\x1f", "\x1e", "\x1d,", "\x00\x01", "ÿ😀", "$0", '\\"', "a/b", "�", "plain text"]
+    df = spark.createDataFrame([(a, b) for a in odd for b in odd], "a string, b string").unionByName(spark.sql("SELECT CAST(X'41FF42' AS STRING) AS a, 'x' AS b"))
+    s = F.struct("a", F.struct(F.col("b").alias("x"), F.col("a").alias("y")).alias("c"), "b")
+    lists = df.groupBy().agg(F.collect_list(json_values(*map(F.col, "abab"))).alias("v"), F.to_json(F.collect_list(s)).alias("want"))
+    r = lists.select(json_objects("v", ["a", ("c", "x", "y"), "b"]).alias("got"), "want", json_objects(F.array().cast("array<string>"), ["a"]).alias("none")).first()
+    assert r.got == r.want and r.none == "[]"
