@@ -229,3 +229,35 @@ def test_json_values_are_what_to_json_writes(spark):
     lists = df.groupBy().agg(F.collect_list(json_values(*map(F.col, "abab"))).alias("v"), F.to_json(F.collect_list(s)).alias("want"))
     r = lists.select(json_objects("v", ["a", ("c", "x", "y"), "b"]).alias("got"), "want", json_objects(F.array().cast("array<string>"), ["a"]).alias("none")).first()
     assert r.got == r.want and r.none == "[]"
+
+
+def test_faults_that_some_items_of_a_list_have(spark):
+    """A list's own shape hides what some items lack; works without faults are taken out before, which must hide nothing either."""
+    from ledgerloom.operators import quality
+
+    good = json.loads(quality_filled(quality.WORKS_TREE))["obras"][0]
+    without = {k: v for k, v in good.items() if k != "cep"}
+    long, null = good | {"cep": "é" * 9, "uf": 123}, good | {"pais": None}
+    cases = {
+        (): [good] * 3,
+        ("obras[].cep:required",): [good, without, good],
+        ("obras[].pais:type",): [null, good],
+        ("obras[].cep:too_long", "obras[].uf:type"): [good, good, long, good],
+        ("obras[].cep:required", "obras[].cep:too_long", "obras[].pais:type", "obras[].uf:type"): [without, null, long],
+        ("obras[].situacao:type", "obras[]:type"): [good, 1, good | {"situacao": []}],
+        tuple(sorted(f"obras[].x{i:02}:unknown" for i in range(20)) + ["obras[].cep:too_long"]): [*(good | {f"x{i:02}": 1} for i in range(20)), good | {"cep": "123456789"}],
+    }
+    for want, obras in cases.items():
+        text = json.dumps({"updated_at": "", "obras": obras}, separators=(",", ":"))
+        rows = quality.json_report(spark.createDataFrame([(text,)], "value string"), "value", quality.WORKS_TREE).collect()
+        assert sorted(r.rule for r in rows) == sorted(want)
+    whole = json.dumps({"updated_at": "", "obras": [good] * 3}, separators=(",", ":"))
+    broken = [whole[:-3] + ",]}", whole.replace("},{", "},,{", 1), whole[:-1], whole + "}", '"' + whole, whole.replace('"obras"', 'obras"')]
+    (r,) = quality.json_report(spark.createDataFrame([(t,) for t in broken], "value string"), "value", quality.WORKS_TREE).collect()
+    assert (r.rule, r.n) == (":no_object", len(broken))
+
+
+def quality_filled(tree):
+    from ledgerloom.plans.registry import _filled
+
+    return _filled(tree)
