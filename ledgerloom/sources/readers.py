@@ -48,7 +48,7 @@ def read_registry_csv(spark: SparkSession, paths: str | list[str], table: str, n
     """A registry family: semicolons, no header, Windows-1252, quotes doubled inside quotes. Rows with another number of
     columns are dropped (``registry_records`` gives them too). Needs ``spark.sql.legacy.javaCharsets`` (see ``session``).
 
-    ``newlines``: values may hold line breaks. Without them a file is read once, else three times; large files are split either way."""
+    ``newlines``: values may hold line breaks. Without them a file is read once, else two or three times, the first of them at once; large files are split either way."""
     if newlines:
         return registry_records(spark, paths, table)[0]
     schema = schemas.registry_schema(table)
@@ -73,8 +73,7 @@ def _side_csv(spark: SparkSession, paths, columns: str, sep: str) -> DataFrame:
 
 def side_records(spark: SparkSession, paths, columns: str, sep: str) -> tuple[DataFrame, DataFrame]:
     """The rows of a file with a header, in Latin-1, empty values as null; and (file, value, reason) of the records that were rejected."""
-    good, bad = parse_records(csv_records(spark, paths, "ISO-8859-1", header=True), schemas.strings(columns), sep, empty_is_null=True)
-    return good.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in good.columns]), bad
+    return parse_records(csv_records(spark, paths, "ISO-8859-1", header=True), schemas.strings(columns), sep, empty_is_null=True)
 
 
 def read_works_csv(spark: SparkSession, paths) -> DataFrame:

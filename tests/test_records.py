@@ -5,6 +5,7 @@ import io
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.sources import readers, records, schemas
 
@@ -84,3 +85,26 @@ def test_single_bytes_in_any_session(spark, tmp_path):
         spark.conf.set("spark.sql.legacy.javaCharsets", before)
     with pytest.raises(ValueError):
         records.csv_records(spark, str(tmp_path), "utf-16")
+
+
+def test_plain_records_are_cut_as_the_parser_reads_them(spark):
+    plain = ['"a";"b";"c"', '"";"";""', '" a ";"\t";" "', '"é";"#x";"\'"', '"a;b";";";"c"', '"x,y";"z\\";"\ud83d\ude00".'[:-1]]
+    odd = ['a;b;c', '"a";b;', '"say ""x""";"b";"c"', '"two\nlines";"b";"c"', '"a\x1fb";"";"c"', '"a" ;"b";"c"', '"a";"b"', '"a";"b";"c";"d"', '"a";"b";"c"x']
+    rows = spark.createDataFrame([(v, True) for v in plain + odd], "value string, closed boolean").selectExpr("'f' AS file", "value", "closed")
+    good, bad = records.parse_records(rows, schemas.strings("a b c"), ";")
+    read = lambda df: sorted(map(str, df.collect()))
+    parser = dict(sep=";", quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="bad", multiLine="true")
+    whole = rows.select("value", F.from_csv("value", "a string, b string, c string, bad string", parser).alias("r"))
+    assert read(good) == read(whole.where("r.bad IS NULL").select("r.a", "r.b", "r.c"))
+    assert sorted(r.value for r in bad.collect()) == sorted(r.value for r in whole.where("r.bad IS NOT NULL").collect())
+    # the parser is named once in the filter and once for the values, and plain records reach neither
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") <= 2 and "RLIKE" in plan
+
+
+def test_files_are_read_as_often_as_told(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"h";"i"\n"1";"2"\n')
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [value")
+    assert scans(records.csv_records(spark, str(tmp_path), "ISO-8859-1", header=True)) == 1
+    (tmp_path / "b.csv").write_text('"h";"i"\n"1\n";"2"\n')
+    assert scans(records.csv_records(spark, str(tmp_path), "ISO-8859-1", header=True)) == 2
