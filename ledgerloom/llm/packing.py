@@ -17,12 +17,13 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .units import Units, byte_level, encode_units
+from .units import StemIds, byte_level, encode_units
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -33,8 +34,8 @@ DEPTH, WASTE = 3, 0.0
 ROUNDS = 120
 #: Power of a length by which the square of its error weighs: long pieces have few partners, so they are fitted first.
 STEEP = 10
-#: Rows encoded at once.
-ROWS = 128
+#: Bytes of text encoded at once, but for a longer row; stems that a worker keeps in each of two generations. Both bound memory only.
+LOT, REMEMBERED = 4_000_000, 500_000
 
 Contents = tuple[tuple[int, int], ...]  # (length, how often) of a sequence
 
@@ -209,12 +210,19 @@ class Plan:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Units:
-    """Encodes texts with the tokenizers library; values are little-endian 32-bit ids."""
+def encoder(path: str) -> StemIds:
+    """Encodes texts with the tokenizers library; ids are little-endian 32-bit integers."""
     model, tokens = byte_level(path)
     sizes = np.array([len(t) for t in tokens])
     ids = lambda text: model.encode_batch_fast([text], add_special_tokens=False)[0].ids
-    return Units(lambda units: encode_units(units, ids, sizes))
+    return StemIds(lambda units: encode_units(units, ids, sizes), REMEMBERED)
+
+
+def lots(batch: pa.RecordBatch, column: int, size: int = LOT) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose values of ``column`` have some ``size`` bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    cuts = [*np.flatnonzero(np.diff(ends // size, prepend=-1)).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
@@ -229,11 +237,10 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: i
         part, bpe, seen = TaskContext.get().partitionId(), encoder(tokenizer), [0] * (capacity + 1)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                some = batch.slice(lo, ROWS)
+            for some in lots(batch, 1):
                 rows, held = [], []
-                for i, units in enumerate(bpe.of([t or "" for t in some.column(1).to_pylist()])):
-                    ids = b"".join(units) + end
+                for i, ids in enumerate(bpe.of(some.column(1))):
+                    ids += end
                     n = len(ids) // 4
                     first = (n - 1) % capacity + 1
                     held.append(ids)

@@ -9,16 +9,24 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Callable
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .byte_bpe import byte_alphabet
 
 #: Distinct units that a worker remembers: bounds memory only.
 REMEMBERED = 800_000
 
+#: What ``\\s`` matches in Python's patterns, for those of Arrow, where it stands for ASCII only.
+SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The end of a text after which punctuation begins a pre-token: a letter or digit of ASCII, a letter of Latin-1.
+WORD_END = r"[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]$"
+
 _gaps = re.compile(r"\s\s").search
 _cuts = re.compile(r"(?<=\S)(?=[ \n])").split
 
@@ -95,6 +103,102 @@ def encode_units(units: list[str], encode: Callable[[str], list[int]], sizes: np
     return [np.array(encode(u), "<u4").tobytes() if x is None else x for u, x in zip(units, out)]
 
 
+def _key(unit: str) -> str:
+    """What ``StemIds`` knows a unit by: without its space; any that doesn't begin with one space or a line break after a blank of its own."""
+    if unit[:1] == " " and unit[1:2] not in ("", " ", "\n"):
+        return unit[1:]
+    return unit if unit[:1] == "\n" else " " + unit
+
+
+def _unit(key: str) -> str:
+    return key[1:] if key[:1] == " " else key if key[:1] == "\n" else " " + key
+
+
+def _objects(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+class StemIds:
+    """Ids of whole texts under a byte-level BPE whose pre-tokens are runs of letters, of digits or of other marks.
+
+    Texts are cut into units, and the distinct units of a lot of texts are looked up. Of a unit that ends with ASCII punctuation after a
+    letter or digit the stem and the marks are pre-tokens of their own, so each is learnt alone. What was used among the last
+    ``remembered`` stems is kept, and at most twice as many and those of one lot: this bounds memory only.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], list[bytes]], remembered: int = REMEMBERED):
+        self.learn, self.remembered = learn, remembered
+        self.recent: dict[str, bytes] = {_key(""): b""}
+        self.older: dict[str, bytes] = {}
+
+    def _known(self, keys: list[str]) -> pa.Array:
+        """Ids of the units that distinct ``keys`` stand for."""
+        found = list(map(self.recent.get, keys))
+        absent = [i for i, x in enumerate(found) if x is None]
+        new = []
+        for i in absent:
+            if (x := self.older.get(keys[i])) is None:
+                new.append(keys[i])
+            else:
+                self.recent[keys[i]] = x
+        if new:
+            self.recent.update(zip(new, self.learn([_unit(k) for k in new])))
+        for i in absent:
+            found[i] = self.recent[keys[i]]
+        return pa.array(found, pa.large_binary())
+
+    def _ids(self, keys: pa.Array) -> pa.Array:
+        """Ids of the units that distinct ``keys`` stand for, each of its stem and its marks."""
+        stems = pc.utf8_rtrim(keys, characters=string.punctuation)
+        stems = pc.if_else(pc.match_substring_regex(stems, WORD_END), stems, keys)
+        marks = pc.subtract(pc.binary_length(keys), pc.binary_length(stems)).to_numpy()
+        ended = np.nonzero(marks)[0]
+        tails = pa.array([" " + w[-n:] for w, n in zip(_objects(keys.take(pa.array(ended))), marks[ended].tolist())], pa.large_string()).dictionary_encode()
+        stems = stems.dictionary_encode()
+        ids = self._known(_objects(stems.dictionary)).take(stems.indices)
+        if not len(ended):
+            return ids
+        tail = np.zeros(len(marks), np.int64)
+        tail[ended] = tails.indices.to_numpy() + 1
+        known = pa.concat_arrays([pa.array([b""], pa.large_binary()), self._known(_objects(tails.dictionary))])
+        return pc.binary_join_element_wise(ids, known.take(pa.array(tail)), pa.scalar(b"", pa.large_binary()))
+
+    @staticmethod
+    def _cut(texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+        """Distinct keys, the places among them of all units, where each text's units begin and end, and the order of the texts."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        gapped = pc.match_substring_regex(texts, SPACE + "{2}")
+        # where no two white spaces meet, each space and each line break begins a unit
+        split = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(gapped)), "\n", " \n"), " ")
+        flat, first = split.flatten(), split.offsets.to_numpy()[:-1]
+        heads = [" " + h for h in _objects(flat.take(pa.array(first)))]
+        others = [[_key(u) for u in cut(t)] for t in _objects(texts.filter(gapped))]
+        inner = np.ones(len(flat), bool)
+        inner[first] = False
+        more = pa.array([*heads, *(k for keys in others for k in keys)], pa.large_string())
+        keys = pa.concat_arrays([flat.filter(pa.array(inner)), more]).dictionary_encode()
+        # units of plain texts in their order, then those of the others
+        rest = len(flat) - len(first)
+        place = np.arange(len(keys))
+        place[: len(flat)][inner], place[first] = np.arange(rest), rest + np.arange(len(first))
+        bounds = np.concatenate([first, len(flat) + np.cumsum([0, *map(len, others)])])
+        return keys.dictionary, keys.indices.take(pa.array(place)), bounds.astype(np.int64), np.argsort(gapped.to_numpy(zero_copy_only=False), kind="stable")
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text in turn; null is empty."""
+        if len(self.recent) > self.remembered:
+            self.older, self.recent = self.recent, {_key(""): b""}
+        if not len(texts):
+            return []
+        keys, units, bounds, order = self._cut(texts)
+        ids = self._ids(keys).take(units)
+        ends, raw = np.frombuffer(ids.buffers()[1], np.int64)[bounds].tolist(), memoryview(ids.buffers()[2] or b"")
+        out = [b""] * len(order)
+        for i, a, b in zip(order.tolist(), ends, ends[1:]):
+            out[i] = bytes(raw[a:b])
+        return out
+
+
 def byte_level(path: str):
     """A byte-level BPE of the tokenizers library, special tokens' strings being plain text, and the bytes of each id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -7,6 +7,8 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from tokenizers import Tokenizer
 
 from ledgerloom.llm import alignment, packing, whitening
 from ledgerloom.llm.byte_bpe import byte_alphabet
-from ledgerloom.llm.units import byte_level, check_pieces, cut, encode_units
+from ledgerloom.llm.units import SPACE, WORD_END, StemIds, byte_level, check_pieces, cut, encode_units
 from ledgerloom.llm.whitening import op12_whitening
 
 ODD = [
@@ -54,6 +56,56 @@ def test_units_join_to_their_text():
         check_pieces(["▁a", "a▁b"])
 
 
+MARKED = [
+    "word, word. word! word?! (word) word's, it's. 'word' don't, d'you", "\nword,\nword.\n", "word,", "Word$$$ 12, 12. 1.5, 12th;", "né, né. ñ? Ünü!", "ª, º. ×, ÷. ²; Ω, Ω. 語、語, 한, é, é. ٣, ٣.", "... , . ''' ?!", " word, ",
+    "\n", "a,\n", "a \n b", "a\t b,", "word\t", "word\xa0", "word,\xa0x, \x1cx.", "a,\n\nb,  c. \n d;   ", "<|endoftext|>, <|endoftext|>. x<|endoftext|>",
+]
+
+
+def test_stems_give_whole_texts_ids(texts):
+    m = model(packing.VOCABULARY)
+    some = [*ODD, *MARKED, *(t + "," for t in ODD if t), *texts[-300:]]
+    want = [m.encode(t or "", add_special_tokens=False).ids for t in some]
+    sizes = np.array([len(t) for t in byte_level(public_tokenizers.path(packing.VOCABULARY))[1]])
+    learn = lambda units: encode_units(units, lambda t: m.encode(t, add_special_tokens=False).ids, sizes)
+    for remembered, rows in ((0, 1), (5, 3), (10**6, len(some))):
+        ids = StemIds(learn, remembered)
+        got = [x for lo in range(0, len(some), rows) for x in ids.of(pa.array(some[lo : lo + rows], pa.string()))]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    assert ids.of(pa.array([], pa.string())) == []
+
+
+def test_words_are_learnt_once_whatever_marks_follow():
+    learnt = Counter()
+
+    def learn(units):
+        learnt.update(units)
+        return [u.encode() for u in units]
+
+    ids = StemIds(learn, 4)
+    lots = ['a house, house. house; "house" house\'s, house!', "house, and house?\nhouse,\nhouse.", "house. tree, tree"]
+    assert [ids.of(pa.array([t])) for t in lots] == [[t.encode()] for t in lots]
+    assert learnt[" house"] == learnt["\nhouse"] == learnt[" tree"] == 1
+    assert not any(u.startswith((" house,", " house.", " house;", " house!", " house?", "\nhouse,")) for u in learnt)
+
+
+def test_classes_for_arrow_are_those_of_python():
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    column = pa.array(chars)
+    assert {c for c, x in zip(chars, pc.match_substring_regex(column, SPACE).to_pylist()) if x} == {c for c in chars if c.isspace()}
+    ends = [c for c, x in zip(chars, pc.match_substring_regex(column, WORD_END).to_pylist()) if x]
+    assert len(ends) == 124 and all(c.isalnum() for c in ends)
+
+
+def test_lots_hold_every_row():
+    batch = pa.record_batch({"i": list(range(7)), "t": ["abc", None, "", "x" * 50, "ab", "cd", "é" * 4]})
+    for size in (1, 5, 12, 1000):
+        lots = list(packing.lots(batch, 1, size))
+        assert [x for lot in lots for x in lot.column(0).to_pylist()] == list(range(7)) and all(lot.num_rows for lot in lots)
+        assert all(sum(len((t or "").encode()) for t in lot.column(1).to_pylist()[1:]) <= size for lot in lots)
+    assert len(lots) == 1 and list(packing.lots(batch.slice(0, 0), 1)) == []
+
+
 def test_pieces_and_places(spark, texts):
     docs = frame(spark, texts)
     packed = packing.pack(packing.pieces_of(docs, public_tokenizers.path(packing.VOCABULARY)))
