@@ -415,3 +415,63 @@ def test_conformance_parses_a_shared_list_once(spark, sf_dir):
     text = catalog.QUERIES["registry_documents"](spark, sf_dir)._jdf.queryExecution().analyzed().toString()
     # partners become text below the joins
     assert text.index("Join") < text.rindex("to_json(")
+
+
+def _odd_documents():
+    """Documents that levelling must not judge otherwise: faults, looser limits elsewhere, names with quotes, repeats, other orders, no JSON."""
+    from ledgerloom.operators.quality import ENTITY_TREE
+    from ledgerloom.plans.registry import _filled
+
+    dense = lambda x: json.dumps(x, separators=(",", ":"), ensure_ascii=False)
+    good = json.loads(_filled(ENTITY_TREE)) | {"cnpj": "12ABC345000190", "razao_social": "É" * 200, "cep": "01310100", "cnaes_secundarios": ["4711301", ""], "data_opcao_mei": "2024-01-31"}
+    person, phone = good["QSA"][0] | {"nome_socio": "A}]{", "data_entrada_sociedade": "2020-01-01"}, good["telefones"][0]
+    del good["cno"], good["rntrc"]
+    put = [{}, {"razao_social": "É" * 201}, {"razao_social": "😀" * 200}, {"cep": "013101000"}, {"cnpj": "12abc345000190"}, {"cnpj": ""}, {"cnpj": None}, {"cnaes_secundarios": ["47113011", "1"]}, {"cnaes_secundarios": []}]
+    put += [{"cnaes_secundarios": "x"}, {"uf": ["SP"]}, {"uf": {"uf": "SPX"}}, {"nome_fantasia": 'a"b\\'}, {"nome_fantasia": "�\u0000"}, {"data_opcao_mei": "2024-1-31"}, {"QSA": "SP"}, {"QSA": [person, person]}, {"QSA": [person, person | {"x": 1}, person]}]
+    put += [{"telefones": [phone, phone | {"numero": "1" * 16}]}, {"telefones": [phone, phone | {"is_fax": "true"}, 3]}, {"cno": None, "rntrc": {"cep": "123456789", "uf": "SPX"}}, {"cno": {"obras": [{"numero": "1" * 18, "cep": "123456789"}]}}]
+    put += [{'a"uf': "SPX", "b": {"uf": "SPX", "QSA": [1]}}, {"numero": "1" * 18}, {"numero": "1" * 21}, {"extra": [good]}]
+    texts = [dense(good | x) for x in put] + [json.dumps(good), dense(dict(reversed(good.items()))), dense({k: v for k, v in good.items() if k != "email"}), "{}", "[]", "", None]
+    texts += [dense(good)[:-1], dense(good) + "}", dense(good).replace('"uf":', '"uf":"SP","uf":'), dense(good).replace('"uf":', '"uf"'), dense(good).replace('"uf":""', '"uf":"SP" "'), dense(good).replace('"uf":""', '"uf":"\t"')]
+    return texts + [dense(good).replace('"uf":""', f'"uf":"{x}"') for x in ('x","cep":"', "\\", '\\"uf":"', '","uf":"SP', "\\u0041")] + [dense(good).replace('"QSA":[', '"QSA":[,'), dense(good).replace('"telefones":[', '"telefones":[]')]
+
+
+def test_levelled_documents_break_the_same_rules(spark):
+    from ledgerloom.functions.exprs import parsed_json
+    from ledgerloom.operators import quality
+
+    tree = quality.ENTITY_TREE
+    rows = spark.createDataFrame([(t,) for t in _odd_documents()], "text string").unionByName(spark.sql("SELECT replace(text, 'ZZ', CAST(X'FF41' AS STRING)) AS text FROM VALUES ('{\"uf\":\"ZZ\"}'), ('{\"uf\":\"ZZZ\",\"cep\":\"ZZ\"}') AS t(text)"))
+    ways = {"as it is": F.col("text"), "levelled": quality._levelled(F.col("text"), tree), "by name": quality._levelled_by_name(F.col("text"), tree)}
+    found = {}
+    for way, text in ways.items():
+        docs = rows.select("text", text.alias("t")).select("text", "t", parsed_json("t").alias("doc"))
+        found[way] = [(r.text, sorted(r.rules)) for r in docs.select("text", quality.json_violations("doc", tree, "t").alias("rules")).collect()]
+    assert found["levelled"] == found["as it is"] and found["by name"] == found["as it is"]
+    assert len({tuple(r) for _, r in found["as it is"]}) > 15
+
+
+def test_lists_are_thinned_without_a_change_of_rules(spark):
+    from ledgerloom.functions.exprs import parsed_json
+    from ledgerloom.operators import quality
+
+    node = quality.ENTITY_TREE.fields["QSA"]
+    good = '{"nome_socio":"%s","cnpj_cpf_socio":"","qualificacao_socio":"","data_entrada_sociedade":"2020-01-01","identificador_socio":"","faixa_etaria":""}'
+    one, two, bad = good % "A", good % "B}]", (good % "C").replace("2020-01-01", "x")
+    kept = {f"[{one},{two},{one}]": f"[{one}]", f"[{one},{bad},{two},{two},{bad}]": f"[{bad},{bad}]", "[]": "[]", f"[{one}]": f"[{one}]", f'["a{{{one},{{b"]': None, f"[{one},[{two},{one}]]": None, f"{one},{two}": None, f"[{one},{two}": f"[{two}", f"[{bad},{{,{one},{two}]": None, f'[{{"a":{{}}}},{one},{two}]': None}
+    rows = spark.createDataFrame(list(kept.items()), "text string, want string").select("*", quality.thinned_list(F.col("text"), node).alias("got"))
+    for r in rows.select("*", parsed_json("text").isNull().alias("a"), parsed_json("got").isNull().alias("b")).collect():
+        assert r.got == (r.want or r.text) and r.a == r.b, r.text
+
+
+def test_conformance_judges_documents_that_are_alike_once(spark, sf_dir):
+    from ledgerloom.operators import quality
+    from ledgerloom.plans import registry
+
+    docs = registry._judged(spark, sf_dir)
+    assert docs.count() == registry.registry_documents(spark, sf_dir).count() == 1500
+    assert quality._counted(docs.select(F.col("value").alias("text")), quality.ENTITY_TREE).count() < 50
+    assert docs.agg(F.max(F.length("value"))).first()[0] < 1500
+    for name in ("typed_conformance",):
+        plan = getattr(registry, name)(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().lower()
+        # the nodes above come first: what is parsed has been counted before
+        assert plan.rindex("from_json") < plan.rindex("count(1)") < plan.rindex("structstojson")
