@@ -471,7 +471,7 @@ def test_conformance_judges_documents_that_are_alike_once(spark, sf_dir):
     assert docs.count() == registry.registry_documents(spark, sf_dir).count() == 1500
     assert quality._counted(docs.select(F.col("value").alias("text")), quality.ENTITY_TREE).count() < 50
     assert docs.agg(F.max(F.length("value"))).first()[0] < 1500
-    for name in ("typed_conformance",):
+    for name in ("registry_conformance", "typed_conformance"):
         plan = getattr(registry, name)(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().lower()
         # the nodes above come first: what is parsed has been counted before
         assert plan.rindex("from_json") < plan.rindex("count(1)") < plan.rindex("structstojson")
