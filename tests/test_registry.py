@@ -475,3 +475,29 @@ def test_conformance_judges_documents_that_are_alike_once(spark, sf_dir):
         plan = getattr(registry, name)(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().lower()
         # the nodes above come first: what is parsed has been counted before
         assert plan.rindex("from_json") < plan.rindex("count(1)") < plan.rindex("structstojson")
+
+
+def test_documents_are_kept_in_less_space(spark, tmp_path):
+    from ledgerloom.plans import registry
+
+    folder, docs = str(tmp_path / "kept"), registry.registry_documents(spark, "/root/testdata/sf0.001")
+    back = writers.keep_documents(docs, folder)
+    assert back.exceptAll(docs).isEmpty() and docs.exceptAll(back).isEmpty()
+    size = sum(p.stat().st_size for p in (tmp_path / "kept").glob("*.parquet"))
+    assert all(".zstd." in p.name for p in (tmp_path / "kept").glob("*.parquet")) and size * 20 < back.agg(F.sum(F.octet_length("value"))).first()[0]
+
+
+def test_changes_are_found_by_a_digest_a_prefix(spark, tables, sf_dir, monkeypatch):
+    from ledgerloom.operators import incremental
+    from ledgerloom.plans import registry
+
+    new = registry.registry_tables(spark, sf_dir)
+    simples = new["simples"].unionByName(new["simples"].where("cnpj_basico = '20000000'"))
+    for put in ({}, {"estabelecimento": new["estabelecimento"].where("cnpj_prefix <> '210'"), "simples": simples}):
+        old = new | put
+        want = {r[0] for r in incremental.changed_companies(old, new).collect()}
+        assert {r[0] for r in incremental.changed_prefixes(old, new).collect()} == want and bool(want) == bool(put), put
+    # the documents are made again from prefixes that are found without a row a company
+    monkeypatch.setattr(incremental, "changed_companies", None)
+    docs, _ = incremental.regenerate(entity_documents(tables), tables, tables)
+    assert docs.count() == 2
